@@ -193,7 +193,7 @@ def latest_attempt(spark, d):
 
 
 def problem_board(spark, d):
-    return progress.problem_board(_users(spark, d), _log(spark, d), CONTEST)
+    return progress.problem_board(_users(spark, d), CONTEST.problems(spark), _log(spark, d), CONTEST)
 
 
 def attempt_totals(spark, d):
@@ -336,8 +336,9 @@ def json_test_cells(spark, d):
 
 def union_lesson_sets(spark, d):
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    year = F.year("o_orderdate")
-    sets = {n: orders.where(year == FIRST_YEAR + n - 1) for n in range(1, CONTEST.rounds + 1)}
+    starts = [F.lit(datetime(FIRST_YEAR + n, 1, 1)).cast("timestamp_ntz") for n in range(CONTEST.rounds + 1)]
+    day = F.col("o_orderdate")
+    sets = {n: orders.where((day >= starts[n - 1]) & (day < starts[n])) for n in range(1, CONTEST.rounds + 1)}
     rows = ranking.union_lesson_sets(sets, ["o_orderdate", "o_orderkey"])
     return rows.select("round_id", "position", "o_orderkey", "o_totalprice")
 

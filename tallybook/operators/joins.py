@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.functions.numbers import exact_avg
+from tallybook.plans.durable import written_table
 from tallybook.plans.skew import left_join_split
 
 
@@ -91,11 +92,16 @@ def shared_project_count(
 def cte_group_filter_join(
     fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, value: str, least: float, tie: str
 ) -> DataFrame:
-    """Detail rows, with names, of the groups whose average is at least ``least``, highest first."""
+    """Detail rows, with names, of the groups whose average is at least ``least``, highest first.
+
+    The passing groups are written first: the planner then knows how few they are and need not
+    shuffle the facts to find out.
+    """
     groups = (
         fact.groupBy(F.col(fact_key).alias("_group"))
         .agg(exact_avg(F.col(value)).alias("_avg"))
         .where(F.col("_avg") >= F.lit(least))
     )
+    groups = written_table(groups.select("_group"), "groups")
     kept = fact.join(groups, F.col(fact_key) == F.col("_group"), "left_semi")
     return join_lookup(kept, dim, fact_key, dim_key).orderBy(F.col(value).desc_nulls_last(), tie)

@@ -111,17 +111,17 @@ def latest_attempt(log: DataFrame) -> DataFrame:
     )
 
 
-def problem_board(users: DataFrame, log: DataFrame, contest: Contest) -> DataFrame:
+def problem_board(users: DataFrame, problems: DataFrame, log: DataFrame, contest: Contest) -> DataFrame:
     """Every problem for every user with the latest state; untried ones get defaults.
 
     The untried places are added to the log as empty rows, so that one aggregate replaces a cross
-    join and an outer join. A contest's problem list is short and fixed.
+    join and an outer join. A contest's problem list is short and fixed. Unknown problems drop out
+    in the last join, after the aggregate: a filter before it would read the log's JSON twice.
     """
-    count = contest.problem_count
-    tries = log.where(F.col("problem_id").between(1, count)).select("user_id", "problem_id", _attempt().alias("t"))
+    tries = log.select("user_id", "problem_id", _attempt().alias("t"))
     places = users.select("user_id").distinct().select(
         "user_id",
-        F.explode(_numbers(count)).alias("problem_id"),
+        F.explode(_numbers(contest.problem_count)).alias("problem_id"),
         F.lit(None).cast(tries.schema["t"].dataType).alias("t"),
     )
     board = (
@@ -133,9 +133,8 @@ def problem_board(users: DataFrame, log: DataFrame, contest: Contest) -> DataFra
             F.coalesce(F.max("t.is_correct"), F.lit(False)).alias("ever_solved"),
         )
     )
-    return board.select(
-        "user_id", "problem_id", contest.round_of_problem(F.col("problem_id")).alias("round_number"),
-        "attempts", "ever_solved", *_latest_columns("t"),
+    return board.join(problems, "problem_id").select(
+        "user_id", "problem_id", "round_number", "attempts", "ever_solved", *_latest_columns("t")
     )
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallybook.functions.numbers import percent
+from tallybook.plans.durable import written_table
 from tallybook.plans.ordering import number_rows, overall_rank, previous_value
 from tallybook.plans.skew import HOT_ROWS, hot_keys, split_by_heat
 
@@ -79,7 +80,11 @@ def top_k_and_overall_rank(
     fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, value: str, k: int, tie: str,
     sort: str, ranges: int | None = None,
 ) -> DataFrame:
-    """Rows ranked within ``k`` in their group (ties included), with their rank over all rows."""
+    """Rows ranked within ``k`` in their group (ties included), with their rank over all rows.
+
+    The leading values are written before the rows are matched with them: the planner then knows
+    their size and can keep the rows where they are.
+    """
     rows = fact.join(dim, F.col(fact_key) == F.col(dim_key))
     leaders = group_leaders(rows, fact_key, value, k).select(
         F.col(fact_key).alias("_group"), F.col(value).alias("_value"), "group_rank"
@@ -88,6 +93,7 @@ def top_k_and_overall_rank(
         F.col(value).alias("_ranked"), "overall_rank"
     )
     leaders = leaders.join(ranks, F.col("_value").eqNullSafe(F.col("_ranked"))).drop("_ranked")
+    leaders = written_table(leaders, "leaders")
     is_leader = F.col(fact_key).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
     return rows.join(leaders, is_leader).drop("_group", "_value").orderBy(sort, "group_rank", tie)
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallybook.functions.cells import EMPTY_WORD, WHITE_SPACE, strip_space, words
+from tallybook.functions.cells import EMPTY_WORD, WHITE_SPACE, has_at_most, strip_space, words
 
 # Fixed value: the word and colon that end a table's title.
 TITLE_MARKER = "테이블:"
@@ -25,7 +25,7 @@ def marked_title(marker: str = TITLE_MARKER) -> Callable[[Column], Column]:
 
 def short_title(most_words: int) -> Callable[[Column], Column]:
     """Lines of few words are titles."""
-    return lambda line: F.when((line != "") & (F.size(words(line)) <= most_words), line)
+    return lambda line: F.when(has_at_most(line, most_words), line)
 
 
 def _stripped_lines(text: Column) -> Column:
@@ -43,19 +43,22 @@ def sections(docs: DataFrame, doc_id: str, text: str, title: Callable[[Column],
         ),
         lambda s: s["title"].isNotNull(),
     )
-    end = F.coalesce(F.get("_starts", F.col("_at") + 1)["line_no"], F.size("_lines") + 1)
-    first = F.col("_start.line_no")
+
+    def section(start: Column, i: Column) -> Column:
+        end = F.coalesce(F.get("_starts", i + 1)["line_no"], F.size("_lines") + 1)
+        body = F.slice("_lines", start["line_no"] + 1, end - start["line_no"] - 1)
+        return F.struct(
+            (i + 1).alias("section_no"), start["title"].alias("title"), start["line_no"].alias("title_line"),
+            body.alias("body"),
+        )
+
+    # Each section takes its own lines along: exploding beside the whole text would copy all of it
+    # once per section.
     return (
         docs.select(doc_id, _stripped_lines(F.col(text)).alias("_lines"))
         .withColumn("_starts", starts)
-        .select(doc_id, "_lines", "_starts", F.posexplode("_starts").alias("_at", "_start"))
-        .select(
-            doc_id,
-            (F.col("_at") + 1).alias("section_no"),
-            F.col("_start.title").alias("title"),
-            first.alias("title_line"),
-            F.slice("_lines", first + 1, end - first - 1).alias("body"),
-        )
+        .select(doc_id, F.explode(F.transform("_starts", section)).alias("_section"))
+        .select(doc_id, "_section.*")
     )
 
 
@@ -96,12 +99,13 @@ def section_lines(
 
 def section_outline(docs: DataFrame, doc_id: str, text: str, title: Callable[[Column], Column]) -> DataFrame:
     """Lines, words and sections of each document."""
-    lines = F.col("_lines")
-    filled = F.filter(lines, lambda line: line != "")
-    word_count = F.aggregate(filled, F.lit(0), lambda n, line: n + F.size(words(line)))
-    titles = F.filter(lines, lambda line: title(line).isNotNull())
-    return docs.select(doc_id, _stripped_lines(F.col(text)).alias("_lines")).select(
-        doc_id, F.size(lines).alias("lines"), word_count.alias("words"), F.size(titles).alias("sections")
+    titles = F.filter("_lines", lambda line: title(line).isNotNull())
+    return (
+        docs.select(doc_id, _stripped_lines(F.col(text)).alias("_lines"), words(strip_space(F.col(text))).alias("_words"))
+        .select(
+            doc_id, F.size("_lines").alias("lines"), F.size(F.array_remove("_words", "")).alias("words"),
+            F.size(titles).alias("sections"),
+        )
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallybook.operators.progress import attempt_totals
 from tallybook.plans.contest import Contest
+from tallybook.sources.tables import STORED_TABLES
 from tallybook.session import new_location, session_settings
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -20,7 +21,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
     """A parquet table as a stream of its files."""
-    reader = spark.readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
+    reader = spark.readStream.schema(STORED_TABLES[name])
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.option("pathGlobFilter", f"{name}*.parquet").option("recursiveFileLookup", True).parquet(folder)
