@@ -32,7 +32,8 @@ def split_by_heat(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, D
     """(rows of the other keys, rows of the hot keys); NULL keys are with the others."""
     if hot.count() <= _MAX_BROADCAST_KEYS:
         hot = F.broadcast(hot)
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    same = df.columns
+    return df.join(hot, key, "left_anti").select(*same), df.join(hot, key, "left_semi").select(*same)
 
 
 def left_join_split(left: DataFrame, right: DataFrame, on: Column, left_key: str, right_key: str) -> DataFrame:
