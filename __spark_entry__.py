@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
+from tallybook.functions.times import moment  # noqa: E402
 from tallybook.operators import grading, joins, lessons, progress, quality, ranking, text  # noqa: E402
 from tallybook.plans.contest import Contest  # noqa: E402
 from tallybook.sources import problem_file  # noqa: E402
@@ -90,7 +91,7 @@ def tenure_months(spark, d):
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = read_table(spark, d, "customer").select("c_custkey", "c_name")
     rows = joins.join_lookup(orders, customers, "o_custkey", "c_custkey").select("o_orderkey", "c_name", "o_orderdate")
-    as_of = F.lit(TENURE_AS_OF).cast("timestamp_ntz")
+    as_of = moment(TENURE_AS_OF)
     return lessons.tenure_months(rows, "c_name", "o_orderdate", as_of, "o_orderkey")
 
 
@@ -260,7 +261,7 @@ def graded_log(spark, d):
         F.col("conv_id").alias("submission_id"),
         (F.col("conv_id") % 50).alias("user_id"),
         (F.col("conv_id") % CONTEST.problem_count + 1).alias("problem_id"),
-        (F.lit(CONTEST.start).cast("timestamp_ntz") + F.make_dt_interval(hours=hours)).alias("attempted_at"),
+        (moment(CONTEST.start) + F.make_dt_interval(hours=hours)).alias("attempted_at"),
         F.col("text").alias("query_text"),
         F.col("role").alias("result_text"),
     )
@@ -336,7 +337,7 @@ def json_test_cells(spark, d):
 
 def union_lesson_sets(spark, d):
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    starts = [F.lit(datetime(FIRST_YEAR + n, 1, 1)).cast("timestamp_ntz") for n in range(CONTEST.rounds + 1)]
+    starts = [moment(datetime(FIRST_YEAR + n, 1, 1)) for n in range(CONTEST.rounds + 1)]
     day = F.col("o_orderdate")
     sets = {n: orders.where((day >= starts[n - 1]) & (day < starts[n])) for n in range(1, CONTEST.rounds + 1)}
     rows = ranking.union_lesson_sets(sets, ["o_orderdate", "o_orderkey"])

@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 
+def moment(at: datetime) -> Column:
+    """A zone-free constant; a plain literal would be read in the session's zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def parse_iso(text: Column) -> Column:
     """ISO text, with a ``T`` or a blank between date and time, to a zone-free timestamp."""
     return F.to_timestamp_ntz(F.replace(text, F.lit("T"), F.lit(" ")), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
-def iso_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
+def iso_text(at: Column) -> Column:
+    return F.translate(F.substring(at.cast("string"), 1, 19), " ", "T")
 
 
-def year_text(moment: Column) -> Column:
-    return F.lpad(F.year(moment).cast("string"), 4, "0")
+def year_text(at: Column) -> Column:
+    return F.lpad(F.year(at).cast("string"), 4, "0")
 
 
-def month_text(moment: Column) -> Column:
-    return F.lpad(F.month(moment).cast("string"), 2, "0")
+def month_text(at: Column) -> Column:
+    return F.lpad(F.month(at).cast("string"), 2, "0")
 
 
-def _second_of_day(moment: Column) -> Column:
-    return F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+def _second_of_day(at: Column) -> Column:
+    return F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
 
 
 def days_between(earlier: Column, later: Column) -> Column:

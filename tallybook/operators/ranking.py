@@ -59,6 +59,8 @@ def period_increase(
             F.round(percent(F.col(value) - F.col("previous_value"), F.col("previous_value")), 1),
         )
     )
+    # A global sort samples its input before it sorts, and would run the windows twice.
+    rises = written_table(rises, "rises")
     return rises.join(dim, F.col(entity) == F.col(dim_key)).orderBy(
         F.col("increase_percent").desc_nulls_last(), tie
     )

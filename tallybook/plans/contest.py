@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallybook.functions.times import moment
+
 
 @dataclass(frozen=True)
 class Contest:
@@ -21,14 +23,14 @@ class Contest:
     def problem_count(self) -> int:
         return self.rounds * self.problems_per_round
 
-    def round_at(self, moment: datetime) -> int:
-        return (moment - self.start) // timedelta(days=self.round_days) + 1
+    def round_at(self, at: datetime) -> int:
+        return (at - self.start) // timedelta(days=self.round_days) + 1
 
-    def round_of_time(self, moment: Column) -> Column:
-        """Number of the round that holds ``moment``, by arithmetic instead of a range join."""
+    def round_of_time(self, at: Column) -> Column:
+        """Number of the round that holds ``at``, by arithmetic instead of a range join."""
         since_midnight = self.start - self.start.replace(hour=0, minute=0, second=0, microsecond=0)
         seconds = F.lit(since_midnight.total_seconds()).cast("decimal(18,6)")
-        shifted = moment - F.make_dt_interval(secs=seconds)
+        shifted = at - F.make_dt_interval(secs=seconds)
         days = F.date_diff(F.to_date(shifted), F.lit(self.start.date()))
         return (F.floor(days / self.round_days) + 1).cast("bigint")
 
@@ -37,7 +39,7 @@ class Contest:
 
     def starts_at(self, round_number: Column) -> Column:
         days = ((round_number - 1) * self.round_days).cast("int")
-        return F.lit(self.start).cast("timestamp_ntz") + F.make_dt_interval(days=days)
+        return moment(self.start) + F.make_dt_interval(days=days)
 
     def calendar(self, spark: SparkSession) -> DataFrame:
         """One row per round with its window."""

@@ -52,7 +52,8 @@ def number_rows(
     same = F.col(SEGMENT) == F.col("_s")
     for i, g in enumerate(groups):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    return ranged.join(starts, same).select(
+    # Written, so that its size is known and the rows need no further shuffle if it is small.
+    return ranged.join(written_table(starts, "starts"), same).select(
         *df.columns, (F.col(OFFSET_IN_SEGMENT) + F.col("_shift")).cast("bigint").alias(name)
     )
 
@@ -65,7 +66,7 @@ def overall_rank(df: DataFrame, value: str, name: str = "overall_rank", ranges:
     """
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     ranged = in_ranges(counts, [F.col(value).desc_nulls_last()], "ranked", ranges)
-    # One row per range.
+    # One row per range, so there are no more than there are shuffle partitions.
     totals = ranged.groupBy(SEGMENT).agg(F.sum("_rows").alias("_total"))
     before = Window.orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
@@ -75,7 +76,7 @@ def overall_rank(df: DataFrame, value: str, name: str = "overall_rank", ranges:
         Window.partitionBy(SEGMENT).orderBy(OFFSET_IN_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     )
     local = ranged.withColumn("_higher", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
-    return local.join(starts, F.col(SEGMENT) == F.col("_s")).select(
+    return local.join(F.broadcast(starts), F.col(SEGMENT) == F.col("_s")).select(
         value, (F.col("_before") + F.col("_higher") + 1).cast("bigint").alias(name)
     )
 
@@ -87,7 +88,7 @@ def previous_value(
     ranged = in_ranges(df, [F.col(key), *order], "lagged", ranges)
     within = Window.partitionBy(SEGMENT, key).orderBy(OFFSET_IN_SEGMENT)
     local = ranged.withColumn("_local", F.lag(value).over(within))
-    # The last row of the range before: one row per range.
+    # The last row of the range before: one row per range, so no more than shuffle partitions.
     lasts = ranged.groupBy(SEGMENT).agg(
         F.max_by(F.struct(F.col(key).alias("k"), F.col(value).alias("v")), OFFSET_IN_SEGMENT).alias("_last")
     )
@@ -98,4 +99,4 @@ def previous_value(
         (F.col(OFFSET_IN_SEGMENT) == 0) & F.col("_carry.k").eqNullSafe(F.col(key)), F.col("_carry.v")
     )
     previous = F.when(F.col(OFFSET_IN_SEGMENT) == 0, from_before).otherwise(F.col("_local"))
-    return local.join(carried, F.col(SEGMENT) == F.col("_s")).select(*df.columns, previous.alias(name))
+    return local.join(F.broadcast(carried), F.col(SEGMENT) == F.col("_s")).select(*df.columns, previous.alias(name))
