@@ -78,21 +78,30 @@ def _solved_problems(log: DataFrame, problems: DataFrame) -> DataFrame:
 def round_progress(
     users: DataFrame, problems: DataFrame, log: DataFrame, contest: Contest, as_of: datetime
 ) -> DataFrame:
-    """Per user and round: state, problems, solved ones and their percentage."""
-    totals = problems.groupBy("round_number").agg(F.count(F.lit(1)).alias("problems"))
+    """Per listed user and round: state, problems, solved ones and their percentage.
+
+    Listed users join the solved problems as empty rows, and one aggregate per user counts all
+    rounds at once; the fixed round list then turns each user into one row per round.
+    """
     solved = _solved_problems(log, problems).where("solved").select("user_id", "round_number")
-    per_user = users.select("user_id").distinct().select(
-        "user_id", F.explode(_numbers(contest.rounds)).alias("round_number")
-    )
-    counted = (
-        per_user.withColumn("_n", F.lit(0))
-        .unionByName(solved.withColumn("_n", F.lit(1)))
-        .groupBy("user_id", "round_number")
-        .agg(F.sum("_n").alias("solved"))
+    listed = users.select("user_id", F.lit(None).cast("bigint").alias("round_number"))
+    numbers = range(1, contest.rounds + 1)
+    per_user = (
+        solved.withColumn("_listed", F.lit(False))
+        .unionByName(listed.withColumn("_listed", F.lit(True)))
+        .groupBy("user_id")
+        .agg(
+            F.max("_listed").alias("_listed"),
+            *[F.count_if(F.col("round_number") == n).alias(f"_{n}") for n in numbers],
+        )
+        .where("_listed")
+        .select("user_id", F.posexplode(F.array(*[f"_{n}" for n in numbers])).alias("_at", "solved"))
+        .select("user_id", (F.col("_at") + 1).cast("bigint").alias("round_number"), "solved")
     )
+    totals = problems.groupBy("round_number").agg(F.count(F.lit(1)).alias("problems"))
     known = F.coalesce(F.col("problems"), F.lit(0).cast("bigint"))
     share = percent(F.col("solved").cast("double"), known.cast("double"))
-    return counted.join(totals, "round_number", "left").select(
+    return per_user.join(totals, "round_number", "left").select(
         "user_id",
         "round_number",
         round_state(F.col("round_number"), contest, as_of).alias("round_state"),
@@ -112,17 +121,18 @@ def latest_attempt(log: DataFrame) -> DataFrame:
 
 
 def problem_board(users: DataFrame, problems: DataFrame, log: DataFrame, contest: Contest) -> DataFrame:
-    """Every problem for every user with the latest state; untried ones get defaults.
+    """Every problem for every listed user with the latest state; untried ones get defaults.
 
-    The untried places are added to the log as empty rows, so that one aggregate replaces a cross
-    join and an outer join. A contest's problem list is short and fixed. Unknown problems drop out
-    in the last join, after the aggregate: a filter before it would read the log's JSON twice.
+    All places are added to the log as empty rows, so that one aggregate replaces a cross join and
+    an outer join. A contest's problem list is short and fixed. Unknown problems drop out in the
+    last join, after the aggregate: a filter before it would read the log's JSON twice.
     """
-    tries = log.select("user_id", "problem_id", _attempt().alias("t"))
+    tries = log.select("user_id", "problem_id", _attempt().alias("t"), F.lit(False).alias("_place"))
     places = users.select("user_id").distinct().select(
         "user_id",
         F.explode(_numbers(contest.problem_count)).alias("problem_id"),
         F.lit(None).cast(tries.schema["t"].dataType).alias("t"),
+        F.lit(True).alias("_place"),
     )
     board = (
         tries.unionByName(places)
@@ -131,7 +141,9 @@ def problem_board(users: DataFrame, problems: DataFrame, log: DataFrame, contest
             F.max("t").alias("t"),
             F.count("t").alias("attempts"),
             F.coalesce(F.max("t.is_correct"), F.lit(False)).alias("ever_solved"),
+            F.max("_place").alias("_place"),
         )
+        .where("_place")
     )
     return board.join(problems, "problem_id").select(
         "user_id", "problem_id", "round_number", "attempts", "ever_solved", *_latest_columns("t")

@@ -44,7 +44,7 @@ class Contest:
     def calendar(self, spark: SparkSession) -> DataFrame:
         """One row per round with its window."""
         number = F.col("id")
-        return spark.range(1, self.rounds + 1).select(
+        return spark.range(1, self.rounds + 1, 1, 1).select(
             number.alias("round_number"),
             self.starts_at(number).alias("starts_at"),
             self.starts_at(number + 1).alias("ends_at"),
@@ -53,6 +53,6 @@ class Contest:
     def problems(self, spark: SparkSession) -> DataFrame:
         """One row per problem with the round it belongs to."""
         number = F.col("id")
-        return spark.range(1, self.problem_count + 1).select(
+        return spark.range(1, self.problem_count + 1, 1, 1).select(
             number.alias("problem_id"), self.round_of_problem(number).alias("round_number")
         )

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 _own_folders: dict[str, str] = {}
+_locations: list[str] = []
 
 
 def build_session(app_name: str = "tallybook", master: str | None = None, **settings) -> SparkSession:
@@ -54,7 +55,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_location(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/tallybook/{label}-{uuid.uuid4().hex}"
+    location = f"{shared_folder(spark)}/tallybook/{label}-{uuid.uuid4().hex}"
+    _locations.append(location)
+    return location
+
+
+def drop_run_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables and stream state this process has written so far.
+
+    Call it when the results that read them are stored; returns how many were there.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _locations:
+        path = hadoop.Path(_locations.pop())
+        dropped += path.getFileSystem(configuration).delete(path, True)
+    return dropped
 
 
 @contextmanager

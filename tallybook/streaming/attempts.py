@@ -20,11 +20,11 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """A parquet table as a stream of its files."""
+    """A parquet table as a stream of its files, be it one file, a folder or several of either."""
     reader = spark.readStream.schema(STORED_TABLES[name])
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.option("pathGlobFilter", f"{name}*.parquet").option("recursiveFileLookup", True).parquet(folder)
+    return reader.parquet(f"{folder}/{name}*.parquet")
 
 
 def newest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:

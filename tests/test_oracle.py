@@ -23,3 +23,17 @@ def test_entry(spark):
 def test_query_matches_sql(spark, con, name):
     df = registry.queries()[name](spark, SF)
     assert oracle.compare(df, con, registry.oracle_sql()[name]) == []
+
+
+ORDERED = [
+    "count_by_group", "max_by_group", "bucket_high_low", "date_parts", "tenure_months", "join_lookup",
+    "group_count_keep_empty", "join_average", "three_way_join", "distinct_groups_keep_empty", "shared_project_count",
+    "cte_group_filter_join", "period_increase", "top_two_and_overall_rank",
+]
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_order_matches_sql(spark, con, name):
+    df, sql = registry.queries()[name](spark, SF), registry.oracle_sql()[name]
+    names = [r[0] for r in con.execute(f"DESCRIBE {sql}").fetchall()]
+    assert [tuple(r) for r in df.select(*names).collect()] == con.execute(sql).fetchall()

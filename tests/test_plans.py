@@ -51,3 +51,17 @@ def test_rows_beyond_k_are_dropped_before_the_shuffle(spark):
 def test_shared_folder_is_the_sessions(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.new_location(spark, "x") != session.new_location(spark, "x")
+
+
+def test_run_tables_can_be_dropped(spark, tmp_path):
+    from pathlib import Path
+
+    from tallybook.plans.durable import written_table
+
+    session.drop_run_tables(spark)
+    kept = written_table(spark.range(3).toDF("x"), "kept")
+    assert kept.count() == 3
+    folder = Path(session.shared_folder(spark)) / "tallybook"
+    assert [p.name for p in folder.iterdir() if p.name.startswith("kept-")]
+    assert session.drop_run_tables(spark) == 1
+    assert not [p.name for p in folder.iterdir() if p.name.startswith("kept-")]

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tallybook.operators import progress
 from tallybook.plans.contest import Contest
+from tallybook.session import session_settings
+from tallybook.sources.tables import attempt_log
 
 CONTEST = Contest(start=datetime(2025, 1, 20))
 LOG = (
@@ -93,7 +95,7 @@ def test_problem_board(spark, log):
     users = spark.createDataFrame([("ann",), ("dan",), ("ann",)], "user_id string")
     board = by(progress.problem_board(users, CONTEST.problems(spark), log, CONTEST), "user_id", "problem_id")
     assert len([k for k in board if k[0] == "ann"]) == len([k for k in board if k[0] == "dan"]) == 21
-    assert ("cyd", 99) not in board
+    assert {k[0] for k in board} == {"ann", "dan"}
     ann = board[("ann", 1)]
     assert (ann["attempts"], ann["ever_solved"], ann["latest_correct"]) == (3, True, False)
     untried = board[("dan", 21)]
@@ -111,6 +113,31 @@ def test_round_progress(spark, log):
     assert abs(one["solved_percent"] - 200 / 3) < 1e-9
     assert got[("ann", 2)]["round_state"] == "active" and got[("ann", 3)]["round_state"] == "locked"
     assert [got[("dan", n)]["solved"] for n in range(1, 8)] == [0] * 7
+    assert {k[0] for k in got} == {"ann", "dan"} and len(got) == 14
+
+
+def test_unknown_problem_is_on_no_board(spark, log):
+    users = spark.createDataFrame([("cyd",)], "user_id string")
+    board = by(progress.problem_board(users, CONTEST.problems(spark), log, CONTEST), "user_id", "problem_id")
+    assert len(board) == 21 and ("cyd", 99) not in board
+
+
+def test_reports_do_not_depend_on_the_session_zone(spark, log):
+    def reports():
+        calendar, problems = CONTEST.calendar(spark), CONTEST.problems(spark)
+        return [
+            sorted(map(repr, df.collect()))
+            for df in (
+                calendar,
+                progress.round_activity(log, CONTEST),
+                progress.round_state_activity(log, CONTEST, at(23)),
+                progress.submission_timeliness(log, problems, calendar),
+            )
+        ]
+
+    here = reports()
+    with session_settings(spark, spark__sql__session__timeZone="America/New_York"):
+        assert reports() == here
 
 
 def test_round_without_problems_has_zero_percent(spark, log):
@@ -156,3 +183,13 @@ def test_empty_log(spark, log):
     assert progress.user_round_matrix(none, CONTEST.problems(spark), CONTEST).count() == 0
     users = spark.createDataFrame([("ann",)], "user_id string")
     assert progress.problem_board(users, CONTEST.problems(spark), none, CONTEST).count() == 21
+
+
+def test_event_without_problem_gets_number_zero(spark):
+    events = spark.createDataFrame(
+        [(1, at(20), 7, "purchase", 1.0, '{"k": 20}'), (2, at(20), 7, "view", 1.0, None), (3, at(20), 7, "view", 1.0, "{}")],
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    )
+    log = attempt_log(events, CONTEST)
+    assert {r["attempt_id"]: r["problem_id"] for r in log.collect()} == {1: 21, 2: 0, 3: 0}
+    assert progress.accepted_attempts(log, CONTEST.problems(spark), CONTEST.calendar(spark)).count() == 1

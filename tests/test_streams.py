@@ -24,8 +24,7 @@ def parts(spark, tmp_path_factory):
 
 
 def source(spark, folder):
-    stream = spark.readStream.schema(read_table(spark, SF, "events").schema).option("recursiveFileLookup", True)
-    return lambda: attempt_log(stream.option("maxFilesPerTrigger", 1).parquet(folder), CONTEST)
+    return lambda: attempt_log(streams.stream_table(spark, folder, "events", files_per_batch=1), CONTEST)
 
 
 def rows(df):
@@ -56,7 +55,15 @@ def test_start_inside_a_day(spark, parts):
     assert sorted(r["attempts"] for r in got.collect()) == sorted(r["attempts"] for r in batch.collect())
 
 
+def test_table_of_many_files_and_one_file(spark, tmp_path):
+    log = attempt_log(read_table(spark, SF, "events"), CONTEST)
+    read_table(spark, SF, "events").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    for folder in (str(tmp_path), SF):
+        got = streams.stream_attempt_totals(spark, source(spark, folder))
+        assert rows(got) == rows(progress.attempt_totals(log))
+
+
 def test_empty_stream(spark, tmp_path):
-    (tmp_path / "events").mkdir()
-    got = streams.stream_attempt_totals(spark, source(spark, str(tmp_path / "events")))
+    (tmp_path / "events.parquet").mkdir()
+    got = streams.stream_attempt_totals(spark, source(spark, str(tmp_path)))
     assert got.count() == 0 and "ever_solved" in got.columns
