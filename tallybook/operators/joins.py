@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallybook.functions.numbers import exact_avg
 from tallybook.plans.durable import written_table
-from tallybook.plans.skew import left_join_split
+from tallybook.plans.skew import HOT_ROWS, left_join
 
 
 def join_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
@@ -42,11 +42,11 @@ def join_average(
 
 
 def three_way_join(
-    fact: DataFrame, dim: DataFrame, opt: DataFrame, fact_dim: str, dim_key: str, fact_key: str, opt_key: str
+    fact: DataFrame, dim: DataFrame, opt: DataFrame, fact_dim: str, dim_key: str, fact_key: str, opt_key: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Facts with their dimension, and with each optional match or NULL where there is none."""
-    named = join_lookup(fact, dim, fact_dim, dim_key)
-    return left_join_split(named, opt, F.col(fact_key) == F.col(opt_key), fact_key, opt_key)
+    return left_join(join_lookup(fact, dim, fact_dim, dim_key), opt, fact_key, opt_key, hot_rows)
 
 
 def distinct_groups_keep_empty(

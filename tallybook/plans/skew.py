@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallybook.plans.durable import written_table
 
@@ -36,13 +36,19 @@ def split_by_heat(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, D
     return df.join(hot, key, "left_anti").select(*same), df.join(hot, key, "left_semi").select(*same)
 
 
-def left_join_split(left: DataFrame, right: DataFrame, on: Column, left_key: str, right_key: str) -> DataFrame:
-    """LEFT JOIN as inner join plus the unmatched rows.
+def left_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """LEFT JOIN on two columns, also where a key has very many rows on the right.
 
-    AQE can split a hot key of either side of an inner join, but not one on the right of a left
-    outer join.
+    AQE splits a hot key of the left side, but not one on the right of a left outer join. A key
+    seen on the right has a match for certain, so those keys go through an inner join, which AQE
+    splits on either side.
     """
-    matched = left.join(right, on, "inner")
-    keys = right.select(F.col(right_key).alias("_right_key")).distinct()
-    alone = left.join(keys, F.col(left_key) == F.col("_right_key"), "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    on = F.col(left_key) == F.col(right_key)
+    hot = hot_keys(right, right_key, hot_rows)
+    if hot is None:
+        return left.join(right, on, "left")
+    cool_right, hot_right = split_by_heat(right, right_key, hot)
+    cool_left, hot_left = split_by_heat(left, left_key, hot.withColumnRenamed(right_key, left_key))
+    return cool_left.join(cool_right, on, "left").unionByName(hot_left.join(hot_right, on))

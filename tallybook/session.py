@@ -14,11 +14,20 @@ _own_folders: dict[str, str] = {}
 _locations: list[str] = []
 
 
+def shuffle_partitions(input_bytes: int, per_task: int = 192 << 20) -> int:
+    """Shuffle partitions that give each task about ``per_task`` bytes of the input.
+
+    AQE merges partitions that turn out small and splits skewed ones, but never adds any, so the
+    number is set for the largest shuffle. 100 TB come to about half a million.
+    """
+    return max(200, -(-input_bytes // per_task))
+
+
 def build_session(app_name: str = "tallybook", master: str | None = None, **settings) -> SparkSession:
     """A session with the settings the library is written for.
 
-    On a cluster leave ``master`` out and size shuffle partitions there; AQE merges the
-    small ones and splits the skewed ones.
+    On a cluster leave ``master`` out, and set ``spark.sql.shuffle.partitions`` to
+    ``shuffle_partitions`` of the input's size.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

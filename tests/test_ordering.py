@@ -92,10 +92,11 @@ def test_union_lesson_sets(spark):
     ]
 
 
-def test_left_join_split(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "lk int, x string")
-    right = spark.createDataFrame([(1, "p"), (1, "q"), (None, "r")], "rk int, y string")
-    got = skew.left_join_split(left, right, F.col("lk") == F.col("rk"), "lk", "rk")
-    assert sorted(((r["x"], r["y"]) for r in got.collect()), key=str) == sorted(
-        [("a", "p"), ("a", "q"), ("b", None), ("c", None)], key=str
-    )
+@pytest.mark.parametrize("hot_rows", [2, 3, 1000])
+def test_left_join_with_hot_keys(spark, hot_rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")], "lk int, x string")
+    right = spark.createDataFrame([(1, "p"), (1, "q"), (1, "r"), (None, "s"), (None, "t"), (3, "u"), (4, "v")], "rk int, y string")
+    got = skew.left_join(left, right, "lk", "rk", hot_rows)
+    want = left.join(right, F.col("lk") == F.col("rk"), "left")
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert got.columns == want.columns
