@@ -93,24 +93,19 @@ def heading_lines(cols: list[str]) -> list[str]:
 def render_table(df: DataFrame, order: list[Column], cols: list[str] | None = None, scale: int = 2) -> DataFrame:
     """A whole result as sorted lines: heading, rule, rows; or one message if there are no rows."""
     names = cols or df.columns
-    probe = df.limit(1)
     sort_names = [f"_o{i}" for i in range(len(order))]
     body = df.select(
-        F.lit(1).alias("_part"), row_line(df, names, scale).alias("line"),
+        F.lit(2).alias("_part"), row_line(df, names, scale).alias("line"),
         *[c.alias(n) for c, n in zip(order, sort_names)],
     )
-    lines = F.array(*[F.struct(F.lit(i).alias("n"), F.lit(t).alias("t")) for i, t in enumerate(heading_lines(names))])
-    head = (
-        probe.select(F.explode(lines).alias("h"))
-        .select((F.col("h.n") - 1).alias("_part"), F.col("h.t").alias("line"))
-    )
-    message = (
-        probe.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0)
-        .select(F.lit(1).alias("_part"), F.lit(NO_ROWS).alias("line"))
+    # One row tells whether there is anything to show.
+    found = df.limit(1).agg(F.count(F.lit(1)).alias("n"))
+    above = F.when(F.col("n") > 0, F.array(*[F.lit(line) for line in heading_lines(names)])).otherwise(
+        F.array(F.lit(NO_ROWS))
     )
+    head = found.select(F.posexplode(above).alias("_part", "line"))
     return (
         body.unionByName(head, allowMissingColumns=True)
-        .unionByName(message, allowMissingColumns=True)
         .orderBy("_part", *sort_names)
         .select("line")
     )

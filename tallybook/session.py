@@ -69,17 +69,25 @@ def new_location(spark: SparkSession, label: str) -> str:
     return location
 
 
+def _hadoop_path(spark: SparkSession, location: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def location_exists(spark: SparkSession, location: str) -> bool:
+    path, files = _hadoop_path(spark, location)
+    return files.exists(path)
+
+
 def drop_run_tables(spark: SparkSession) -> int:
     """Delete the intermediate tables and stream state this process has written so far.
 
     Call it when the results that read them are stored; returns how many were there.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
     while _locations:
-        path = hadoop.Path(_locations.pop())
-        dropped += path.getFileSystem(configuration).delete(path, True)
+        path, files = _hadoop_path(spark, _locations.pop())
+        dropped += files.delete(path, True)
     return dropped
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallybook.operators.progress import attempt_totals
 from tallybook.plans.contest import Contest
 from tallybook.sources.tables import STORED_TABLES
-from tallybook.session import new_location, session_settings
+from tallybook.session import location_exists, new_location, session_settings
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -34,14 +34,18 @@ def newest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
     return last.select(*keys, *[F.col(f"last.row.{c}").alias(c) for c in rest])
 
 
-def run_available(build: Callable[[], DataFrame], keys: list[str], label: str, spark: SparkSession) -> DataFrame:
-    """Run a stream over all there is, and give the finished report."""
-    location = new_location(spark, label)
-    saved = []
+def run_available(
+    spark: SparkSession, build: Callable[[], DataFrame], keys: list[str], label: str, location: str | None = None
+) -> DataFrame:
+    """Run a stream over all there is, and give the finished report.
+
+    With a ``location`` of its own a stream goes on where its last run ended; without one it
+    starts from nothing.
+    """
+    location = location or new_location(spark, label)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{location}/changes/batch_id={batch_id}")
-        saved.append(batch_id)
 
     with session_settings(
         spark, spark__sql__session__timeZone="UTC", spark__sql__streaming__stateStore__providerClass=_ROCKSDB
@@ -55,21 +59,31 @@ def run_available(build: Callable[[], DataFrame], keys: list[str], label: str, s
             .start()
         )
         query.awaitTermination()
-    if not saved:
+    if not location_exists(spark, f"{location}/changes"):
         return spark.createDataFrame([], changes.schema)
     schema = T.StructType([*changes.schema.fields, T.StructField("batch_id", T.LongType())])
     return newest_per_key(spark.read.schema(schema).parquet(f"{location}/changes"), keys)
 
 
-def stream_attempt_totals(spark: SparkSession, attempts: Callable[[], DataFrame]) -> DataFrame:
+def stream_attempt_totals(
+    spark: SparkSession, attempts: Callable[[], DataFrame], location: str | None = None
+) -> DataFrame:
     """Totals per user and problem from a stream of attempts."""
-    return run_available(lambda: attempt_totals(attempts()), ["user_id", "problem_id"], "attempt-totals", spark)
+    return run_available(
+        spark, lambda: attempt_totals(attempts()), ["user_id", "problem_id"], "attempt-totals", location
+    )
 
 
 def stream_round_counts(
-    spark: SparkSession, attempts: Callable[[], DataFrame], contest: Contest, late_by: str = "3 days"
+    spark: SparkSession, attempts: Callable[[], DataFrame], contest: Contest, late_by: str | None = None,
+    location: str | None = None,
 ) -> DataFrame:
-    """Attempts per round from a stream; attempts later than ``late_by`` are past the cut-off."""
+    """Attempts per round from a stream; all that come within ``late_by`` of newer ones are counted.
+
+    The default is the length of the contest. State is one row per open round, so waiting long for
+    late attempts costs next to nothing.
+    """
+    late_by = late_by or f"{contest.rounds * contest.round_days} days"
     length = contest.round_days * 86400
     offset = int(contest.start.replace(tzinfo=timezone.utc).timestamp()) % length
 
@@ -90,4 +104,4 @@ def stream_round_counts(
             )
         )
 
-    return run_available(build, ["starts_at", "ends_at"], "round-counts", spark)
+    return run_available(spark, build, ["starts_at", "ends_at"], "round-counts", location)

@@ -1,5 +1,6 @@
 """Streams over many files give what the batch jobs give."""
 
+import time
 from datetime import datetime
 
 import pytest
@@ -67,3 +68,34 @@ def test_empty_stream(spark, tmp_path):
     (tmp_path / "events.parquet").mkdir()
     got = streams.stream_attempt_totals(spark, source(spark, str(tmp_path)))
     assert got.count() == 0 and "ever_solved" in got.columns
+
+
+def arrive(spark, folder, number, moments):
+    rows = [(number * 100 + i, at, 1, "view", 0.0, '{"k": 1}') for i, at in enumerate(moments)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/events-{number}.parquet")
+    time.sleep(1.1)  # files are taken in the order of their times
+
+
+def test_goes_on_where_it_ended(spark, tmp_path):
+    location, day = f"{tmp_path}/report", datetime(2024, 1, 2)
+    arrive(spark, tmp_path, 1, [day, day])
+    first = streams.stream_attempt_totals(spark, source(spark, str(tmp_path)), location)
+    assert [r["attempts"] for r in first.collect()] == [2]
+    arrive(spark, tmp_path, 2, [day])
+    for _ in range(2):  # the second time there is nothing new
+        again = streams.stream_attempt_totals(spark, source(spark, str(tmp_path)), location)
+        assert [r["attempts"] for r in again.collect()] == [3]
+
+
+def test_late_attempts(spark, tmp_path):
+    arrive(spark, tmp_path, 1, [datetime(2024, 1, 20)])
+    arrive(spark, tmp_path, 2, [datetime(2024, 1, 20)])
+    arrive(spark, tmp_path, 3, [datetime(2024, 1, 1), datetime(2024, 1, 19)])
+
+    def counts(late_by):
+        got = streams.stream_round_counts(spark, source(spark, str(tmp_path)), CONTEST, late_by)
+        return {r["starts_at"].day: r["attempts"] for r in got.collect()}
+
+    assert counts("1 day") == {19: 3}
+    assert counts(None) == {1: 1, 19: 3}
