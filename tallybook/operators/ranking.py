@@ -11,6 +11,9 @@ from tallybook.plans.durable import written_table
 from tallybook.plans.ordering import number_rows, overall_rank, previous_value
 from tallybook.plans.skew import HOT_ROWS, hot_keys, split_by_heat
 
+# Spark cuts groups to their first k rows before the shuffle up to this k.
+GROUP_LIMIT = 1000
+
 
 def with_previous(
     hist: DataFrame,
@@ -51,8 +54,9 @@ def period_increase(
     ranges: int | None = None,
 ) -> DataFrame:
     """Rows that rose over the entity's row before, with the rise in percent, largest first."""
+    known = hist.where(F.col(entity).isNotNull()).select(entity, moment, tie, value)
     rises = (
-        with_previous(hist.select(entity, moment, tie, value), entity, moment, tie, value, "previous_value", hot_rows, ranges)
+        with_previous(known, entity, moment, tie, value, "previous_value", hot_rows, ranges)
         .where(F.col(value) > F.col("previous_value"))
         .withColumn(
             "increase_percent",
@@ -66,15 +70,24 @@ def period_increase(
     )
 
 
-def group_leaders(t: DataFrame, group: str, value: str, k: int, name: str = "group_rank") -> DataFrame:
+def group_leaders(
+    t: DataFrame, group: str, value: str, k: int, tie: str, name: str = "group_rank",
+    most_by_window: int = GROUP_LIMIT, ranges: int | None = None,
+) -> DataFrame:
     """The values with RANK <= k in their group, as (group, value, rank), at most k per group.
 
     A value ranks within k exactly if it is among the first k rows, however ties fall, and its
     rank is the first of its places there. ROW_NUMBER keeps k rows per group and task before the
-    shuffle, where RANK would keep all ties.
+    shuffle, where RANK would keep all ties. Where k is too large for that, rows are numbered
+    through sort ranges.
     """
-    window = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
-    first = t.select(group, value).withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= k)
+    down = F.col(value).desc_nulls_last()
+    if k <= most_by_window:
+        place = F.row_number().over(Window.partitionBy(group).orderBy(down))
+        placed = t.select(group, value).withColumn("_place", place)
+    else:
+        placed = number_rows(t.select(group, value, tie), [group], [down, F.col(tie)], "_place", ranges)
+    first = placed.where(F.col("_place") <= k)
     return first.groupBy(group, value).agg(F.min("_place").cast("bigint").alias(name))
 
 
@@ -88,7 +101,7 @@ def top_k_and_overall_rank(
     their size and can keep the rows where they are.
     """
     rows = fact.join(dim, F.col(fact_key) == F.col(dim_key))
-    leaders = group_leaders(rows, fact_key, value, k).select(
+    leaders = group_leaders(rows, fact_key, value, k, tie, ranges=ranges).select(
         F.col(fact_key).alias("_group"), F.col(value).alias("_value"), "group_rank"
     )
     ranks = overall_rank(rows.select(value), value, ranges=ranges).select(

@@ -23,17 +23,18 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | N
     if fraction < 1.0:
         seen = seen.sample(fraction=fraction, seed=17)
     enough = hot_rows if fraction == 1.0 else _EXPECTED_IN_SAMPLE / 2
-    counted = seen.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = seen.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     found = counted.where(F.col("_n") >= enough).select(key)
     return None if found.isEmpty() else written_table(found, "hot")
 
 
 def split_by_heat(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of the other keys, rows of the hot keys); NULL keys are with the others."""
+    """(rows of the other keys, rows of the hot keys); NULL is a key like any other."""
+    hot = hot.select(F.col(key).alias("_hot"))
     if hot.count() <= _MAX_BROADCAST_KEYS:
         hot = F.broadcast(hot)
-    same = df.columns
-    return df.join(hot, key, "left_anti").select(*same), df.join(hot, key, "left_semi").select(*same)
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+    return df.join(hot, is_hot, "left_anti"), df.join(hot, is_hot, "left_semi")
 
 
 def left_join(
@@ -46,6 +47,7 @@ def left_join(
     splits on either side.
     """
     on = F.col(left_key) == F.col(right_key)
+    right = right.where(F.col(right_key).isNotNull())
     hot = hot_keys(right, right_key, hot_rows)
     if hot is None:
         return left.join(right, on, "left")

@@ -84,6 +84,27 @@ def test_top_k_keeps_all_ties(spark, k):
     assert {(r["id"], r["group_rank"], r["overall_rank"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("most_by_window", [0, 1000])
+def test_group_leaders_both_ways(spark, most_by_window):
+    d = data(7)
+    got = ranking.group_leaders(spark.createDataFrame(d, SCHEMA), "k", "v", 4, "id", most_by_window=most_by_window, ranges=5)
+    want = set()
+    for _, key, _, v in d:
+        place = rank_of(v, [x[3] for x in d if x[1] == key])
+        if place <= 4:
+            want.add((key, v, place))
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+
+
+def test_a_missing_key_can_be_hot(spark):
+    d = [(i, None if i % 3 else 1, i % 7, float(i)) for i in range(60)]
+    df = spark.createDataFrame(d, SCHEMA)
+    got = ranking.with_previous(df, "k", "at", "id", "v", "p", hot_rows=30, ranges=4)
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("at", "id")))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_union_lesson_sets(spark):
     sets = {n: spark.createDataFrame([(f"q{n}{i}", i) for i in range(n)], "q string, i int") for n in (1, 2, 3)}
     got = ranking.union_lesson_sets(sets, ["i", "q"], ranges=3)

@@ -44,7 +44,7 @@ def test_rows_beyond_k_are_dropped_before_the_shuffle(spark):
     from tallybook.operators.ranking import group_leaders
     from tallybook.sources.tables import read_table
 
-    text = group_leaders(read_table(spark, SF, "customer"), "c_nationkey", "c_acctbal", 2)._jdf.queryExecution().toString()
+    text = group_leaders(read_table(spark, SF, "customer"), "c_nationkey", "c_acctbal", 2, "c_custkey")._jdf.queryExecution().toString()
     assert "row_number(), 2, Partial" in text
 
 
