@@ -63,6 +63,12 @@ def filter_both(spark, d):
     return rows.select("c_name", "c_acctbal")
 
 
+def bound_parameters(spark, d):
+    """Query text with its values bound by place."""
+    query = "SELECT c_name, c_acctbal FROM {customer} WHERE c_mktsegment = ? AND c_acctbal >= ?"
+    return spark.sql(query, args=["BUILDING", 5000.0], customer=read_table(spark, d, "customer"))
+
+
 def count_by_group(spark, d):
     return lessons.count_by_group(read_table(spark, d, "customer"), "c_mktsegment", "customers")
 
@@ -372,7 +378,7 @@ def stream_round_counts(spark, d):
 
 
 _QUERIES = [
-    project_one, project_two, project_all, filter_equal, filter_at_least, filter_both, count_by_group,
+    project_one, project_two, project_all, filter_equal, filter_at_least, filter_both, bound_parameters, count_by_group,
     groups_above_average, max_by_group, bucket_high_low, date_parts, tenure_months, join_lookup,
     group_count_keep_empty, join_average, three_way_join, distinct_groups_keep_empty, shared_project_count,
     cte_group_filter_join, period_increase, top_two_and_overall_rank,
@@ -480,6 +486,8 @@ def oracle_sql() -> dict[str, str]:
         "filter_at_least": "SELECT c_name, c_acctbal FROM customer WHERE c_acctbal >= 5000",
         "filter_both": """
             SELECT c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal >= 5000""",
+        "bound_parameters": """
+            SELECT c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal >= 5000""",
         "count_by_group": """
             SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY c_mktsegment ORDER BY c_mktsegment""",
         "groups_above_average": f"""

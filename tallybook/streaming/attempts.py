@@ -13,18 +13,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallybook.operators.progress import attempt_totals
 from tallybook.plans.contest import Contest
-from tallybook.sources.tables import STORED_TABLES
 from tallybook.session import location_exists, new_location, session_settings
+from tallybook.sources.tables import STORED_TABLES
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
-    """A parquet table as a stream of its files, be it one file, a folder or several of either."""
+    """A parquet table as a stream of its files, be it one file or a folder that files are added to."""
     reader = spark.readStream.schema(STORED_TABLES[name])
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{folder}/{name}*.parquet")
+    # As a pattern the path may be a file as well as a folder.
+    return reader.parquet(f"{folder}/{name}[.]parquet")
 
 
 def newest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:

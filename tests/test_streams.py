@@ -20,7 +20,7 @@ def parts(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("arrivals"))
     events = read_table(spark, SF, "events")
     for i in range(5):
-        events.where(f"event_id % 5 = {i}").coalesce(1).write.parquet(f"{folder}/events-{i}.parquet")
+        events.where(f"event_id % 5 = {i}").coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
     return folder
 
 
@@ -73,7 +73,7 @@ def test_empty_stream(spark, tmp_path):
 def arrive(spark, folder, number, moments):
     rows = [(number * 100 + i, at, 1, "view", 0.0, '{"k": 1}') for i, at in enumerate(moments)]
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/events-{number}.parquet")
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
     time.sleep(1.1)  # files are taken in the order of their times
 
 
