@@ -36,21 +36,27 @@ def newest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def run_available(
-    spark: SparkSession, build: Callable[[], DataFrame], keys: list[str], label: str, location: str | None = None
+    spark: SparkSession, build: Callable[[], DataFrame], keys: list[str], label: str, location: str | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Run a stream over all there is, and give the finished report.
 
     With a ``location`` of its own a stream goes on where its last run ended; without one it
-    starts from nothing.
+    starts from nothing. Each state partition is a store of its own, kept for good, so their number
+    goes by the keys (``state_partitions``), not by the size of the input.
     """
     location = location or new_location(spark, label)
+    settings = {
+        "spark__sql__session__timeZone": "UTC",
+        "spark__sql__streaming__stateStore__providerClass": _ROCKSDB,
+    }
+    if state_partitions:
+        settings["spark__sql__shuffle__partitions"] = str(state_partitions)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{location}/changes/batch_id={batch_id}")
 
-    with session_settings(
-        spark, spark__sql__session__timeZone="UTC", spark__sql__streaming__stateStore__providerClass=_ROCKSDB
-    ):
+    with session_settings(spark, **settings):
         changes = build()
         query = (
             changes.writeStream.outputMode("update")
@@ -67,11 +73,13 @@ def run_available(
 
 
 def stream_attempt_totals(
-    spark: SparkSession, attempts: Callable[[], DataFrame], location: str | None = None
+    spark: SparkSession, attempts: Callable[[], DataFrame], location: str | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Totals per user and problem from a stream of attempts."""
+    keys = ["user_id", "problem_id"]
     return run_available(
-        spark, lambda: attempt_totals(attempts()), ["user_id", "problem_id"], "attempt-totals", location
+        spark, lambda: attempt_totals(attempts()), keys, "attempt-totals", location, state_partitions
     )
 
 
@@ -105,4 +113,5 @@ def stream_round_counts(
             )
         )
 
-    return run_available(spark, build, ["starts_at", "ends_at"], "round-counts", location)
+    # Attempts are counted per round before the shuffle: a few rows from each task.
+    return run_available(spark, build, ["starts_at", "ends_at"], "round-counts", location, state_partitions=8)

@@ -34,7 +34,9 @@ def rows(df):
 
 def test_attempt_totals(spark, parts):
     before = spark.conf.get("spark.sql.session.timeZone")
-    got = streams.stream_attempt_totals(spark, source(spark, parts))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    got = streams.stream_attempt_totals(spark, source(spark, parts), state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
     assert rows(got) == rows(progress.attempt_totals(attempt_log(read_table(spark, SF, "events"), CONTEST)))
     assert spark.conf.get("spark.sql.session.timeZone") == before
 
