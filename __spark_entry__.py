@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from datetime import datetime
@@ -396,10 +397,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return cte_group_filter_join(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in _QUERIES}
 
 
+def _training_data():
+    """The module with the training-data queries, where that subpackage is installed."""
+    if importlib.util.find_spec("tallybook.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    from tallybook.llm import queries as training_data
+
+    return training_data
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = _training_data()
+    return core_queries() | (more.queries() if more else {})
+
+
 # The average as the queries take it: an exact sum, then one double division.
 def _avg(col: str) -> str:
     return f"CAST(sum(CAST({col} AS DECIMAL(18,2))) AS DOUBLE) / nullif(count({col}), 0)"
@@ -476,7 +491,7 @@ def _plain_text(col: str, scale: int | None = None) -> str:
     return f"CAST(CAST({col} AS DECIMAL(38,{scale})) AS VARCHAR)" if scale else f"CAST({col} AS VARCHAR)"
 
 
-def oracle_sql() -> dict[str, str]:
+def core_sql() -> dict[str, str]:
     money, key, nation = _plain_text("c_acctbal", 2), _plain_text("c_custkey"), _plain_text("c_nationkey")
     return {
         "project_one": "SELECT c_name FROM customer",
@@ -721,3 +736,8 @@ def oracle_sql() -> dict[str, str]:
                    count(*) AS attempts
             FROM log GROUP BY 1, 2""",
     }
+
+
+def oracle_sql() -> dict[str, str]:
+    more = _training_data()
+    return core_sql() | (more.oracle_sql() if more else {})

@@ -12,17 +12,17 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.core_queries()) == set(registry.core_sql())
 
 
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.core_queries()))
 def test_query_matches_sql(spark, con, name):
-    df = registry.queries()[name](spark, SF)
-    assert oracle.compare(df, con, registry.oracle_sql()[name]) == []
+    df = registry.core_queries()[name](spark, SF)
+    assert oracle.compare(df, con, registry.core_sql()[name]) == []
 
 
 ORDERED = [
@@ -34,6 +34,6 @@ ORDERED = [
 
 @pytest.mark.parametrize("name", ORDERED)
 def test_order_matches_sql(spark, con, name):
-    df, sql = registry.queries()[name](spark, SF), registry.oracle_sql()[name]
+    df, sql = registry.core_queries()[name](spark, SF), registry.core_sql()[name]
     names = [r[0] for r in con.execute(f"DESCRIBE {sql}").fetchall()]
     assert [tuple(r) for r in df.select(*names).collect()] == con.execute(sql).fetchall()
