@@ -11,7 +11,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tallybook.plans.durable import written_table  # noqa: F401  (used by the operators)
+from tallybook.plans.durable import written_table
+from tallybook.plans.ordering import number_rows
 
 # A text batch is cut to about this many bytes, so that the 8-byte arrays over it stay small.
 BATCH_BYTES = 1 << 19
@@ -156,3 +157,31 @@ def zipped(docs: DataFrame) -> DataFrame:
 
 def unzip(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
+
+
+def unique_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with every row under an id of its own, and the ids' names where new ones were needed.
+
+    Only if an id is missing or repeated are rows numbered, by (id, text); the names then hold
+    ``doc_id`` and the id it stands for, ``outer_id``.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where("n > 1 OR doc_id IS NULL").isEmpty():
+        return docs, None
+    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    numbered = written_table(number_rows(docs, [], order, "_key"), "numbered")
+    return (
+        numbered.select(F.col("_key").alias("doc_id"), "text"),
+        numbered.select(F.col("_key").alias("doc_id"), F.col("doc_id").alias("outer_id")),
+    )
+
+
+def outer_ids(result: DataFrame, names: DataFrame | None, *columns: str) -> DataFrame:
+    """The ids the caller knows, in ``columns``."""
+    if names is None:
+        return result
+    for column in columns:
+        named = names.select(F.col("doc_id").alias("_key"), F.col("outer_id").alias("_name"))
+        order = [F.col("_name").alias(column) if c == column else F.col(c) for c in result.columns]
+        result = result.join(named, F.col(column) == F.col("_key"), "left").select(*order)
+    return result

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.llm.blocks import (
-    documents, mix, pack, pack_sorted, partitions, text_array, text_batches, unpack, unpack_sorted, unzip,
-    written_table, zipped,
+    documents, mix, outer_ids, pack, pack_sorted, partitions, text_array, text_batches, unique_ids, unpack,
+    unpack_sorted, unzip, written_table, zipped,
 )
 from tallybook.llm.components import components
 from tallybook.llm.shingles import shingle_sets
@@ -353,12 +353,11 @@ def ngram_components(
     of ``size`` words, or the whole sequence where there are fewer. Sets link when
     100 * intersection >= ``percent`` * union, exactly; a component is named by its smallest id.
     Null and empty texts, and texts without words, have no shingles and link with nothing. Rows
-    without an id are left out; rows that repeat an id are taken as one document each and come out
-    as often, with the smallest component among them. Extra columns are ignored; an empty table
-    gives no rows.
+    that repeat an id, or have none, are one document each. Other columns are ignored, whatever
+    their names; an empty table gives no rows.
     """
     t = Fraction(percent, 100)
-    docs = documents(docs, id_column, text_column).where("doc_id IS NOT NULL")
+    docs, names = unique_ids(documents(docs, id_column, text_column))
     parts = partitions(docs)
     summary = written_table(set_summary(docs, size), "summary")
     classes = summary.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
@@ -369,8 +368,7 @@ def ngram_components(
     )
     live = counts.join(classes.select(F.col("rep").alias("doc_id"), "n"), "doc_id").where(F.col("shared") >= least)
     live = written_table(live.select("doc_id", "n").distinct(), "live")
-    sets = _sets_of(docs, live, size, parts).groupBy("part", "doc_id").agg(F.min("tokens").alias("tokens"))
-    sets = written_table(sets, "sets")
+    sets = written_table(_sets_of(docs, live, size, parts), "sets")
     prefixes = written_table(_prefixes(sets, t), "prefixes")
     keyed = prefixes.withColumn("home", F.element_at("prefix", 1))
     family = keyed.groupBy("home").agg(F.count(F.lit(1)).alias("beside"))
@@ -394,4 +392,5 @@ def ngram_components(
     classed = summary.join(classes, ["n", "s1", "s2"], "left")
     found = classed.join(named, F.col("rep") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "doc_id")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return outer_ids(found, names, "doc_id", "component_id")

@@ -29,10 +29,10 @@ s AS (
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS (
     SELECT a, b FROM (
-        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y USING (shingle)
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y USING (shingle)
         WHERE x.doc_id <> y.doc_id GROUP BY ALL)
     JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
-    WHERE 100 * both >= 85 * (p.n + q.n - both)),
+    WHERE 100 * common >= 85 * (p.n + q.n - common)),
 reach AS (
     SELECT doc_id, doc_id AS other FROM documents
     UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
