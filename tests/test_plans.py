@@ -8,11 +8,11 @@ from tallybook import session
 SF = "/root/testdata/sf0.001"
 # One-row aggregates, one-row probes and tables of one row per range may sit in one partition.
 SINGLE = {"top_two_and_overall_rank", "same_rows", "render_table", "constraint_report"}
-BATCH = [n for n in registry.queries() if not n.startswith("stream_")]
+BATCH = [n for n in registry.core_queries() if not n.startswith("stream_")]
 
 
 def plan(spark, name):
-    df = registry.queries()[name](spark, SF)
+    df = registry.core_queries()[name](spark, SF)
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return df._jdf.queryExecution().explainString(mode)
 
@@ -31,7 +31,7 @@ def test_filters_reach_the_scan(spark):
     assert "EqualTo(c_mktsegment,BUILDING)" in text and "GreaterThanOrEqual(c_acctbal,5000.0)" in text
     assert "ReadSchema: struct<c_name:string,c_acctbal:double,c_mktsegment:string>" in text
     assert "GreaterThanOrEqual(l_quantity,48.0)" in plan(spark, "distinct_groups_keep_empty")
-    assert "GreaterThanOrEqual(o_orderdate" in registry.queries()["date_parts"](spark, SF).where(
+    assert "GreaterThanOrEqual(o_orderdate" in registry.core_queries()["date_parts"](spark, SF).where(
         "o_orderdate >= timestamp_ntz'1996-01-01'"
     )._jdf.queryExecution().toString()
 
