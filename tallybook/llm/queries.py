@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import ngram_join
+from tallybook.llm import ngram_join, packing, suffix_dedup, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,11 +41,44 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)"""
 
 
+def op3_url_filters(spark, d):
+    return url_filters.judge_urls(_table(spark, d, "pages"), url_filters.query_rules(spark))
+
+
+OP3_SQL = r"""
+WITH p AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+h AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM p),
+rules(rule_host, rule_path, verdict) AS (VALUES
+    ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits AS (
+    SELECT page_id, max_by(struct_pack(rule := rule_host || rule_path, verdict := verdict),
+        length(rule_host || rule_path)) AS best
+    FROM h JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+FROM h LEFT JOIN fits USING (page_id)"""
+
+
+def op7_packing(spark, d):
+    return packing.pack(_table(spark, d, "documents"))
+
+
+def op10_suffix_array_dedup(spark, d):
+    return suffix_dedup.removal_digest(suffix_dedup.remove_repeats(_table(spark, d, "documents")))
+
+
 def queries():
-    found = [op1_ngram_jaccard_join]
+    found = [op1_ngram_jaccard_join, op3_url_filters, op7_packing, op10_suffix_array_dedup]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
-    found = {"op1_ngram_jaccard_join": OP1_SQL}
+    found = {"op1_ngram_jaccard_join": OP1_SQL, "op3_url_filters": OP3_SQL}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
