@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import ngram_join, packing, suffix_dedup, url_filters
+from tallybook.llm import ngram_join, packing, spotsigs, suffix_dedup, topk_search, url_filters, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,19 +66,56 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') A
 FROM h LEFT JOIN fits USING (page_id)"""
 
 
+def op5_exact_top_k_search(spark, d):
+    return topk_search.top_k(_table(spark, d, "embeddings"))
+
+
+OP5_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5"""
+
+
 def op7_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"))
 
 
+def op8_document_fingerprints(spark, d):
+    return spotsigs.edit_report(_table(spark, d, "documents"))
+
+
+def op9_warc(spark, d):
+    return warc.archive_pages(_table(spark, d, "pages"))
+
+
+OP9_SQL = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM m"""
+
+
 def op10_suffix_array_dedup(spark, d):
     return suffix_dedup.removal_digest(suffix_dedup.remove_repeats(_table(spark, d, "documents")))
 
 
 def queries():
-    found = [op1_ngram_jaccard_join, op3_url_filters, op7_packing, op10_suffix_array_dedup]
+    found = [
+        op1_ngram_jaccard_join, op3_url_filters, op5_exact_top_k_search, op7_packing, op8_document_fingerprints,
+        op9_warc, op10_suffix_array_dedup,
+    ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
-    found = {"op1_ngram_jaccard_join": OP1_SQL, "op3_url_filters": OP3_SQL}
+    found = {"op1_ngram_jaccard_join": OP1_SQL, "op3_url_filters": OP3_SQL, "op5_exact_top_k_search": OP5_SQL, "op9_warc": OP9_SQL}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
