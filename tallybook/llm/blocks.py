@@ -68,7 +68,7 @@ def span_hashes(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 
 def pack(values: np.ndarray) -> bytes:
     """An array as compressed bytes, planes of equal significance together."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
