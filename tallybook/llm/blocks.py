@@ -16,6 +16,7 @@ from tallybook.plans.ordering import number_rows
 
 # A text batch is cut to about this many bytes, so that the 8-byte arrays over it stay small.
 BATCH_BYTES = 1 << 19
+BATCH_TRANSFER = 8 << 20  # bytes between the JVM and a task's Python at a time
 
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -134,8 +135,16 @@ def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small_batches(df: DataFrame) -> None:
+    """Let tasks hand texts over in batches of a few megabytes, however many rows those are."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("b")) != BATCH_TRANSFER:
+        conf.set(key, str(BATCH_TRANSFER))
+
+
 def documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The two columns the operators read, under fixed names; other columns may be called anything."""
+    small_batches(df)
     return df.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
 
 

@@ -34,7 +34,7 @@ from tallybook.llm.blocks import (
 from tallybook.llm.components import components
 from tallybook.llm.shingles import shingle_sets
 
-_FLUSH = 1 << 21  # prefix members a task gathers before it sends them off
+_FLUSH = 1 << 19  # prefix members a task gathers before it sends them off
 FAMILY_BLOCK = 1024  # documents compared with each other in one place
 
 

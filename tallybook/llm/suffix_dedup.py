@@ -31,7 +31,7 @@ from tallybook.llm.blocks import (
     unique_ids, unpack, unpack_sorted, unzip, written_table, zipped,
 )
 
-_FLUSH = 400_000  # anchors a task gathers before it sends them off
+_FLUSH = 200_000  # anchors a task gathers before it sends them off
 HOT_CONTEXTS = 20_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SHALLOW_WORDS = 7  # eight bytes each

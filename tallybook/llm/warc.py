@@ -23,7 +23,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallybook.llm.blocks import partitions, written_table
+from tallybook.llm.blocks import partitions, small_batches, written_table
 from tallybook.plans.ordering import OFFSET_IN_SEGMENT, SEGMENT, in_ranges
 from tallybook.session import new_location
 
@@ -89,6 +89,7 @@ def _open(uri: str):
 
 def judged(pages: DataFrame, least: int = 1000, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """``page_id``, ``url``, ``html``, ``refers_to``: null for a response, else the id it revisits."""
+    small_batches(pages)
     pages = pages.select(
         F.col(f"`{id_column}`").cast("bigint").alias("page_id"), F.col(f"`{url_column}`").alias("url"),
         F.coalesce(F.col(f"`{html_column}`"), F.lit("")).alias("html"),
