@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import ngram_join, packing, spotsigs, suffix_dedup, topk_search, url_filters, warc
+from tallybook.llm import ngram_join, packing, sentencepiece_fst, spotsigs, suffix_dedup, topk_search, url_filters, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,6 +81,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5"""
 
 
+def op6_sentencepiece(spark, d):
+    return sentencepiece_fst.round_trip(_table(spark, d, "documents"))
+
+
 def op7_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"))
 
@@ -110,7 +114,7 @@ def op10_suffix_array_dedup(spark, d):
 
 def queries():
     found = [
-        op1_ngram_jaccard_join, op3_url_filters, op5_exact_top_k_search, op7_packing, op8_document_fingerprints,
+        op1_ngram_jaccard_join, op3_url_filters, op5_exact_top_k_search, op6_sentencepiece, op7_packing, op8_document_fingerprints,
         op9_warc, op10_suffix_array_dedup,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
