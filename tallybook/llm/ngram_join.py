@@ -33,6 +33,7 @@ from tallybook.llm.blocks import (
 )
 from tallybook.llm.components import components
 from tallybook.llm.shingles import shingle_sets
+from tallybook.plans.ordering import number_rows
 
 _FLUSH = 1 << 19  # prefix members a task gathers before it sends them off
 FAMILY_BLOCK = 1024  # documents compared with each other in one place
@@ -394,3 +395,24 @@ def ngram_components(
     component = F.coalesce("component", "rep", "doc_id")
     found = found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return outer_ids(found, names, "doc_id", "component_id")
+
+
+def one_per_component(
+    docs: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that name their component, with all their columns.
+
+    Of rows that repeat an id, or have none, each is a document of its own.
+    """
+    ids = docs.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n"))
+    key = id_column
+    if not ids.where(f"_n > 1 OR `{id_column}` IS NULL").isEmpty():
+        key = "_key"
+        while key in docs.columns:
+            key += "_"
+        order = [F.col(id_column).asc_nulls_first(), F.col(text_column).asc_nulls_first()]
+        docs = written_table(number_rows(docs, [], order, key), "numbered")
+    found = ngram_components(docs, size, percent, key, text_column)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(key))
+    kept = docs.join(kept, key, "left_semi")
+    return kept if key == id_column else kept.drop(key)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybook.llm import ngram_join, packing, sentencepiece_fst, spotsigs, suffix_dedup, topk_search, url_filters, warc
+from tallybook.llm import (
+    ngram_join, packing, quality, sentencepiece_fst, spotsigs, suffix_dedup, topk_search, toxicity, url_filters, warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +43,10 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)"""
 
 
+def op2_toxicity(spark, d):
+    return toxicity.score(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 def op3_url_filters(spark, d):
     return url_filters.judge_urls(_table(spark, d, "pages"), url_filters.query_rules(spark))
 
@@ -66,6 +72,10 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') A
 FROM h LEFT JOIN fits USING (page_id)"""
 
 
+def op4_quality_classifier(spark, d):
+    return quality.score(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 def op5_exact_top_k_search(spark, d):
     return topk_search.top_k(_table(spark, d, "embeddings"))
 
@@ -114,8 +124,8 @@ def op10_suffix_array_dedup(spark, d):
 
 def queries():
     found = [
-        op1_ngram_jaccard_join, op3_url_filters, op5_exact_top_k_search, op6_sentencepiece, op7_packing, op8_document_fingerprints,
-        op9_warc, op10_suffix_array_dedup,
+        op1_ngram_jaccard_join, op2_toxicity, op3_url_filters, op4_quality_classifier, op5_exact_top_k_search,
+        op6_sentencepiece, op7_packing, op8_document_fingerprints, op9_warc, op10_suffix_array_dedup,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 

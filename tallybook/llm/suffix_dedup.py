@@ -30,6 +30,7 @@ from tallybook.llm.blocks import (
     documents, mix, outer_ids, pack, pack_sorted, partitions, powers, prefix_hashes, span_hashes, text_batches,
     unique_ids, unpack, unpack_sorted, unzip, written_table, zipped,
 )
+from tallybook.plans.ordering import number_rows
 
 _FLUSH = 200_000  # anchors a task gathers before it sends them off
 HOT_CONTEXTS = 20_000
@@ -446,3 +447,33 @@ def removal_digest(kept: DataFrame) -> DataFrame:
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with what ``remove_repeats`` keeps as text, and all other columns as they were.
+
+    Bytes left of a character that was cut in two go with it. A column ``n_chars`` is counted anew.
+    Every row stays, also one whose text is empty now. Of rows that repeat an id, or have none, each
+    is a document of its own.
+    """
+    ids = docs.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n"))
+    key, columns = id_column, docs.columns
+    if not ids.where(f"_n > 1 OR `{id_column}` IS NULL").isEmpty():
+        key = "_key"
+        while key in docs.columns:
+            key += "_"
+        order = [F.col(id_column).asc_nulls_first(), F.col(text_column).asc_nulls_first()]
+        docs = written_table(number_rows(docs, [], order, key), "numbered")
+    kept = remove_repeats(docs, length, key, text_column).select(F.col("doc_id").alias("_doc"), "kept")
+
+    def run(batches):
+        for batch in batches:
+            texts = [(b or b"").decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_doc"), pa.array(texts, pa.string())], names=["_doc", "_text"]
+            )
+
+    kept = kept.mapInArrow(run, "_doc long, _text string")
+    joined = docs.drop(text_column).join(kept, F.col(key) == F.col("_doc"))
+    replaced = {text_column: F.col("_text"), "n_chars": F.length("_text").cast("bigint")}
+    return joined.select(*[replaced.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
