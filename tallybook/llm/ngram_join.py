@@ -25,7 +25,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallybook.llm.blocks import (
     documents, mix, outer_ids, pack, pack_sorted, partitions, text_array, text_batches, unique_ids, unpack,
@@ -304,18 +304,34 @@ def _group_pairs(groups: DataFrame, t: Fraction) -> DataFrame:
     wide = entries.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     wide = wide.where("lo != hi").select("token")
     entries = entries.join(wide, "token")
-    left = entries.select("token", *[F.col(c).alias(f"{c}1") for c in ("gid", "n", "component", "place")])
-    right = entries.select("token", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "component", "place")])
-    rest = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2"))
-    short, long = F.least("n1", "n2"), F.greatest("n1", "n2")
-    may = (short * t.denominator >= long * t.numerator) & (
-        rest * (t.denominator + t.numerator) >= (F.col("n1") + F.col("n2")) * t.numerator
+    # Entries of a member lie in blocks of bounded size; pairs are found between blocks, and an entry
+    # comes out with all its partners in one array.
+    size = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / FAMILY_BLOCK).alias("blocks"))
+    entry = F.struct("gid", "n", "component", "place")
+    blocked = entries.join(size, "token").groupBy("token", F.pmod(F.xxhash64("gid"), F.col("blocks")).alias("block")).agg(
+        F.collect_list(entry).alias("entries")
     )
-    smaller = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("gid1") < F.col("gid2")))
-    pairs = left.join(right, "token").where(smaller & (F.col("component1") != F.col("component2")) & may)
-    return pairs.groupBy(F.col("gid1").alias("a"), F.col("gid2").alias("b")).agg(
-        F.min("component1").alias("ca"), F.min("component2").alias("cb")
+    one = blocked.select("token", F.col("entries").alias("left"))
+    two = blocked.select("token", F.col("entries").alias("right"))
+    each = one.join(two, "token").select(F.explode("left").alias("x"), "right")
+
+    def may_link(y: Column) -> Column:
+        x = F.col("x")
+        rest = F.least(x["n"] - x["place"], y["n"] - y["place"])
+        short, long = F.least(x["n"], y["n"]), F.greatest(x["n"], y["n"])
+        after = (x["n"] < y["n"]) | ((x["n"] == y["n"]) & (x["gid"] < y["gid"]))
+        return (
+            after & (x["component"] != y["component"]) & (short * t.denominator >= long * t.numerator)
+            & (rest * (t.denominator + t.numerator) >= (x["n"] + y["n"]) * t.numerator)
+        )
+
+    partner = F.transform(
+        F.filter("right", may_link), lambda y: F.struct(y["gid"].alias("b"), y["component"].alias("cb"))
     )
+    found = each.select(F.col("x.gid").alias("a"), F.col("x.component").alias("ca"), partner.alias("partners"))
+    found = found.where(F.size("partners") > 0).groupBy("a", "ca")
+    found = found.agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners"))
+    return found.select("a", "ca", F.inline("partners"))
 
 
 def _pair_links(pairs: DataFrame, homes: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:

@@ -174,6 +174,17 @@ class Transducer:
         return text.replace(MARK, " ").removeprefix(" ")
 
 
+_machines: dict[str, Transducer] = {}
+
+
+def machine_for(path: str | None) -> Transducer:
+    """The machine of a task process, with what it remembers from earlier tasks."""
+    path = path or default_model()
+    if path not in _machines:
+        _machines[path] = Transducer(path)
+    return _machines[path]
+
+
 def encode(docs: DataFrame, model: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``ids`` (array of int) for every row.
 
@@ -182,7 +193,7 @@ def encode(docs: DataFrame, model: str | None = None, id_column: str = "doc_id",
     """
 
     def run(batches):
-        machine = Transducer(model or default_model())
+        machine = machine_for(model)
         for batch in batches:
             ids = [machine.encode(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
@@ -196,7 +207,7 @@ def decode(encoded: DataFrame, model: str | None = None, id_column: str = "doc_i
     """``doc_id``, ``text`` for rows of ids; a null list is an empty text."""
 
     def run(batches):
-        machine = Transducer(model or default_model())
+        machine = machine_for(model)
         for batch in batches:
             texts = [machine.decode(i.as_py() or []) for i in batch.column(ids_column)]
             yield pa.RecordBatch.from_arrays([batch.column(id_column), pa.array(texts, pa.string())], names=["doc_id", "text"])
@@ -212,7 +223,7 @@ def round_trip(docs: DataFrame, model: str | None = None, id_column: str = "doc_
     ])
 
     def run(batches):
-        machine = Transducer(model or default_model())
+        machine = machine_for(model)
         for batch in batches:
             rows: dict[str, list] = {c: [] for c in schema.names}
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
