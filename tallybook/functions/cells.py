@@ -34,10 +34,24 @@ def has_at_most(stripped: Column, most_words: int) -> Column:
     return F.rlike(stripped, F.lit(f"{_UNICODE}^{word}(?:{_SPACE}+{word}){{0,{most_words - 1}}}$"))
 
 
-def cell_text(df: DataFrame, name: str, scale: int = 2) -> Column:
-    """One column as text. Fractions keep ``scale`` places so that 1e7 is not printed as 1.0E7."""
+def plain_number(col: Column) -> Column:
+    """Every digit of a fraction as plain text: 1e7 is 10000000.0; NaN and the infinities are words.
+
+    Numbers that need more than 38 digits keep their exponent.
+    """
+    text = col.cast("string")
+    digits = col.try_cast(T.DecimalType(38, 12))
+    exact = digits.cast("double") == col.cast("double")
+    short = F.regexp_replace(digits.cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.contains(text, F.lit("E")) & exact, short).otherwise(text)
+
+
+def cell_text(df: DataFrame, name: str, scale: int | None = None) -> Column:
+    """One column as text with all its digits, or rounded to ``scale`` places where that is asked for."""
     col = F.col(f"`{name}`")
     if isinstance(df.schema[name].dataType, _FRACTIONAL):
+        if scale is None:
+            return plain_number(col)
         col = col.cast(T.DecimalType(38, scale))
     return col.cast("string")
 
@@ -47,12 +61,12 @@ def normalised(text: Column) -> Column:
     return F.coalesce(F.lower(strip_space(text)), F.lit(""))
 
 
-def row_cells(df: DataFrame, names: list[str], scale: int = 2) -> Column:
+def row_cells(df: DataFrame, names: list[str], scale: int | None = None) -> Column:
     """Normalised cells of a row as an array, in column order."""
     return F.array(*[normalised(cell_text(df, n, scale)) for n in names])
 
 
-def row_line(df: DataFrame, names: list[str], scale: int = 2) -> Column:
+def row_line(df: DataFrame, names: list[str], scale: int | None = None) -> Column:
     """One display line per row; a missing cell shows as a word."""
     shown = [F.coalesce(cell_text(df, n, scale), F.lit(NULL_WORD)) for n in names]
     return F.concat_ws(CELL_SEPARATOR, *shown)

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 
-def exact_sum(value: Column, scale: int = 2) -> Column:
-    """Sum in fixed point: unlike a double sum it does not depend on the order of the rows."""
-    return F.sum(value.cast(T.DecimalType(18, scale)))
+AVERAGE_PLACES = 6
 
 
-def exact_avg(value: Column, scale: int = 2) -> Column:
-    """Average as one double division of an exact sum by a count; NULL for no values."""
-    return exact_sum(value, scale).cast("double") / F.nullif(F.count(value), F.lit(0))
+def shown_average(average: Column, places: int = AVERAGE_PLACES) -> Column:
+    """An average rounded after it was taken, so that it has the same digits for any partitioning."""
+    return F.round(average.cast("double"), places)
 
 
 def percent(part: Column, whole: Column) -> Column:

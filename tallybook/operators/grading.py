@@ -10,7 +10,7 @@ from tallybook.functions.cells import CELL_SEPARATOR, cell_text, normalised, row
 NO_ROWS = "결과가 없습니다."
 
 
-def normalise_cells(df: DataFrame, cols: list[str] | None = None, scale: int = 2) -> DataFrame:
+def normalise_cells(df: DataFrame, cols: list[str] | None = None, scale: int | None = None) -> DataFrame:
     """Every cell as lower-case text without outer white space, NULL as empty text."""
     names = cols or df.columns
     return df.select(*[normalised(cell_text(df, n, scale)).alias(n) for n in names])
@@ -40,7 +40,7 @@ def same_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def long_form(df: DataFrame, submission: str, row_no: str, cols: list[str], scale: int = 2) -> DataFrame:
+def long_form(df: DataFrame, submission: str, row_no: str, cols: list[str], scale: int | None = None) -> DataFrame:
     """Result rows as (submission_id, row_no, cells), the form that is graded."""
     return df.select(
         F.col(submission).alias("submission_id"), F.col(row_no).alias("row_no"),
@@ -60,10 +60,14 @@ def grade_ordered_results(
     both = submitted.select("submission_id", "row_no", "cells", F.lit(1).alias("_s"), F.lit(0).alias("_e")).union(
         expected.select("submission_id", "row_no", "cells", F.lit(0).alias("_s"), F.lit(1).alias("_e"))
     )
-    places = both.groupBy("submission_id", "row_no").agg(
-        F.sum("_s").alias("_s"), F.sum("_e").alias("_e"), F.min("cells").alias("_low"), F.max("cells").alias("_high")
+    # Different cells of a place are counted where the place lies: two hash aggregates, one shuffle.
+    kinds = both.repartition("submission_id", "row_no").groupBy("submission_id", "row_no", "cells").agg(
+        F.sum("_s").alias("_s"), F.sum("_e").alias("_e")
     )
-    agrees = (F.col("_s") == 1) & (F.col("_e") == 1) & (F.col("_low") == F.col("_high"))
+    places = kinds.groupBy("submission_id", "row_no").agg(
+        F.sum("_s").alias("_s"), F.sum("_e").alias("_e"), F.count(F.lit(1)).alias("_kinds")
+    )
+    agrees = (F.col("_s") == 1) & (F.col("_e") == 1) & (F.col("_kinds") == 1)
     places = places.select("submission_id", "_s", "_e", F.coalesce(agrees, F.lit(False)).alias("_agrees"))
     if submissions is not None:
         none = F.lit(0).cast("bigint")
@@ -79,7 +83,7 @@ def grade_ordered_results(
     )
 
 
-def render_rows(df: DataFrame, cols: list[str] | None = None, scale: int = 2) -> DataFrame:
+def render_rows(df: DataFrame, cols: list[str] | None = None, scale: int | None = None) -> DataFrame:
     """One delimited line per row."""
     return df.select(row_line(df, cols or df.columns, scale).alias("line"))
 
@@ -90,7 +94,7 @@ def heading_lines(cols: list[str]) -> list[str]:
     return [names, "-" * len(names)]
 
 
-def render_table(df: DataFrame, order: list[Column], cols: list[str] | None = None, scale: int = 2) -> DataFrame:
+def render_table(df: DataFrame, order: list[Column], cols: list[str] | None = None, scale: int | None = None) -> DataFrame:
     """A whole result as sorted lines: heading, rule, rows; or one message if there are no rows."""
     names = cols or df.columns
     sort_names = [f"_o{i}" for i in range(len(order))]

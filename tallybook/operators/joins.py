@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallybook.functions.numbers import exact_avg
+from tallybook.functions.numbers import shown_average
 from tallybook.plans.durable import written_table
 from tallybook.plans.skew import HOT_ROWS, left_join
 
@@ -33,7 +33,7 @@ def join_average(
     dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str, value: str, name: str = "avg_value"
 ) -> DataFrame:
     """Dimension rows that have facts, with their average, highest first."""
-    averages = fact.groupBy(fact_key).agg(exact_avg(F.col(value)).alias(name))
+    averages = fact.groupBy(fact_key).agg(shown_average(F.avg(value)).alias(name))
     return (
         dim.join(averages, F.col(dim_key) == F.col(fact_key))
         .select(*dim.columns, name)
@@ -99,7 +99,7 @@ def cte_group_filter_join(
     """
     groups = (
         fact.groupBy(F.col(fact_key).alias("_group"))
-        .agg(exact_avg(F.col(value)).alias("_avg"))
+        .agg(F.avg(value).alias("_avg"))
         .where(F.col("_avg") >= F.lit(least))
     )
     groups = written_table(groups.select("_group"), "groups")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallybook.functions.numbers import exact_avg
+from tallybook.functions.numbers import shown_average
 from tallybook.functions.times import month_text, months_30d, year_text
 
 
@@ -36,7 +36,8 @@ def count_by_group(t: DataFrame, key: str, name: str = "row_count") -> DataFrame
 
 def groups_above_average(t: DataFrame, key: str, value: str, least: float, name: str = "avg_value") -> DataFrame:
     """Groups whose average is at least ``least`` (HAVING)."""
-    return t.groupBy(key).agg(exact_avg(F.col(value)).alias(name)).where(F.col(name) >= F.lit(least))
+    averages = t.groupBy(key).agg(F.avg(value).alias(name)).where(F.col(name) >= F.lit(least))
+    return averages.withColumn(name, shown_average(F.col(name)))
 
 
 def max_by_group(t: DataFrame, key: str, value: str, name: str = "max_value") -> DataFrame:

@@ -21,6 +21,18 @@ def _attempt() -> Column:
     return F.struct("attempted_at", "attempt_id", "is_correct", "query_text", "result_text")
 
 
+def _place_in_time() -> Column:
+    """Time, then id, as one number of fixed width, so that aggregates over it need no sort.
+
+    Ids have up to 19 digits; a missing time comes before all others.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, F.col("attempted_at"))
+    shift = F.lit("1" + "0" * 19).cast("decimal(20,0)")
+    moved = F.coalesce(micros, F.lit(-(10**17))).cast("decimal(18,0)") * shift
+    return (moved + F.col("attempt_id").cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def _latest_columns(latest: str) -> list[Column]:
     """What the newest attempt leaves behind; the texts are kept for wrong ones only."""
     correct = F.col(f"{latest}.is_correct")
@@ -54,7 +66,8 @@ def round_state(round_number: Column, contest: Contest, as_of: datetime) -> Colu
     """locked before a round, active in it, closed after it."""
     current = contest.round_at(as_of)
     return (
-        F.when(round_number > current, "locked").when(round_number == current, "active").otherwise("closed")
+        F.when(round_number > current, "locked").when(round_number == current, "active")
+        .when(round_number < current, "closed")
     )
 
 
@@ -69,34 +82,29 @@ def round_state_activity(log: DataFrame, contest: Contest, as_of: datetime) -> D
     )
 
 
-def _solved_problems(log: DataFrame, problems: DataFrame) -> DataFrame:
-    """One row per user and known problem tried: whether it was ever solved, and its round."""
-    solved = log.groupBy("user_id", "problem_id").agg(F.max("is_correct").alias("solved"))
-    return solved.join(problems, "problem_id")
+def _each(users: DataFrame, listed: DataFrame, name: str) -> DataFrame:
+    """Every user once with every entry of a one-row list."""
+    return users.select("user_id").distinct().select("user_id", F.explode(listed.scalar()).alias(name))
 
 
 def round_progress(
     users: DataFrame, problems: DataFrame, log: DataFrame, contest: Contest, as_of: datetime
 ) -> DataFrame:
-    """Per listed user and round: state, problems, solved ones and their percentage.
+    """Per listed user and round: state, problems, solved ones and their percentage; by user and round.
 
-    Listed users join the solved problems as empty rows, and one aggregate per user counts all
-    rounds at once; the fixed round list then turns each user into one row per round.
+    Rounds are the contest's and any more that ``problems`` has. Only correct attempts leave the
+    scan; listed users join the solved problems as empty rows, so that one aggregate does it all.
     """
-    solved = _solved_problems(log, problems).where("solved").select("user_id", "round_number")
-    listed = users.select("user_id", F.lit(None).cast("bigint").alias("round_number"))
-    numbers = range(1, contest.rounds + 1)
+    solved = log.where("is_correct").select("user_id", "problem_id").distinct().join(problems, "problem_id")
+    rounds = problems.agg(F.array_union(_numbers(contest.rounds), F.collect_set("round_number")))
+    listed = _each(users, rounds, "round_number")
     per_user = (
-        solved.withColumn("_listed", F.lit(False))
-        .unionByName(listed.withColumn("_listed", F.lit(True)))
-        .groupBy("user_id")
-        .agg(
-            F.max("_listed").alias("_listed"),
-            *[F.count_if(F.col("round_number") == n).alias(f"_{n}") for n in numbers],
-        )
+        solved.select("user_id", "round_number", F.lit(1).alias("_solved"), F.lit(False).alias("_listed"))
+        .unionByName(listed.select("user_id", "round_number", F.lit(0).alias("_solved"), F.lit(True).alias("_listed")))
+        .groupBy("user_id", "round_number")
+        .agg(F.max("_listed").alias("_listed"), F.sum("_solved").alias("solved"))
         .where("_listed")
-        .select("user_id", F.posexplode(F.array(*[f"_{n}" for n in numbers])).alias("_at", "solved"))
-        .select("user_id", (F.col("_at") + 1).cast("bigint").alias("round_number"), "solved")
+        .drop("_listed")
     )
     totals = problems.groupBy("round_number").agg(F.count(F.lit(1)).alias("problems"))
     known = F.coalesce(F.col("problems"), F.lit(0).cast("bigint"))
@@ -108,7 +116,7 @@ def round_progress(
         known.alias("problems"),
         "solved",
         F.coalesce(share, F.lit(0.0)).alias("solved_percent"),
-    )
+    ).orderBy("user_id", "round_number")
 
 
 def latest_attempt(log: DataFrame) -> DataFrame:
@@ -121,16 +129,17 @@ def latest_attempt(log: DataFrame) -> DataFrame:
 
 
 def problem_board(users: DataFrame, problems: DataFrame, log: DataFrame, contest: Contest) -> DataFrame:
-    """Every problem for every listed user with the latest state; untried ones get defaults.
+    """Every problem for every listed user with the latest state, by user and problem; untried ones
+    get defaults. What ``problems`` tells besides (question, difficulty, sample data) comes along.
 
     All places are added to the log as empty rows, so that one aggregate replaces a cross join and
-    an outer join. A contest's problem list is short and fixed. Unknown problems drop out in the
-    last join, after the aggregate: a filter before it would read the log's JSON twice.
+    an outer join. Unknown problems drop out in the last join, after the aggregate: a filter before
+    it would read the log's JSON twice.
     """
+    listed = problems.agg(F.collect_set("problem_id"))
     tries = log.select("user_id", "problem_id", _attempt().alias("t"), F.lit(False).alias("_place"))
-    places = users.select("user_id").distinct().select(
-        "user_id",
-        F.explode(_numbers(contest.problem_count)).alias("problem_id"),
+    places = _each(users, listed, "problem_id").select(
+        "user_id", "problem_id",
         F.lit(None).cast(tries.schema["t"].dataType).alias("t"),
         F.lit(True).alias("_place"),
     )
@@ -145,9 +154,10 @@ def problem_board(users: DataFrame, problems: DataFrame, log: DataFrame, contest
         )
         .where("_place")
     )
+    told = [c for c in ("question", "difficulty", "sample_data") if c in problems.columns]
     return board.join(problems, "problem_id").select(
-        "user_id", "problem_id", "round_number", "attempts", "ever_solved", *_latest_columns("t")
-    )
+        "user_id", "problem_id", "round_number", *told, "attempts", "ever_solved", *_latest_columns("t")
+    ).orderBy("user_id", "problem_id")
 
 
 def attempt_totals(log: DataFrame) -> DataFrame:
@@ -156,13 +166,13 @@ def attempt_totals(log: DataFrame) -> DataFrame:
         log.groupBy("user_id", "problem_id")
         .agg(
             F.count(F.lit(1)).alias("attempts"),
-            F.max(F.struct("attempted_at", "attempt_id", "is_correct")).alias("t"),
+            F.max_by("is_correct", _place_in_time()).alias("latest_correct"),
+            F.max("attempted_at").alias("last_attempt_at"),
             F.max("is_correct").alias("ever_solved"),
             F.min(F.when(F.col("is_correct"), F.col("attempted_at"))).alias("first_solved_at"),
         )
         .select(
-            "user_id", "problem_id", "attempts", F.col("t.is_correct").alias("latest_correct"),
-            F.col("t.attempted_at").alias("last_attempt_at"), "ever_solved", "first_solved_at",
+            "user_id", "problem_id", "attempts", "latest_correct", "last_attempt_at", "ever_solved", "first_solved_at",
         )
     )
 
@@ -171,8 +181,10 @@ def with_timeliness(log: DataFrame, problems: DataFrame, rounds: DataFrame) -> D
     """Each attempt against the window of its problem's round: early, on_time or late."""
     windows = problems.join(rounds, "round_number")
     at = F.col("attempted_at")
+    # An attempt without a time is none of the three.
     timing = (
-        F.when(at < F.col("starts_at"), "early").when(at >= F.col("ends_at"), "late").otherwise("on_time")
+        F.when(at < F.col("starts_at"), "early").when(at >= F.col("ends_at"), "late")
+        .when(at >= F.col("starts_at"), "on_time")
     )
     return log.join(windows, "problem_id").withColumn("timing", timing).drop("starts_at", "ends_at")
 
@@ -210,7 +222,7 @@ def user_round_matrix(log: DataFrame, problems: DataFrame, contest: Contest) ->
     rounds = [
         F.count_if(hit & (F.col("round_number") == n)).alias(f"round_{n}") for n in range(1, contest.rounds + 1)
     ]
-    return placed.groupBy("user_id").agg(*rounds, F.count_if(hit).alias("total"))
+    return placed.groupBy("user_id").agg(*rounds, F.count_if(hit).alias("total")).orderBy("user_id")
 
 
 def graded_log(submissions: DataFrame, grades: DataFrame) -> DataFrame:

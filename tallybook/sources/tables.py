@@ -99,15 +99,14 @@ def write_lines(lines: DataFrame, folder: str) -> None:
 def attempt_log(events: DataFrame, contest: Contest) -> DataFrame:
     """Events read as attempts: the problem comes from the JSON properties, a purchase is a solve.
 
-    An event without a problem gets number 0, which no contest has. As the column cannot be NULL,
-    joins on it need no NULL filter, which would parse the JSON a second time.
+    An event without a problem keeps NULL there.
     """
     k = F.from_json("props", "k int")["k"]
     problem = (k % contest.problem_count + 1).cast("bigint")
     return events.select(
         F.col("event_id").alias("attempt_id"),
         "user_id",
-        F.coalesce(problem, F.lit(0).cast("bigint")).alias("problem_id"),
+        problem.alias("problem_id"),
         (F.col("event_type") == "purchase").alias("is_correct"),
         F.col("ts").alias("attempted_at"),
         F.col("props").alias("query_text"),

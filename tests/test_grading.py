@@ -48,7 +48,20 @@ def test_widths_differ(spark):
 
 def test_numbers_as_text(spark):
     df = spark.createDataFrame([(1, 1e7, None), (2, 0.5, " A ")], "i int, x double, s string")
-    assert [tuple(r) for r in grading.normalise_cells(df).collect()] == [("1", "10000000.00", ""), ("2", "0.50", "a")]
+    rounded = grading.normalise_cells(df, scale=2)
+    assert [tuple(r) for r in rounded.collect()] == [("1", "10000000.00", ""), ("2", "0.50", "a")]
+    assert [tuple(r) for r in grading.normalise_cells(df).collect()] == [("1", "10000000.0", ""), ("2", "0.5", "a")]
+
+
+def test_no_digit_is_cut(spark):
+    values = [3.141, 3.144, 1.0e-5, 123456789.125, float("nan"), float("inf"), None, 1e30]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    texts = [r[0] for r in grading.normalise_cells(df).collect()]
+    assert texts == ["3.141", "3.144", "0.00001", "123456789.125", "nan", "infinity", "", "1.0e30"]
+    given = spark.createDataFrame([(1, 1, 3.141), (2, 1, 3.141), (2, 2, 1.0)], "s int, n int, x double")
+    key = spark.createDataFrame([(1, 1, 3.144), (2, 1, 3.141)], "s int, n int, x double")
+    graded = grading.grade_ordered_results(*[grading.long_form(d, "s", "n", ["x"]) for d in (given, key)])
+    assert {r.submission_id: (r.mismatches, r.passed) for r in graded.collect()} == {1: (1, False), 2: (1, False)}
 
 
 def test_result_diff(spark):
@@ -63,8 +76,8 @@ def test_result_diff(spark):
 
 def test_render(spark):
     df = spark.createDataFrame([(2, "b", None), (1, "a", 1.5)], "i int, s string, x double")
-    assert sorted(r["line"] for r in grading.render_rows(df).collect()) == ["1 | a | 1.50", "2 | b | None"]
-    lines = [r["line"] for r in grading.render_table(df, [F.col("i")]).collect()]
+    assert sorted(r["line"] for r in grading.render_rows(df, scale=2).collect()) == ["1 | a | 1.50", "2 | b | None"]
+    lines = [r["line"] for r in grading.render_table(df, [F.col("i")], scale=2).collect()]
     assert lines == ["i | s | x", "---------", "1 | a | 1.50", "2 | b | None"]
     assert [r["line"] for r in grading.render_table(df.where("i > 9"), [F.col("i")]).collect()] == [grading.NO_ROWS]
 

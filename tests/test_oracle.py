@@ -30,6 +30,14 @@ ORDERED = [
     "group_count_keep_empty", "join_average", "three_way_join", "distinct_groups_keep_empty", "shared_project_count",
     "cte_group_filter_join", "period_increase", "top_two_and_overall_rank",
 ]
+# Reports whose SQL has no order of its own, with the columns they are sorted by.
+SORTED = {"round_progress": ["user_id", "round_number"], "problem_board": ["user_id", "problem_id"], "user_round_matrix": ["user_id"]}
+
+
+@pytest.mark.parametrize("name", SORTED)
+def test_report_is_sorted(spark, name):
+    rows = [tuple(r) for r in registry.core_queries()[name](spark, SF).select(*SORTED[name]).collect()]
+    assert rows == sorted(rows)
 
 
 @pytest.mark.parametrize("name", ORDERED)

@@ -185,11 +185,31 @@ def test_empty_log(spark, log):
     assert progress.problem_board(users, CONTEST.problems(spark), none, CONTEST).count() == 21
 
 
-def test_event_without_problem_gets_number_zero(spark):
+def test_event_without_problem_keeps_null(spark):
     events = spark.createDataFrame(
         [(1, at(20), 7, "purchase", 1.0, '{"k": 20}'), (2, at(20), 7, "view", 1.0, None), (3, at(20), 7, "view", 1.0, "{}")],
         "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     )
     log = attempt_log(events, CONTEST)
-    assert {r["attempt_id"]: r["problem_id"] for r in log.collect()} == {1: 21, 2: 0, 3: 0}
+    assert {r["attempt_id"]: r["problem_id"] for r in log.collect()} == {1: 21, 2: None, 3: None}
     assert progress.accepted_attempts(log, CONTEST.problems(spark), CONTEST.calendar(spark)).count() == 1
+
+
+def test_missing_times_and_problems_beyond_the_contest(spark):
+    log = spark.createDataFrame(
+        [(1, 7, 1, True, None, "q", "r"), (2, 7, 101, True, at(20), "q", "r"), (3, 8, 1, False, None, "q", "r")],
+        "attempt_id bigint, user_id bigint, problem_id bigint, is_correct boolean, attempted_at timestamp_ntz, "
+        "query_text string, result_text string",
+    )
+    problems = spark.createDataFrame([(1, 1, "easy"), (101, 34, "hard")], "problem_id bigint, round_number bigint, difficulty string")
+    rounds = CONTEST.calendar(spark)
+    assert progress.submission_timeliness(log, problems, rounds).collect()[0][1:] == (0, 0, 0)
+    assert progress.accepted_attempts(log, problems, rounds).count() == 0
+    states = {(r[0], r[1]): r[2] for r in progress.round_state_activity(log, CONTEST, at(23)).collect()}
+    assert states[(7, None)] == 1 and states[(8, None)] == 1
+    users = log.select("user_id")
+    board = {(r["user_id"], r["problem_id"]): r for r in progress.problem_board(users, problems, log, CONTEST).collect()}
+    assert set(board) == {(7, 1), (7, 101), (8, 1), (8, 101)}
+    assert board[(7, 101)]["ever_solved"] and board[(7, 101)]["difficulty"] == "hard"
+    done = {(r["user_id"], r["round_number"]): r["solved"] for r in progress.round_progress(users, problems, log, CONTEST, at(23)).collect()}
+    assert done[(7, 34)] == 1 and done[(8, 34)] == 0 and (8, 7) in done
