@@ -73,7 +73,7 @@ def fit(sample: list[tuple[bytes, int]]) -> Model:
     """Learn from (text, label) pairs; without both labels, a constant."""
     labels = np.array([y for _, y in sample], float)
     share = labels.mean() if len(labels) else 0.5
-    if not 0 < share < 1:
+    if len(set(labels.tolist())) < 2:
         return Model(np.empty(0, np.int64), 4.0 * (2 * share - 1))
     texts = []
     for text, _ in sample:
