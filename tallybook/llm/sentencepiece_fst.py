@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from tallybook.llm.blocks import documents
 
 MARK = "▁"
-_REMEMBERED = 400_000
+_REMEMBERED, _PAIRS_REMEMBERED = 500_000, 1_200_000
 _UNKNOWN_WEIGHT = 1e6  # of a character that no piece has
 _PARTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -88,7 +88,7 @@ class Transducer:
         key = left << 32 | right
         found = self.apart.get(key)
         if found is None:
-            if len(self.apart) > _REMEMBERED:
+            if len(self.apart) > _PAIRS_REMEMBERED:
                 self.apart.clear()
             a, b = self.names[left], self.names[right]
             found = self.apart[key] = self._merged(a + b) == (a, b)
