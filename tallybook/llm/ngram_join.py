@@ -103,7 +103,8 @@ def _sent(tokens: np.ndarray, docs: np.ndarray, buckets: int):
 
 def shared_counts(docs: DataFrame, size: int, t: Fraction) -> DataFrame:
     """``doc_id``, ``shared``: how many of a document's smallest hashes another document has too."""
-    buckets = 2 * partitions(docs)
+    parts = partitions(docs)
+    buckets = 2 * parts
 
     def send(batches):
         tokens, owners, held = [], [], 0
@@ -132,15 +133,31 @@ def shared_counts(docs: DataFrame, size: int, t: Fraction) -> DataFrame:
         )
         mine = docs[n[at[: len(tokens)]] > 1]
         found, counts = np.unique(mine, return_counts=True)
-        local = [unpack(b, np.int64) for b in rows["local"]]
+        docs = np.concatenate([found, *[unpack(b, np.int64) for b in rows["local"]]])
         counts = np.concatenate([counts, *[unpack(b, np.int64) for b in rows["counts"]]])
-        return pa.table({"doc_id": np.concatenate([found, *local]), "shared": counts.astype(np.int64)})
+        part = (mix(docs.view(np.uint64).copy()) % np.uint64(parts)).astype(np.int32)
+        order = np.lexsort((docs, part))
+        there, starts = np.unique(part[order], return_index=True)
+        cuts = [order[a:b] for a, b in zip(starts, [*starts[1:], len(order)])]
+        return pa.table(
+            {"part": there, "docs": [pack(docs[c]) for c in cuts], "counts": [pack(counts[c]) for c in cuts]},
+            schema=pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary())]),
+        )
+
+    def total(table: pa.Table) -> pa.Table:
+        docs, counts = (
+            np.concatenate([unpack(b, np.int64) for b in table.column(c).to_pylist()]) for c in ("docs", "counts")
+        )
+        found, at = np.unique(docs, return_inverse=True)
+        shared = np.zeros(len(found), np.int64)
+        np.add.at(shared, at, counts)
+        return pa.table({"doc_id": found, "shared": shared})
 
     sent = docs.mapInArrow(
         send, "bucket int, tokens binary, docs binary, several binary, local binary, counts binary"
     )
-    counted = sent.groupBy("bucket").applyInArrow(count, "doc_id long, shared long")
-    return counted.groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+    counted = sent.groupBy("bucket").applyInArrow(count, "part int, docs binary, counts binary")
+    return counted.groupBy("part").applyInArrow(total, "doc_id long, shared long")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int, parts: int) -> DataFrame:
