@@ -12,10 +12,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
+from tallybook.functions import times  # noqa: E402
 from tallybook.functions.times import moment  # noqa: E402
 from tallybook.operators import grading, joins, lessons, progress, quality, ranking, text  # noqa: E402
+from tallybook.plans import skew  # noqa: E402
 from tallybook.plans.contest import Contest  # noqa: E402
-from tallybook.sources import problem_file  # noqa: E402
+from tallybook.session import new_location  # noqa: E402
+from tallybook.sources import problem_file, tables  # noqa: E402
 from tallybook.sources.tables import attempt_log, read_table  # noqa: E402
 from tallybook.streaming import attempts as streams  # noqa: E402
 
@@ -113,9 +116,17 @@ def join_lookup(spark, d):
 
 
 def group_count_keep_empty(spark, d):
-    rich = read_table(spark, d, "supplier").where(F.col("s_acctbal") >= 6000.0)
     counts = joins.group_count_keep_empty(
-        _nation(spark, d), rich, "n_nationkey", "s_nationkey", "s_suppkey", "suppliers"
+        _nation(spark, d), read_table(spark, d, "supplier"), "n_nationkey", "s_nationkey", "s_suppkey", "suppliers"
+    )
+    return counts.orderBy("n_name", "n_nationkey")
+
+
+def group_count_rich_suppliers(spark, d):
+    """With a further condition in the join, so that some nations stay empty."""
+    counts = joins.group_count_keep_empty(
+        _nation(spark, d), read_table(spark, d, "supplier"), "n_nationkey", "s_nationkey", "s_suppkey", "suppliers",
+        on=F.col("s_acctbal") >= 6000.0,
     )
     return counts.orderBy("n_name", "n_nationkey")
 
@@ -126,37 +137,67 @@ def join_average(spark, d):
     )
 
 
-def three_way_join(spark, d):
+def _customer_orders(spark, d, **options):
     customers = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
-    orders = read_table(spark, d, "orders").where(F.col("o_totalprice") >= 450000.0)
     rows = joins.three_way_join(
-        customers, _nation(spark, d), orders.select("o_orderkey", "o_custkey", "o_totalprice"),
-        "c_nationkey", "n_nationkey", "c_custkey", "o_custkey",
+        customers, _nation(spark, d), read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
+        "c_nationkey", "n_nationkey", "c_custkey", "o_custkey", **options,
     )
     return rows.select("c_name", "n_name", "o_orderkey", "o_totalprice").orderBy("c_name", "o_orderkey")
 
 
+def three_way_join(spark, d):
+    return _customer_orders(spark, d)
+
+
+def three_way_join_plain(spark, d):
+    return _customer_orders(spark, d, layout=skew.PLAIN)
+
+
+def three_way_join_large_orders(spark, d):
+    return _customer_orders(spark, d, on=F.col("o_totalprice") >= 450000.0)
+
+
 def _part_nations(spark, d):
-    lines = read_table(spark, d, "lineitem").where((F.col("l_quantity") >= 48) & (F.col("l_returnflag") == "R"))
     suppliers = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    rows = joins.join_lookup(lines.select("l_partkey", "l_suppkey"), suppliers, "l_suppkey", "s_suppkey")
-    return rows.select("l_partkey", "s_nationkey")
+    return joins.join_lookup(read_table(spark, d, "lineitem"), suppliers, "l_suppkey", "s_suppkey")
 
 
-def distinct_groups_keep_empty(spark, d):
+def _large_return():
+    return (F.col("l_quantity") >= 48) & (F.col("l_returnflag") == "R")
+
+
+def _nations_of_parts(spark, d, on=None):
     parts = read_table(spark, d, "part").select("p_partkey", "p_name")
     counts = joins.distinct_groups_keep_empty(
-        parts, _part_nations(spark, d), "p_partkey", "l_partkey", "s_nationkey", "nations"
+        parts, _part_nations(spark, d), "p_partkey", "l_partkey", "s_nationkey", "nations", on
     )
     return counts.orderBy("p_name", "p_partkey")
 
 
-def shared_project_count(spark, d):
+def distinct_groups_keep_empty(spark, d):
+    return _nations_of_parts(spark, d)
+
+
+def distinct_groups_large_returns(spark, d):
+    """With a further condition in the join, so that some parts stay empty."""
+    return _nations_of_parts(spark, d, _large_return())
+
+
+def _shared_parts(spark, d, pairs):
     return joins.shared_project_count(
-        _nation(spark, d), _part_nations(spark, d), "n_nationkey", "s_nationkey", "l_partkey", "shared_parts"
+        _nation(spark, d), pairs, "n_nationkey", "s_nationkey", "l_partkey", "shared_parts"
     )
 
 
+def shared_project_count(spark, d):
+    return _shared_parts(spark, d, _part_nations(spark, d))
+
+
+def shared_project_large_returns(spark, d):
+    return _shared_parts(spark, d, _part_nations(spark, d).where(_large_return()))
+
+
 def cte_group_filter_join(spark, d):
     customers = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     rows = joins.cte_group_filter_join(
@@ -165,14 +206,23 @@ def cte_group_filter_join(spark, d):
     return rows.select("c_custkey", "c_name", "n_name", "c_acctbal")
 
 
-def period_increase(spark, d):
+def _increases(spark, d, layout):
     rows = ranking.period_increase(
         read_table(spark, d, "orders"), read_table(spark, d, "customer").select("c_custkey", "c_name"),
-        "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", "c_custkey",
+        "o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", "c_custkey", layout,
     )
     return rows.select("c_name", "o_orderkey", "o_orderdate", "previous_value", "o_totalprice", "increase_percent")
 
 
+def period_increase(spark, d):
+    """Through ranges of the sort order, for customers with any number of orders."""
+    return _increases(spark, d, ranking.RANGES)
+
+
+def period_increase_window(spark, d):
+    return _increases(spark, d, ranking.WINDOW)
+
+
 def top_two_and_overall_rank(spark, d):
     customers = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     rows = ranking.top_k_and_overall_rank(
@@ -248,31 +298,42 @@ def same_rows(spark, d):
     return grading.same_rows(*_nation_counts(spark, d))
 
 
-def _role_grades(spark, d):
-    """Roles of each conversation against user and assistant in turn."""
-    turns = read_table(spark, d, "conversations")
-    key = turns.select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, " USER").otherwise("Assistant ").alias("role"))
+def _role_grades(turns, submission="conv_id"):
+    """Roles of each conversation, or part of it, against user and assistant in turn."""
+    key = turns.select(submission, "turn", F.when(F.col("turn") % 2 == 0, " USER").otherwise("Assistant ").alias("role"))
     return grading.grade_ordered_results(
-        grading.long_form(turns, "conv_id", "turn", ["role"]), grading.long_form(key, "conv_id", "turn", ["role"])
+        grading.long_form(turns, submission, "turn", ["role"]), grading.long_form(key, submission, "turn", ["role"])
     )
 
 
 def grade_ordered_results(spark, d):
-    return _role_grades(spark, d)
+    return _role_grades(read_table(spark, d, "conversations"))
 
 
-def graded_log(spark, d):
-    first = read_table(spark, d, "conversations").where(F.col("turn") == 0)
+def _submissions(turns, submission):
     hours = (F.col("conv_id") % 500).cast("int")
-    submissions = first.select(
-        F.col("conv_id").alias("submission_id"),
+    return turns.select(
+        submission.alias("submission_id"),
         (F.col("conv_id") % 50).alias("user_id"),
         (F.col("conv_id") % CONTEST.problem_count + 1).alias("problem_id"),
         (moment(CONTEST.start) + F.make_dt_interval(hours=hours)).alias("attempted_at"),
         F.col("text").alias("query_text"),
         F.col("role").alias("result_text"),
     )
-    return progress.graded_log(submissions, _role_grades(spark, d))
+
+
+def graded_log(spark, d):
+    """Every turn handed in by itself."""
+    place = (F.col("conv_id") * 1000 + F.col("turn")).alias("part")
+    turns = read_table(spark, d, "conversations").select("*", place)
+    return progress.graded_log(_submissions(turns, F.col("part")), _role_grades(turns, "part"))
+
+
+def graded_log_first_turn(spark, d):
+    """Every conversation handed in as a whole, with the text it starts with."""
+    turns = read_table(spark, d, "conversations")
+    first = _submissions(turns.where(F.col("turn") == 0), F.col("conv_id"))
+    return progress.graded_log(first, _role_grades(turns))
 
 
 def section_lines(spark, d):
@@ -343,26 +404,89 @@ def json_test_cells(spark, d):
 
 
 def union_lesson_sets(spark, d):
+    """Orders of every year, a set a year."""
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    starts = [moment(datetime(FIRST_YEAR + n, 1, 1)) for n in range(CONTEST.rounds + 1)]
-    day = F.col("o_orderdate")
-    sets = {n: orders.where((day >= starts[n - 1]) & (day < starts[n])) for n in range(1, CONTEST.rounds + 1)}
-    rows = ranking.union_lesson_sets(sets, ["o_orderdate", "o_orderkey"])
+    rows = ranking.numbered_sets(orders, F.year("o_orderdate") - FIRST_YEAR + 1, ["o_orderdate", "o_orderkey"])
     return rows.select("round_id", "position", "o_orderkey", "o_totalprice")
 
 
-def constraint_report(spark, d):
+def _rules(spark, d, customers):
     orders, parts = read_table(spark, d, "orders"), read_table(spark, d, "part")
-    creditors = read_table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
     return quality.constraint_report([
         quality.not_null_violations(orders, "orders", ["o_custkey", "o_orderdate"]),
         quality.unique_violations(orders, "orders", ["o_orderkey"]),
         quality.unique_violations(orders, "orders", ["o_custkey", "o_orderdate"]),
         quality.unique_violations(parts, "part", ["p_name"]),
-        quality.foreign_key_violations(orders, "orders", "o_custkey", creditors, "c_custkey"),
+        quality.foreign_key_violations(orders, "orders", "o_custkey", customers, "c_custkey"),
     ])
 
 
+def constraint_report(spark, d):
+    return _rules(spark, d, read_table(spark, d, "customer"))
+
+
+def constraint_report_creditors(spark, d):
+    """Orders must belong to customers without debts, so that some break the rule."""
+    return _rules(spark, d, read_table(spark, d, "customer").where(F.col("c_acctbal") >= 0))
+
+
+# Sources and sinks
+
+
+def iso_times(spark, d):
+    """Times written as ISO text and read back."""
+    text = times.iso_text(F.col("ts"))
+    return read_table(spark, d, "events").select(
+        "event_id", text.alias("ts_text"), times.parse_iso(text).alias("ts_parsed")
+    )
+
+
+def lines_written(spark, d):
+    """A rendered table through the text sink."""
+    folder = new_location(spark, "lines")
+    tables.write_lines(render_table(spark, d), folder)
+    return tables.read_lines(spark, folder)
+
+
+def problem_files(spark, d):
+    """A problem per customer in JSON files of up to 1,000, read back."""
+    cells = F.array("c_name", F.col("c_acctbal").cast("string"))
+    problem = F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("question"),
+        F.struct(F.array(F.lit("name"), F.lit("balance")).alias("columns"), F.array(cells).alias("data")).alias("test_data"),
+        F.array(cells).alias("expected_result"),
+    )
+    files = (
+        read_table(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / 1000).alias("file"))
+        .agg(F.to_json(F.collect_list(problem), {"pretty": "true"}).alias("value"))
+    )
+    folder = new_location(spark, "problems")
+    files.write.partitionBy("file").text(folder)
+    problems = problem_file.read_problem_files(spark, folder)
+    wanted = F.col("expected_result")[0]
+    return problems.select(
+        "id", "question", F.array_join("test_data.columns", ",").alias("names"), wanted[0].alias("wanted_name"),
+        wanted[1].cast("double").alias("wanted_balance"),
+    )
+
+
+def attempts_appended(spark, d):
+    """An application filled, started over, and its log appended to in two parts."""
+    folder = new_location(spark, "application")
+    correct = F.col("is_correct")
+    log = _log(spark, d).select(
+        "attempt_id", F.col("user_id").cast("string").alias("user_id"), "problem_id", "is_correct", "attempted_at",
+        F.when(correct, F.col("attempted_at")).alias("completed_at"),
+        F.when(~correct, F.col("query_text")).alias("last_wrong_query"),
+        F.when(~correct, F.col("result_text")).alias("last_wrong_result"),
+    )
+    for parts in ([log], [log.where(correct), log.where(~correct)]):
+        tables.reset_application(spark, folder, CONTEST)
+        for part in parts:
+            tables.append_attempts(part, folder)
+    return tables.read_application(spark, folder, "attempts")
+
+
 # Streams
 
 
@@ -381,13 +505,16 @@ def stream_round_counts(spark, d):
 _QUERIES = [
     project_one, project_two, project_all, filter_equal, filter_at_least, filter_both, bound_parameters, count_by_group,
     groups_above_average, max_by_group, bucket_high_low, date_parts, tenure_months, join_lookup,
-    group_count_keep_empty, join_average, three_way_join, distinct_groups_keep_empty, shared_project_count,
-    cte_group_filter_join, period_increase, top_two_and_overall_rank,
+    group_count_keep_empty, group_count_rich_suppliers, join_average, three_way_join, three_way_join_plain,
+    three_way_join_large_orders, distinct_groups_keep_empty, distinct_groups_large_returns, shared_project_count,
+    shared_project_large_returns, cte_group_filter_join, period_increase, period_increase_window, top_two_and_overall_rank,
     assign_rounds, round_state_activity, round_progress, latest_attempt, problem_board, attempt_totals,
     submission_timeliness, accepted_attempts, user_round_matrix,
     normalise_cells, result_diff, result_diff_repeated, same_rows, grade_ordered_results, graded_log,
+    graded_log_first_turn,
     section_lines, section_outline, text_block_rows, render_rows, render_table, json_fields, json_test_rows,
-    json_test_cells, union_lesson_sets, constraint_report,
+    json_test_cells, union_lesson_sets, constraint_report, constraint_report_creditors,
+    iso_times, lines_written, problem_files, attempts_appended,
     stream_attempt_totals, stream_round_counts,
 ]
 
@@ -455,10 +582,75 @@ _TOTALS = f"""
           FROM log GROUP BY user_id, problem_id) a
     JOIN latest l USING (user_id, problem_id)"""
 
-_PART_NATIONS = """pairs AS (
-    SELECT DISTINCT l_partkey, s_nationkey
-    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-    WHERE l_quantity >= 48 AND l_returnflag = 'R')"""
+_LARGE_RETURN = "WHERE l_quantity >= 48 AND l_returnflag = 'R'"
+
+
+def _suppliers_of(condition: str = "") -> str:
+    return f"""
+        SELECT n_nationkey, n_name, count(s_suppkey) AS suppliers
+        FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey {condition}
+        GROUP BY n_nationkey, n_name ORDER BY n_name, n_nationkey"""
+
+
+def _orders_of(condition: str = "") -> str:
+    return f"""
+        SELECT c_name, n_name, o_orderkey, o_totalprice
+        FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN orders ON c_custkey = o_custkey {condition}
+        ORDER BY c_name, o_orderkey"""
+
+
+def _pairs(condition: str = "") -> str:
+    return f"""pairs AS (
+        SELECT DISTINCT l_partkey, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey {condition})"""
+
+
+def _nations_sql(condition: str = "") -> str:
+    return f"""
+        WITH {_pairs(condition)}
+        SELECT p_partkey, p_name, count(DISTINCT s_nationkey) AS nations
+        FROM part LEFT JOIN pairs ON p_partkey = l_partkey
+        GROUP BY p_partkey, p_name ORDER BY p_name, p_partkey"""
+
+
+def _shared_sql(condition: str = "") -> str:
+    return f"""
+        WITH {_pairs(condition)},
+        shared AS (SELECT * FROM pairs p WHERE EXISTS (
+            SELECT 1 FROM pairs q WHERE q.l_partkey = p.l_partkey AND q.s_nationkey <> p.s_nationkey))
+        SELECT n_nationkey, n_name, count(DISTINCT l_partkey) AS shared_parts
+        FROM nation LEFT JOIN shared ON n_nationkey = s_nationkey
+        GROUP BY n_nationkey, n_name ORDER BY shared_parts DESC, n_nationkey"""
+
+
+def _rules_sql(condition: str = "") -> str:
+    return f"""
+        SELECT 'not_null' AS rule, 'orders.o_custkey' AS subject,
+               count(*) FILTER (WHERE o_custkey IS NULL) AS violations FROM orders
+        UNION ALL SELECT 'not_null', 'orders.o_orderdate', count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders
+        UNION ALL SELECT 'unique', 'orders.o_orderkey', count(*) - count(DISTINCT o_orderkey) FROM orders
+        UNION ALL SELECT 'unique', 'orders.o_custkey+o_orderdate',
+               count(*) - count(DISTINCT (o_custkey, o_orderdate)) FROM orders
+        UNION ALL SELECT 'unique', 'part.p_name', count(*) - count(DISTINCT p_name) FROM part
+        UNION ALL SELECT 'foreign_key', 'orders.o_custkey', count(*) FROM orders
+            WHERE o_custkey NOT IN (SELECT c_custkey FROM customer {condition})"""
+
+
+_INCREASE = """
+    WITH steps AS (
+        SELECT *, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous_value
+        FROM orders)
+    SELECT c_name, o_orderkey, o_orderdate, previous_value, o_totalprice,
+           round((o_totalprice - previous_value) * 100.0 / nullif(previous_value, 0), 1) AS increase_percent
+    FROM steps JOIN customer ON o_custkey = c_custkey
+    WHERE o_totalprice > previous_value ORDER BY increase_percent DESC, o_orderkey"""
+
+
+def _table_lines() -> str:
+    return f"""
+        SELECT 'c_custkey | c_name | c_acctbal' AS line
+        UNION ALL SELECT repeat('-', 30)
+        UNION ALL SELECT {_plain_text('c_custkey')} || ' | ' || c_name || ' | ' || {_plain_text('c_acctbal')} FROM customer"""
+
 
 _ROUND_NO = "CAST(floor(date_diff('day', DATE '2024-01-01', CAST(attempted_at AS DATE)) / 3.0) + 1 AS BIGINT)"
 
@@ -525,45 +717,27 @@ def core_sql() -> dict[str, str]:
         "join_lookup": """
             SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
             ORDER BY n_name, c_custkey""",
-        "group_count_keep_empty": """
-            SELECT n_nationkey, n_name, count(s_suppkey) AS suppliers
-            FROM nation LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal >= 6000) s ON n_nationkey = s_nationkey
-            GROUP BY n_nationkey, n_name ORDER BY n_name, n_nationkey""",
+        "group_count_keep_empty": _suppliers_of(),
+        "group_count_rich_suppliers": _suppliers_of("AND s_acctbal >= 6000"),
         "join_average": f"""
             SELECT n_nationkey, n_name, {_avg('c_acctbal')} AS avg_acctbal
             FROM nation JOIN customer ON n_nationkey = c_nationkey
             GROUP BY n_nationkey, n_name ORDER BY avg_acctbal DESC, n_nationkey""",
-        "three_way_join": """
-            SELECT c_name, n_name, o_orderkey, o_totalprice
-            FROM customer JOIN nation ON c_nationkey = n_nationkey
-            LEFT JOIN (SELECT * FROM orders WHERE o_totalprice >= 450000) o ON c_custkey = o_custkey
-            ORDER BY c_name, o_orderkey""",
-        "distinct_groups_keep_empty": f"""
-            WITH {_PART_NATIONS}
-            SELECT p_partkey, p_name, count(DISTINCT s_nationkey) AS nations
-            FROM part LEFT JOIN pairs ON p_partkey = l_partkey
-            GROUP BY p_partkey, p_name ORDER BY p_name, p_partkey""",
-        "shared_project_count": f"""
-            WITH {_PART_NATIONS},
-            shared AS (SELECT * FROM pairs p WHERE EXISTS (
-                SELECT 1 FROM pairs q WHERE q.l_partkey = p.l_partkey AND q.s_nationkey <> p.s_nationkey))
-            SELECT n_nationkey, n_name, count(DISTINCT l_partkey) AS shared_parts
-            FROM nation LEFT JOIN shared ON n_nationkey = s_nationkey
-            GROUP BY n_nationkey, n_name ORDER BY shared_parts DESC, n_nationkey""",
+        "three_way_join": _orders_of(),
+        "three_way_join_plain": _orders_of(),
+        "three_way_join_large_orders": _orders_of("AND o_totalprice >= 450000"),
+        "distinct_groups_keep_empty": _nations_sql(),
+        "distinct_groups_large_returns": _nations_sql(_LARGE_RETURN),
+        "shared_project_count": _shared_sql(),
+        "shared_project_large_returns": _shared_sql(_LARGE_RETURN),
         "cte_group_filter_join": """
             WITH nation_avg AS (
                 SELECT c_nationkey, avg(c_acctbal) AS a FROM customer GROUP BY c_nationkey HAVING avg(c_acctbal) >= 4600)
             SELECT c.c_custkey, c.c_name, n_name, c.c_acctbal
             FROM customer c JOIN nation ON c.c_nationkey = n_nationkey
             JOIN nation_avg a ON c.c_nationkey = a.c_nationkey ORDER BY c.c_acctbal DESC, c.c_custkey""",
-        "period_increase": """
-            WITH steps AS (
-                SELECT *, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous_value
-                FROM orders)
-            SELECT c_name, o_orderkey, o_orderdate, previous_value, o_totalprice,
-                   round((o_totalprice - previous_value) * 100.0 / nullif(previous_value, 0), 1) AS increase_percent
-            FROM steps JOIN customer ON o_custkey = c_custkey
-            WHERE o_totalprice > previous_value ORDER BY increase_percent DESC, o_orderkey""",
+        "period_increase": _INCREASE,
+        "period_increase_window": _INCREASE,
         "top_two_and_overall_rank": """
             WITH ranked AS (
                 SELECT c_custkey, c_name, n_name, c_acctbal,
@@ -653,7 +827,17 @@ def core_sql() -> dict[str, str]:
         "same_rows": f"""
             WITH {_NATION_COUNTS} SELECT count(*) = 0 AS equal, count(*) AS differing_rows FROM diff""",
         "grade_ordered_results": f"WITH {_GRADES} SELECT * FROM grades",
-        "graded_log": f"""
+        "graded_log": """
+            WITH graded AS (
+                SELECT *, coalesce(lower(trim(role)) = CASE WHEN turn % 2 = 0 THEN 'user' ELSE 'assistant' END, false) AS ok
+                FROM conversations)
+            SELECT conv_id * 1000 + turn AS attempt_id, conv_id % 50 AS user_id, conv_id % 21 + 1 AS problem_id,
+                   ok AS is_correct, TIMESTAMP '2024-01-01' + to_hours(conv_id % 500) AS attempted_at,
+                   CASE WHEN ok THEN TIMESTAMP '2024-01-01' + to_hours(conv_id % 500) END AS completed_at,
+                   CASE WHEN NOT ok THEN text END AS last_wrong_query,
+                   CASE WHEN NOT ok THEN role END AS last_wrong_result
+            FROM graded""",
+        "graded_log_first_turn": f"""
             WITH {_GRADES}
             SELECT conv_id AS attempt_id, conv_id % 50 AS user_id, conv_id % 21 + 1 AS problem_id,
                    passed AS is_correct, TIMESTAMP '2024-01-01' + to_hours(conv_id % 500) AS attempted_at,
@@ -694,10 +878,8 @@ def core_sql() -> dict[str, str]:
         "render_rows": f"""
             SELECT {key} || ' | ' || c_name || ' | ' || {nation} || ' | ' || {money} || ' | ' || c_mktsegment AS line
             FROM customer""",
-        "render_table": f"""
-            SELECT 'c_custkey | c_name | c_acctbal' AS line
-            UNION ALL SELECT repeat('-', 30)
-            UNION ALL SELECT {key} || ' | ' || c_name || ' | ' || {money} FROM customer""",
+        "render_table": _table_lines(),
+        "lines_written": _table_lines(),
         "json_fields": "SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events",
         "json_test_rows": """
             SELECT c_custkey, 1 AS row_no, c_custkey AS id, c_name AS name, c_acctbal AS salary FROM customer
@@ -717,17 +899,23 @@ def core_sql() -> dict[str, str]:
             SELECT CAST(year(o_orderdate) - 1994 AS INTEGER) AS round_id,
                    row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderdate, o_orderkey) AS position,
                    o_orderkey, o_totalprice
-            FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001""",
-        "constraint_report": """
-            SELECT 'not_null' AS rule, 'orders.o_custkey' AS subject,
-                   count(*) FILTER (WHERE o_custkey IS NULL) AS violations FROM orders
-            UNION ALL SELECT 'not_null', 'orders.o_orderdate', count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders
-            UNION ALL SELECT 'unique', 'orders.o_orderkey', count(*) - count(DISTINCT o_orderkey) FROM orders
-            UNION ALL SELECT 'unique', 'orders.o_custkey+o_orderdate',
-                   count(*) - count(DISTINCT (o_custkey, o_orderdate)) FROM orders
-            UNION ALL SELECT 'unique', 'part.p_name', count(*) - count(DISTINCT p_name) FROM part
-            UNION ALL SELECT 'foreign_key', 'orders.o_custkey', count(*) FROM orders
-                WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
+            FROM orders""",
+        "constraint_report": _rules_sql(),
+        "constraint_report_creditors": _rules_sql("WHERE c_acctbal >= 0"),
+        "iso_times": """
+            SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts_text, date_trunc('second', ts) AS ts_parsed
+            FROM events""",
+        "problem_files": """
+            SELECT c_custkey AS id, c_name AS question, 'name,balance' AS names, c_name AS wanted_name,
+                   c_acctbal AS wanted_balance
+            FROM customer""",
+        "attempts_appended": f"""
+            WITH {_LOG}
+            SELECT attempt_id, CAST(user_id AS VARCHAR) AS user_id, problem_id, is_correct, attempted_at,
+                   CASE WHEN is_correct THEN attempted_at END AS completed_at,
+                   CASE WHEN NOT is_correct THEN query_text END AS last_wrong_query,
+                   CASE WHEN NOT is_correct THEN result_text END AS last_wrong_result
+            FROM log""",
         "stream_attempt_totals": _TOTALS,
         "stream_round_counts": f"""
             WITH {_LOG}

@@ -28,6 +28,11 @@ def words(stripped: Column) -> Column:
     return F.split(stripped, f"{_UNICODE}{_SPACE}+")
 
 
+def count_words(text: Column) -> Column:
+    """How many words a text has, without making an array of them."""
+    return F.regexp_count(text, F.lit(_UNICODE + _SPACE.replace("[", "[^") + "+"))
+
+
 def has_at_most(stripped: Column, most_words: int) -> Column:
     """Whether a stripped line has 1 to ``most_words`` words, without splitting long lines."""
     word = _SPACE.replace("[", "[^") + "+"

@@ -7,11 +7,11 @@ its size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallybook.functions.numbers import shown_average
 from tallybook.plans.durable import written_table
-from tallybook.plans.skew import HOT_ROWS, left_join
+from tallybook.plans.skew import SPLIT, left_join
 
 
 def join_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
@@ -20,9 +20,14 @@ def join_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) ->
 
 
 def group_count_keep_empty(
-    dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str, counted: str, name: str = "row_count"
+    dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str, counted: str, name: str = "row_count",
+    on: Column | None = None,
 ) -> DataFrame:
-    """Every dimension row with the number of its fact rows; 0 where there is none."""
+    """Every dimension row with the number of its fact rows; 0 where there is none.
+
+    ``on`` is a further condition of the join: facts that fail it are not counted.
+    """
+    fact = fact if on is None else fact.where(on)
     counts = fact.groupBy(fact_key).agg(F.count(counted).alias(name))
     return dim.join(counts, F.col(dim_key) == F.col(fact_key), "left").select(
         *dim.columns, F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
@@ -43,19 +48,25 @@ def join_average(
 
 def three_way_join(
     fact: DataFrame, dim: DataFrame, opt: DataFrame, fact_dim: str, dim_key: str, fact_key: str, opt_key: str,
-    hot_rows: int = HOT_ROWS,
+    on: Column | None = None, layout: str = SPLIT,
 ) -> DataFrame:
-    """Facts with their dimension, and with each optional match or NULL where there is none."""
-    return left_join(join_lookup(fact, dim, fact_dim, dim_key), opt, fact_key, opt_key, hot_rows)
+    """Facts with their dimension, and with each optional match or NULL where there is none.
+
+    ``on`` is a further condition a match must meet; for ``layout`` see ``left_join``.
+    """
+    opt = opt if on is None else opt.where(on)
+    return left_join(join_lookup(fact, dim, fact_dim, dim_key), opt, fact_key, opt_key, layout)
 
 
 def distinct_groups_keep_empty(
-    dim: DataFrame, pairs: DataFrame, dim_key: str, pair_key: str, member: str, name: str = "group_count"
+    dim: DataFrame, pairs: DataFrame, dim_key: str, pair_key: str, member: str, name: str = "group_count",
+    on: Column | None = None,
 ) -> DataFrame:
     """Every dimension row with its number of distinct members; 0 where there is none.
 
-    Distinct pairs are made first, combined before the shuffle and spread by (key, member).
+    ``on`` is a further condition that pairs must meet. Distinct pairs are made first, combined before the shuffle and spread by (key, member).
     """
+    pairs = pairs if on is None else pairs.where(on)
     unique = pairs.select(pair_key, member).distinct()
     return group_count_keep_empty(dim, unique, dim_key, pair_key, member, name)
 

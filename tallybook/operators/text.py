@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallybook.functions.cells import EMPTY_WORD, WHITE_SPACE, has_at_most, strip_space, words
+from tallybook.functions.cells import EMPTY_WORD, WHITE_SPACE, count_words, has_at_most, strip_space, words
 
 # Fixed value: the word and colon that end a table's title.
 TITLE_MARKER = "테이블:"
@@ -101,11 +101,8 @@ def section_outline(docs: DataFrame, doc_id: str, text: str, title: Callable[[Co
     """Lines, words and sections of each document."""
     titles = F.filter("_lines", lambda line: title(line).isNotNull())
     return (
-        docs.select(doc_id, _stripped_lines(F.col(text)).alias("_lines"), words(strip_space(F.col(text))).alias("_words"))
-        .select(
-            doc_id, F.size("_lines").alias("lines"), F.size(F.array_remove("_words", "")).alias("words"),
-            F.size(titles).alias("sections"),
-        )
+        docs.select(doc_id, _stripped_lines(F.col(text)).alias("_lines"), count_words(F.col(text)).alias("words"))
+        .select(doc_id, F.size("_lines").alias("lines"), "words", F.size(titles).alias("sections"))
     )
 
 

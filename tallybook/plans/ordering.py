@@ -76,7 +76,7 @@ def overall_rank(df: DataFrame, value: str, name: str = "overall_rank", ranges:
         Window.partitionBy(SEGMENT).orderBy(OFFSET_IN_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     )
     local = ranged.withColumn("_higher", F.coalesce(F.sum("_rows").over(higher), F.lit(0)))
-    return local.join(F.broadcast(starts), F.col(SEGMENT) == F.col("_s")).select(
+    return local.join(written_table(starts, "starts"), F.col(SEGMENT) == F.col("_s")).select(
         value, (F.col("_before") + F.col("_higher") + 1).cast("bigint").alias(name)
     )
 
@@ -99,4 +99,5 @@ def previous_value(
         (F.col(OFFSET_IN_SEGMENT) == 0) & F.col("_carry.k").eqNullSafe(F.col(key)), F.col("_carry.v")
     )
     previous = F.when(F.col(OFFSET_IN_SEGMENT) == 0, from_before).otherwise(F.col("_local"))
-    return local.join(F.broadcast(carried), F.col(SEGMENT) == F.col("_s")).select(*df.columns, previous.alias(name))
+    carried = written_table(carried, "carried")
+    return local.join(carried, F.col(SEGMENT) == F.col("_s")).select(*df.columns, previous.alias(name))

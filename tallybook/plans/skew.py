@@ -1,56 +1,26 @@
-"""Finding keys with very many rows, and joins that stay splittable when there are some."""
+"""Joins that stay splittable where a key has very many rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallybook.plans.durable import written_table
+PLAIN, SPLIT = "plain", "split"
 
-# A key with more rows than this is not left to a single window task.
-HOT_ROWS = 2_000_000
-_EXPECTED_IN_SAMPLE = 200
-_MAX_BROADCAST_KEYS = 200_000
 
+def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, layout: str = SPLIT) -> DataFrame:
+    """LEFT JOIN on two columns; both layouts give the same rows.
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys of about ``hot_rows`` rows or more, or None if there are none.
-
-    The sample only picks the physical route. Both routes give the same result, so a key judged
-    wrongly costs time, never rows. At most 2 * rows / hot_rows keys can come out.
-    """
-    fraction = min(1.0, _EXPECTED_IN_SAMPLE / hot_rows)
-    seen = df.select(key)
-    if fraction < 1.0:
-        seen = seen.sample(fraction=fraction, seed=17)
-    enough = hot_rows if fraction == 1.0 else _EXPECTED_IN_SAMPLE / 2
-    counted = seen.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    found = counted.where(F.col("_n") >= enough).select(key)
-    return None if found.isEmpty() else written_table(found, "hot")
-
-
-def split_by_heat(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of the other keys, rows of the hot keys); NULL is a key like any other."""
-    hot = hot.select(F.col(key).alias("_hot"))
-    if hot.count() <= _MAX_BROADCAST_KEYS:
-        hot = F.broadcast(hot)
-    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
-    return df.join(hot, is_hot, "left_anti"), df.join(hot, is_hot, "left_semi")
-
-
-def left_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """LEFT JOIN on two columns, also where a key has very many rows on the right.
-
-    AQE splits a hot key of the left side, but not one on the right of a left outer join. A key
-    seen on the right has a match for certain, so those keys go through an inner join, which AQE
-    splits on either side.
+    ``plain`` is one outer join: AQE splits a hot key of the left side, but not one of the right.
+    ``split`` takes the matches from an inner join, which AQE splits on either side, and the rest
+    from an anti join with the distinct keys of the right, for one more reading of each side.
     """
+    if layout not in (PLAIN, SPLIT):
+        raise ValueError(f"no such layout: {layout}")
     on = F.col(left_key) == F.col(right_key)
     right = right.where(F.col(right_key).isNotNull())
-    hot = hot_keys(right, right_key, hot_rows)
-    if hot is None:
+    if layout == PLAIN:
         return left.join(right, on, "left")
-    cool_right, hot_right = split_by_heat(right, right_key, hot)
-    cool_left, hot_left = split_by_heat(left, left_key, hot.withColumnRenamed(right_key, left_key))
-    return cool_left.join(cool_right, on, "left").unionByName(hot_left.join(hot_right, on))
+    keys = right.select(F.col(right_key).alias("_key")).distinct()
+    alone = left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
+    blanks = [F.lit(None).cast(field.dataType).alias(field.name) for field in right.schema]
+    return left.join(right, on).union(alone.select("*", *blanks))

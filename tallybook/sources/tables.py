@@ -96,6 +96,11 @@ def write_lines(lines: DataFrame, folder: str) -> None:
     lines.write.mode("overwrite").text(folder)
 
 
+def read_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Text files as one row per line."""
+    return spark.read.text(folder).withColumnRenamed("value", "line")
+
+
 def attempt_log(events: DataFrame, contest: Contest) -> DataFrame:
     """Events read as attempts: the problem comes from the JSON properties, a purchase is a solve.
 

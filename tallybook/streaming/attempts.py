@@ -87,12 +87,12 @@ def stream_round_counts(
     spark: SparkSession, attempts: Callable[[], DataFrame], contest: Contest, late_by: str | None = None,
     location: str | None = None,
 ) -> DataFrame:
-    """Attempts per round from a stream; all that come within ``late_by`` of newer ones are counted.
+    """Attempts per round from a stream, however late they come and however files fall into batches.
 
-    The default is the length of the contest. State is one row per open round, so waiting long for
-    late attempts costs next to nothing.
+    State is one row per round, so it is kept for good. With ``late_by`` rounds that are older than
+    the newest attempt by more are closed: attempts on them are dropped, and how many depends on
+    the batches.
     """
-    late_by = late_by or f"{contest.rounds * contest.round_days} days"
     length = contest.round_days * 86400
     offset = int(contest.start.replace(tzinfo=timezone.utc).timestamp()) % length
 
@@ -100,11 +100,11 @@ def stream_round_counts(
         # Watermarks need an instant; the zone is UTC while the stream is defined and run.
         at = F.col("attempted_at").cast("timestamp")
         window = F.window("at", f"{length} seconds", startTime=f"{offset} seconds")
+        times = attempts().select(at.alias("at"))
+        if late_by:
+            times = times.withWatermark("at", late_by)
         return (
-            attempts()
-            .select(at.alias("at"))
-            .withWatermark("at", late_by)
-            .groupBy(window.alias("w"))
+            times.groupBy(window.alias("w"))
             .agg(F.count(F.lit(1)).alias("attempts"))
             .select(
                 F.col("w.start").cast("timestamp_ntz").alias("starts_at"),

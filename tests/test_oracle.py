@@ -27,8 +27,10 @@ def test_query_matches_sql(spark, con, name):
 
 ORDERED = [
     "count_by_group", "max_by_group", "bucket_high_low", "date_parts", "tenure_months", "join_lookup",
-    "group_count_keep_empty", "join_average", "three_way_join", "distinct_groups_keep_empty", "shared_project_count",
-    "cte_group_filter_join", "period_increase", "top_two_and_overall_rank",
+    "group_count_keep_empty", "group_count_rich_suppliers", "join_average", "three_way_join", "three_way_join_plain",
+    "three_way_join_large_orders", "distinct_groups_keep_empty", "distinct_groups_large_returns", "shared_project_count",
+    "shared_project_large_returns", "cte_group_filter_join", "period_increase", "period_increase_window",
+    "top_two_and_overall_rank",
 ]
 # Reports whose SQL has no order of its own, with the columns they are sorted by.
 SORTED = {"round_progress": ["user_id", "round_number"], "problem_board": ["user_id", "problem_id"], "user_round_matrix": ["user_id"]}

@@ -54,18 +54,20 @@ def test_previous_value_over_ranges(spark, ranges):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
 
 
-@pytest.mark.parametrize("hot_rows", [5, 50, 10_000])
-def test_with_previous_takes_hot_keys_apart(spark, hot_rows):
+@pytest.mark.parametrize("layout", [ranking.WINDOW, ranking.RANGES])
+def test_with_previous_both_ways(spark, layout):
     df = spark.createDataFrame(data(4), SCHEMA)
-    got = ranking.with_previous(df, "k", "at", "id", "v", "p", hot_rows=hot_rows, ranges=5)
+    got = ranking.with_previous(df, "k", "at", "id", "v", "p", layout, ranges=5)
     plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("at", "id")))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_hot_keys(spark):
+def test_unknown_layouts_are_refused(spark):
     df = spark.createDataFrame(data(5), SCHEMA)
-    assert [r["k"] for r in skew.hot_keys(df, "k", 60).collect()] == [0]
-    assert skew.hot_keys(df, "k", 1000) is None
+    with pytest.raises(ValueError):
+        ranking.with_previous(df, "k", "at", "id", "v", layout="hot")
+    with pytest.raises(ValueError):
+        skew.left_join(df, df, "k", "k", "hot")
 
 
 @pytest.mark.parametrize("k", [1, 2, 5])
@@ -84,10 +86,10 @@ def test_top_k_keeps_all_ties(spark, k):
     assert {(r["id"], r["group_rank"], r["overall_rank"]) for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("most_by_window", [0, 1000])
-def test_group_leaders_both_ways(spark, most_by_window):
+@pytest.mark.parametrize("layout", [ranking.WINDOW, ranking.RANGES])
+def test_group_leaders_both_ways(spark, layout):
     d = data(7)
-    got = ranking.group_leaders(spark.createDataFrame(d, SCHEMA), "k", "v", 4, "id", most_by_window=most_by_window, ranges=5)
+    got = ranking.group_leaders(spark.createDataFrame(d, SCHEMA), "k", "v", 4, "id", layout, ranges=5)
     want = set()
     for _, key, _, v in d:
         place = rank_of(v, [x[3] for x in d if x[1] == key])
@@ -100,7 +102,7 @@ def test_group_leaders_both_ways(spark, most_by_window):
 def test_a_missing_key_can_be_hot(spark):
     d = [(i, None if i % 3 else 1, i % 7, float(i)) for i in range(60)]
     df = spark.createDataFrame(d, SCHEMA)
-    got = ranking.with_previous(df, "k", "at", "id", "v", "p", hot_rows=30, ranges=4)
+    got = ranking.with_previous(df, "k", "at", "id", "v", "p", ranges=4)
     plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("at", "id")))
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
 
@@ -113,11 +115,19 @@ def test_union_lesson_sets(spark):
     ]
 
 
-@pytest.mark.parametrize("hot_rows", [2, 3, 1000])
-def test_left_join_with_hot_keys(spark, hot_rows):
+def test_numbered_sets(spark):
+    df = spark.createDataFrame([(n, i) for n in (1, 2, 3) for i in range(n)], "n int, i int")
+    got = ranking.numbered_sets(df, F.col("n") * 10, ["i"], ranges=3)
+    assert sorted((r["round_id"], r["position"], r["i"]) for r in got.collect()) == [
+        (10, 1, 0), (20, 1, 0), (20, 2, 1), (30, 1, 0), (30, 2, 1), (30, 3, 2)
+    ]
+
+
+@pytest.mark.parametrize("layout", [skew.PLAIN, skew.SPLIT])
+def test_left_join_both_ways(spark, layout):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")], "lk int, x string")
     right = spark.createDataFrame([(1, "p"), (1, "q"), (1, "r"), (None, "s"), (None, "t"), (3, "u"), (4, "v")], "rk int, y string")
-    got = skew.left_join(left, right, "lk", "rk", hot_rows)
+    got = skew.left_join(left, right, "lk", "rk", layout)
     want = left.join(right, F.col("lk") == F.col("rk"), "left")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     assert got.columns == want.columns
