@@ -16,7 +16,7 @@ from tallybook.plans.ordering import number_rows
 
 # A text batch is cut to about this many bytes, so that the 8-byte arrays over it stay small.
 BATCH_BYTES = 1 << 19
-BATCH_TRANSFER = 8 << 20  # bytes between the JVM and a task's Python at a time
+BATCH_TRANSFER = 4 << 20  # bytes between the JVM and a task's Python at a time
 
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)

@@ -36,6 +36,7 @@ _FLUSH = 200_000  # anchors a task gathers before it sends them off
 HOT_CONTEXTS = 20_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SHALLOW_WORDS = 7  # eight bytes each
+_HELD_BYTES = 4 << 20  # of texts a task gathers before it sends them off
 
 
 def _sliding(values: np.ndarray, width: int, pick, filler) -> np.ndarray:
@@ -317,7 +318,8 @@ def _contexts(ends: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = {"anchor": [], "doc_id": [], "place": [], "before": [], "context": [], "hot": []}
-            for doc, blob, places, found, hot in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "ztext", "edges", "anchors", "hot")]):
+            for i in range(batch.num_rows):
+                doc, blob, places, found, hot = [batch.column(c)[i].as_py() for c in ("doc_id", "ztext", "edges", "anchors", "hot")]
                 text = unzip(blob)
                 for p, h, much in zip(places, found, hot):
                     rows["anchor"].append(h)
@@ -409,38 +411,46 @@ def remove_repeats(
     that repeat an id, or have none, are documents of their own, in the order of their texts.
     Other columns are ignored; an empty table gives no rows.
     """
+    def row(doc, size, spans, kept):
+        return doc, size, [{"start": a, "end": b} for a, b in spans], kept
+
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("n_bytes", pa.int64()),
+        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()),
+    ])
+    kinds = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    return _cut(docs, length, id_column, text_column, hot_contexts, row, schema, kinds)
+
+
+def _cut(docs, length, id_column, text_column, hot_contexts, row, schema: pa.Schema, kinds: str) -> DataFrame:
+    """What ``row`` makes of each document's id, size, removed runs and kept bytes."""
     docs, names = unique_ids(documents(docs, id_column, text_column))
     found = written_table(repeated_spans(docs, length, hot_contexts), "repeats")
 
     def run(batches):
         for batch in batches:
-            rows = {"doc_id": [], "n_bytes": [], "spans": [], "kept": []}
-            held = 0
-            for doc, blob, whole, starts, ends in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "ztext", "whole", "starts", "ends")]):
+            rows, held = [], 0
+            for i in range(batch.num_rows):  # row by row: as lists, the places of a batch take ten times its size
+                doc, blob, whole, starts, ends = [batch.column(c)[i].as_py() for c in ("doc_id", "ztext", "whole", "starts", "ends")]
                 text = unzip(blob)
                 spans = _covered(len(text), whole, starts, ends, length)
                 cuts = [0, *[x for span in spans for x in span], len(text)]
-                rows["doc_id"].append(doc)
-                rows["n_bytes"].append(len(text))
-                rows["spans"].append([{"start": a, "end": b} for a, b in spans])
-                rows["kept"].append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])))
+                rows.append(row(doc, len(text), spans, b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))))
                 held += len(text)
-                if held > 8 << 20:
-                    yield pa.RecordBatch.from_pydict(rows, schema=schema)
-                    rows, held = {c: [] for c in rows}, 0
-            if rows["doc_id"]:
-                yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                if held > _HELD_BYTES:
+                    yield _record_batch(rows, schema)
+                    rows, held = [], 0
+            if rows:
+                yield _record_batch(rows, schema)
 
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_bytes", pa.int64()),
-        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()),
-    ])
-    kept = zipped(docs).join(found, "doc_id", "left").mapInArrow(
-        run, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
-    )
+    kept = zipped(docs).join(found, "doc_id", "left").mapInArrow(run, kinds)
     return outer_ids(kept, names, "doc_id")
 
 
+def _record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, zip(*rows)))), schema=schema)
+
+
 def removal_digest(kept: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` of ``remove_repeats``."""
     return kept.select(
@@ -464,16 +474,14 @@ def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id
             key += "_"
         order = [F.col(id_column).asc_nulls_first(), F.col(text_column).asc_nulls_first()]
         docs = written_table(number_rows(docs, [], order, key), "numbered")
-    kept = remove_repeats(docs, length, key, text_column).select(F.col("doc_id").alias("_doc"), "kept")
 
-    def run(batches):
-        for batch in batches:
-            texts = [(b or b"").decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_doc"), pa.array(texts, pa.string())], names=["_doc", "_text"]
-            )
+    def row(doc, size, spans, kept):
+        return doc, kept.decode("utf-8", "ignore")
 
-    kept = kept.mapInArrow(run, "_doc long, _text string")
+    # Texts come out of the pass that cuts them: a second one would double the Python processes of the stage.
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    kept = _cut(docs, length, key, text_column, HOT_CONTEXTS, row, schema, "doc_id long, text string")
+    kept = kept.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
     joined = docs.drop(text_column).join(kept, F.col(key) == F.col("_doc"))
     replaced = {text_column: F.col("_text"), "n_chars": F.length("_text").cast("bigint")}
     return joined.select(*[replaced.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
