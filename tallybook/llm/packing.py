@@ -13,7 +13,7 @@ import os
 import struct
 import zlib
 from collections.abc import Callable
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +70,19 @@ def _encoder(path: str) -> Callable[[str], bytes]:
                 known[text] = raw[a:b]
 
     def fold(text: str) -> str:
-        # Where folding the case of a whole text might differ from folding characters, leave it.
-        plain = text.isascii() or (is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text)
-        return text.lower() if plain else text
+        # The vocabulary looks for special tokens, then normalises, then folds characters one by one: a text
+        # is left as it is where folding it first could make a special token or a letter with a mark.
+        if "<|" in text or "|>" in text:
+            return text
+        lower = text.lower()
+        if text.isascii():
+            return lower
+        same = is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text
+        return lower if same and is_normalized("NFC", lower) else text
+
+    def letters(core: str) -> bool:
+        # A few letters come apart into a letter and a mark, which goes with the marks behind.
+        return core.isalpha() and (core.isascii() or normalize("NFC", core).lower().isalpha())
 
     def ids(text: str) -> bytes:
         parts = fold(text).replace("\n", " ").split(" ")
@@ -82,7 +92,7 @@ def _encoder(path: str) -> Callable[[str], bytes]:
                 known.clear()
                 known[""] = b""
                 new = set(parts) - {""}
-            cores = {p: core for p in new if (core := p.rstrip(_MARKS)) != p and core.isalpha()}
+            cores = {p: core for p in new if (core := p.rstrip(_MARKS)) != p and letters(core)}
             wanted = new.difference(cores)
             wanted.update(cores.values(), (p[len(core) :] for p, core in cores.items()))
             learn([p for p in wanted if p not in known])

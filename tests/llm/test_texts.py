@@ -139,6 +139,19 @@ def test_packing(spark):
     assert packing.pack(documents(spark, REPEATED)).agg({"doc_tokens": "count"}).first()[0] >= len(TEXTS)
 
 
+def test_packing_folds_like_the_vocabulary():
+    """Ids where folding the case first, or parting marks from letters, would make other ones."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_vocabulary())
+    ids = packing.word_ids(packing.default_vocabulary())
+    for text in [
+        "<|EndOfText|> a", "x <|ENDOFTEXT|>.", "<|endoftext|> B", "<|StartOfText|>", "H\u0331a", "T\u0308 H\u0331.", "J\u030c",
+        "\u0130.", "\u0958.", "\ufb1d,", "\u03a3\u03a3.", "É É.",
+    ]:
+        assert np.frombuffer(ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_first_fit():
     rnd = random.Random(1)
     sizes = sorted((rnd.randint(1, 100) for _ in range(300)), reverse=True)
