@@ -1,18 +1,20 @@
 """SentencePiece encoding and decoding with a weighted transducer.
 
-A model is compiled into one machine: the normaliser (a blank before the text, blanks to the mark
-U+2581), a trie of the pieces, and byte fallback for characters that no piece has. Composing it
-with an input gives a lattice of pieces over the input's places; the encoding is its shortest path
-in the tropical semiring (weights add along a path, the least path wins).
-
-The vocabularies here come from merging pairs, best pair first, which no weight per piece can
-state. It is stated by the arcs instead: a path goes from one piece to the next only if the two stay
-apart when their own texts are merged, and has infinite weight otherwise. One path of finite weight
-is left for every input, and for every beginning of it, so that the search keeps one state a place.
-A model whose scores are weights of pieces (unigram) has no such condition: there all paths compete.
-
-Pieces hold the mark only in front, so that an input falls apart before every run of marks; parts
-repeat a lot, and a bounded table remembers their encodings.
+A model file is compiled into one machine: its normaliser (replaced characters, a blank before the
+text, blanks squeezed and turned into the mark U+2581, each as the file says), a trie of the pieces,
+and byte fallback for characters that no piece has. Composing it with an input gives a lattice of
+pieces over the input's places; the encoding is its shortest path in the tropical semiring (weights
+add along a path, the least path wins). Files of other kinds or settings are refused.
+
+A vocabulary of merges, best pair first, is one that no weight per piece can state. It is stated by
+the arcs instead: a path goes from one piece to the next only if the two stay apart when their own
+texts are merged, and has infinite weight otherwise. One path of finite weight is left for every
+input, and for every beginning of it, so that the search keeps one state a place. A model whose
+scores are weights of pieces (unigram) has no such condition: there all paths compete, and weights
+add up over the whole text in 32-bit numbers, as in the library, which decides between near ties.
+
+Where pieces of merges hold the mark only in front, an input falls apart before every run of marks;
+parts repeat a lot, and a bounded table remembers their encodings.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from tallybook.llm.blocks import documents
 
 MARK = "▁"
 _REMEMBERED, _PAIRS_REMEMBERED = 500_000, 1_200_000
-_UNKNOWN_WEIGHT = 1e6  # of a character that no piece has
+_UNKNOWN_PENALTY = 10.0  # of a character that no piece has, above the weight of the rarest piece
 _PARTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -39,30 +41,113 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _replacements(charsmap: bytes) -> dict[str, str]:
+    """The replaced texts of a normaliser: a double-array trie over their bytes, then what replaces them."""
+    if not charsmap:
+        return {}
+    size = int.from_bytes(charsmap[:4], "little")
+    units = np.frombuffer(charsmap[4 : 4 + size], "<u4")
+    values, labels, out = charsmap[4 + size :], np.arange(256, dtype=np.uint32), {}
+
+    def children(place: int) -> int:
+        unit = int(units[place])
+        return place ^ (unit >> 10 << ((unit & 0x200) >> 6))
+
+    found = [(b"", children(0))]
+    while found:
+        key, base = found.pop()
+        places = base ^ labels
+        inside = places < len(units)
+        fits = units[np.where(inside, places, 0)] & 0x800000FF == labels
+        for label in np.flatnonzero(inside & fits).tolist():
+            if not label:
+                continue
+            below, text = children(base ^ label), key + bytes([label])
+            if int(units[base ^ label]) >> 8 & 1:
+                start = int(units[below]) & 0x7FFFFFFF
+                out[text.decode()] = values[start : values.index(b"\0", start)].decode()
+            found.append((text, below))
+    return out
+
+
+class Normaliser:
+    """A model's way from a text to the text that pieces are found in."""
+
+    def __init__(self, spec):
+        self.blank = MARK if spec.escape_whitespaces else " "
+        self.prefix = self.blank if spec.add_dummy_prefix else ""
+        self.squeeze = spec.remove_extra_whitespaces
+        self.replaced = _replacements(spec.precompiled_charsmap)
+        self.starts = {text[:n] for text in self.replaced for n in range(1, len(text) + 1)}
+
+    def _characters(self, text: str):
+        """The text in steps: the longest that is replaced, or a character."""
+        place = 0
+        while place < len(text):
+            found, after, end = text[place], place + 1, place + 1
+            while end <= len(text) and text[place:end] in self.starts:
+                if text[place:end] in self.replaced:
+                    found, after = self.replaced[text[place:end]], end
+                end += 1
+            yield found
+            place = after
+
+    def __call__(self, text: str) -> str:
+        if not text:
+            return ""
+        if not self.squeeze:
+            changed = "".join(self._characters(text)) if self.replaced else text
+            return self.prefix + changed.replace(" ", self.blank)
+        out, behind_blank = [], True
+        for found in self._characters(text):
+            found = found.lstrip(" ") if behind_blank else found
+            if found:
+                out.append(found)
+                behind_blank = found.endswith(" ")
+        if not out:
+            return ""
+        return (self.prefix + "".join(out).replace(" ", self.blank)).rstrip(self.blank)
+
+
 class Transducer:
-    """The machine for one model file, and the two ways through it."""
+    """The machine for one model file; ``merges`` stands for what the file says."""
 
-    def __init__(self, path: str, merges: bool = True):
+    def __init__(self, path: str, merges: bool | None = None):
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        with open(path, "rb") as file:
+            spec = sentencepiece_model_pb2.ModelProto.FromString(file.read())
+        kinds = {p.type for p in spec.pieces}
+        trained = spec.trainer_spec
+        if trained.model_type not in (trained.UNIGRAM, trained.BPE):
+            raise ValueError(f"{path}: neither a unigram model nor one of merges")
+        if merges is None:
+            merges = trained.model_type == trained.BPE
+        if spec.SentencePiece.USER_DEFINED in kinds or merges and spec.SentencePiece.UNUSED in kinds:
+            raise ValueError(f"{path}: user-defined pieces, or unused ones among merges, are not supported")
+        if trained.treat_whitespace_as_suffix or spec.denormalizer_spec.precompiled_charsmap:
+            raise ValueError(f"{path}: blanks behind words and denormalisers are not supported")
+        self.normalised = Normaliser(spec.normalizer_spec)
+        self.unknown_text = trained.unk_surface
         names = [model.id_to_piece(i) for i in range(len(model))]
         plain = [i for i in range(len(model)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.unknown = model.unk_id()
         self.pieces = {names[i]: i for i in plain}
         self.weights = {i: -model.get_score(i) for i in plain}
+        self.unknown_weight = float(np.float32(max(self.weights.values(), default=0.0)) + np.float32(_UNKNOWN_PENALTY))
         self.bytes = {int(names[i][3:5], 16): i for i in range(len(model)) if model.is_byte(i)}
         self.names = {i: names[i] for i in plain}
         self.merges = merges
         self.longest = max(map(len, self.pieces), default=1)
-        # Tries, as the sets of their paths: where a text is not in one, no longer piece starts (ends) so.
+        # A trie, as the set of its paths: where a text is not in it, no longer piece starts so.
         self.starts = {name[:n] for name in self.pieces for n in range(1, len(name) + 1)}
-        self.ends = {name[n:] for name in self.pieces for n in range(len(name))}
         self.known: dict[str, tuple[int, ...]] = {}
         self.apart: dict[int, bool] = {}
         # Pieces that merging their own text gives; no others are ever on a path of merges.
         self.reached = {n: i for n, i in self.pieces.items() if not merges or self._merged(n) == (n,)}
-        self.whole = not any(MARK in name.lstrip(MARK) for name in self.pieces)
+        self.whole = merges and not any(MARK in name.lstrip(MARK) for name in self.pieces)
 
     # Whether two neighbouring pieces stay apart
 
@@ -101,68 +186,70 @@ class Transducer:
             return (self.unknown,)
         return tuple(self.bytes[b] for b in char.encode("utf-8", "surrogatepass"))
 
-    def _only_path(self, text: str) -> tuple[int, ...]:
-        """The path of a merged model: up to any place just one fits, so a place keeps its last piece."""
-        ends, reached = self.ends, self.reached
-        last: list[int] = [-1] * (len(text) + 1)  # piece that ends here; -1 for the start and for bytes
-        back: list[int] = [0] * (len(text) + 1)
-        for end in range(1, len(text) + 1):
-            start = end - 1
-            while start and text[start - 1 : end] in ends:
-                start -= 1
-            while start < end:
-                piece = reached.get(text[start:end])
-                if piece is not None and (last[start] < 0 or self._stay_apart(last[start], piece)):
-                    last[end], back[end] = piece, start
+    def _shortest(self, text: str) -> tuple[int, ...]:
+        """Least sum of weights over the lattice of a normalised text.
+
+        Places are settled from left to right. Between merges an arc weighs nothing or is closed, so a
+        place reached at no more than the arc's start needs no look at it.
+        """
+        if not hasattr(self, "arcs"):
+            # What a text in the trie is: a piece, or -1 for the beginning of one.
+            pieces = self.reached if self.merges else self.pieces
+            starts = {name[:n] for name in pieces for n in range(1, len(name) + 1)} if self.merges else self.starts
+            self.arcs = {name: pieces.get(name, -1) for name in starts}
+        merges, arcs, weights, apart = self.merges, self.arcs, self.weights, self.apart
+        infinite, size = float("inf"), len(text)
+        least = [0.0 if merges else np.float32(0)] + [infinite] * size
+        last = [-1] * (size + 1)  # piece that ends here; -1 for the start and for what no piece has
+        back = [0] * (size + 1)
+        for place in range(size):
+            cost, before, single = least[place], last[place], False
+            for end in range(place + 1, min(size, place + self.longest) + 1):
+                piece = arcs.get(text[place:end])
+                if piece is None:
                     break
-                start += 1
-            else:
-                back[end] = end - 1
+                if piece < 0:
+                    continue
+                if merges:
+                    if least[end] <= cost:
+                        continue
+                    if before >= 0:
+                        stay = apart.get(before << 32 | piece)
+                        if not (self._stay_apart(before, piece) if stay is None else stay):
+                            continue
+                    least[end], last[end], back[end] = cost, piece, place
+                else:
+                    single |= end == place + 1
+                    found = cost + weights[piece]
+                    if found < least[end]:
+                        least[end], last[end], back[end] = found, piece, place
+            if least[place + 1] == infinite if merges else not single:
+                found = cost + self.unknown_weight
+                if found < least[place + 1]:
+                    least[place + 1], last[place + 1], back[place + 1] = found, -1, place
         out: list[int] = []
-        place = len(text)
+        place = size
         while place:
             piece = last[place]
             out += [piece] if piece >= 0 else reversed(self._fallback(text[place - 1]))
             place = back[place]
         return tuple(reversed(out))
 
-    def _shortest(self, text: str) -> tuple[int, ...]:
-        """Least sum of weights over the lattice of a model whose weights say it all."""
-        best: list[tuple[float, int, tuple[int, ...]]] = [(0.0, 0, ())] + [(float("inf"), 0, ())] * len(text)
-        for place in range(len(text)):
-            cost, single = best[place][0], False
-            for end in range(place + 1, min(len(text), place + self.longest) + 1):
-                name = text[place:end]
-                if name not in self.starts:
-                    break
-                found = self.pieces.get(name)
-                if found is not None:
-                    single |= end == place + 1
-                    if cost + self.weights[found] < best[end][0]:
-                        best[end] = (cost + self.weights[found], place, (found,))
-            if not single and cost + _UNKNOWN_WEIGHT < best[place + 1][0]:
-                best[place + 1] = (cost + _UNKNOWN_WEIGHT, place, self._fallback(text[place]))
-        out, place = [], len(text)
-        while place:
-            out.append(best[place][2])
-            place = best[place][1]
-        return tuple(i for ids in reversed(out) for i in ids)
-
     def encode(self, text: str) -> list[int]:
         """Ids of a text; none for an empty one."""
-        if not text:
-            return []
-        marked = MARK + text.replace(" ", MARK)
+        marked = self.normalised(text)
         out: list[int] = []
         for part in _PARTS.findall(marked) if self.whole else [marked]:
             ids = self.known.get(part)
             if ids is None:
                 if len(self.known) > _REMEMBERED:
                     self.known.clear()
-                ids = self._only_path(part) if self.merges else self._shortest(part)
+                ids = self._shortest(part)
                 if len(part) <= 64:
                     self.known[part] = ids
             out += ids
+        if not self.bytes:  # unknown characters in a row are one
+            out = [i for i, before in zip(out, [None, *out]) if not i == before == self.unknown]
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -170,8 +257,15 @@ class Transducer:
         if not hasattr(self, "spelled"):
             self.spelled = {i: name.encode() for i, name in self.names.items()}
             self.spelled |= {i: bytes([b]) for b, i in self.bytes.items()}
-        text = b"".join([self.spelled.get(i, b" \xe2\x81\x87 ") for i in ids]).decode("utf-8", "replace")
-        return text.replace(MARK, " ").removeprefix(" ")
+            self.spelled[self.unknown] = self.unknown_text.encode()
+        mark, squeeze = MARK.encode(), self.normalised.squeeze
+        parts = [self.spelled.get(i, b"") for i in ids]
+        if self.normalised.prefix or squeeze:
+            for n, part in enumerate(parts):
+                parts[n] = part.removeprefix(mark)
+                if parts[n] or part and not squeeze:
+                    break
+        return b"".join(parts).decode("utf-8", "replace").replace(MARK, " ")
 
 
 _machines: dict[str, Transducer] = {}

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tallybook.llm import ngram_join, packing, sentencepiece_fst, spotsigs, suffix_dedup
-from tests.llm.cases import TEXTS, documents, rows
+from tests.llm.cases import BASE, TEXTS, documents, prose, rows
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 REPEATED = [None, 3, 3, *range(10, 10 + len(TEXTS) - 3)]
@@ -188,6 +188,45 @@ def test_sentencepiece_weights():
     assert len(machine._shortest("aé")) == 3
 
 
+@pytest.mark.parametrize("kind,settings", [
+    ("unigram", {}), ("unigram", {"byte_fallback": True, "normalization_rule_name": "identity", "remove_extra_whitespaces": False}),
+    ("unigram", {"add_dummy_prefix": False, "normalization_rule_name": "nmt_nfkc_cf"}), ("bpe", {}),
+])
+def test_sentencepiece_of_other_models(spark, tmp_path, kind, settings):
+    """Kind and normaliser come from the model file."""
+    import sentencepiece
+
+    path = str(tmp_path / "small.model")
+    with open(path, "wb") as file:
+        sentencepiece.SentencePieceTrainer.train(
+            sentence_iterator=iter([BASE, prose(3, 200), prose(5, 60)]), model_writer=file, model_type=kind,
+            vocab_size=500, hard_vocab_limit=False, minloglevel=2, **settings,
+        )
+    texts = [t if t is None or len(t) < 9_000 else t[:9_000] for t in TEXTS] + [
+        "  the  of ", "Ｔhe ﬁne\u00a0 \u00a8x e\u0301 \u0340", "日日 bad 日", "日", "\u200b", "abcdefg" * 30, "a\tb\r\nc ", "\u2581a \u2581",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    encoded = sentencepiece_fst.encode(docs, path)
+    want = {i: library.encode(t or "") for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["ids"] for r in encoded.collect()} == want
+    decoded = {r["doc_id"]: r["text"] for r in sentencepiece_fst.decode(encoded, path).collect()}
+    assert decoded == {i: library.decode(ids) for i, ids in want.items()}
+
+
+def test_sentencepiece_refuses(tmp_path):
+    import sentencepiece
+
+    for settings in ({"model_type": "word"}, {"user_defined_symbols": ["<x>"]}, {"treat_whitespace_as_suffix": True}):
+        path = str(tmp_path / "small.model")
+        with open(path, "wb") as file:
+            sentencepiece.SentencePieceTrainer.train(
+                sentence_iterator=iter([BASE]), model_writer=file, vocab_size=200, hard_vocab_limit=False, minloglevel=2, **settings
+            )
+        with pytest.raises(ValueError):
+            sentencepiece_fst.Transducer(path)
+
+
 def test_spot_signatures(spark):
     report = {r["doc_id"]: r for r in spotsigs.edit_report(documents(spark)).collect()}
     texts = [t or "" for t in TEXTS]
