@@ -6,7 +6,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import (
-    ngram_join, packing, quality, sentencepiece_fst, spotsigs, suffix_dedup, topk_search, toxicity, url_filters, warc,
+    ngram_join, packing, quality, sentencepiece_fst, spotsigs, suffix_dedup, token_counts, topk_search, toxicity,
+    url_filters, warc,
 )
 
 
@@ -122,10 +123,15 @@ def op10_suffix_array_dedup(spark, d):
     return suffix_dedup.removal_digest(suffix_dedup.remove_repeats(_table(spark, d, "documents")))
 
 
+def op12_token_counts(spark, d):
+    return token_counts.token_counts(_table(spark, d, "documents"))
+
+
 def queries():
     found = [
         op1_ngram_jaccard_join, op2_toxicity, op3_url_filters, op4_quality_classifier, op5_exact_top_k_search,
         op6_sentencepiece, op7_packing, op8_document_fingerprints, op9_warc, op10_suffix_array_dedup,
+        op12_token_counts,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
