@@ -12,95 +12,54 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Callable
-from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.llm.blocks import documents, partitions, written_table
+from tallybook.llm.parts import PartTable, between_white_space, slices
 
 END_OF_DOCUMENT = 2  # fixed value: the id after each document
 GROUP_PIECES = 4096  # pieces packed together on average
-_CACHE_ENTRIES = 500_000
+_TOGETHER = 1000  # new parts encoded in one call
 
+_tables: dict[str, PartTable] = {}
 
-_MARKS = ".,;:!?|$*#&%-()"  # part from letters without changing how these are split
-_CHUNK = 1000
-_encoders: dict[str, Callable[[str], bytes]] = {}
 
+def id_table(path: str) -> PartTable:
+    """A table from distinct parts of texts to their ids; one per task process.
 
-def word_ids(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian 32-bit bytes; one per task process.
-
-    The vocabulary drops white space, folds case and joins neither over white space nor letters
-    with marks, so that a text's ids are those of its blank-separated parts, and a part's those of
-    its letters and of the marks behind. Parts repeat a lot; a bounded table remembers them. New
-    ones are encoded many at a time, with a special token between.
+    The vocabulary drops white space and joins nothing over it, so that a text's ids are those of its
+    parts between white space. New parts are encoded by the library many at a time, with a special
+    token between, which ends a part as white space does.
     """
-    if path not in _encoders:
-        _encoders[path] = _encoder(path)
-    return _encoders[path]
-
-
-def _encoder(path: str) -> Callable[[str], bytes]:
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    between = "<|endoftext|>"
-    mark = tokenizer.token_to_id(between)
-    known: dict[str, bytes] = {"": b""}
-
-    def alone(texts: list[str]) -> None:
-        for text, found in zip(texts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            known[text] = np.array(found.ids, "<u4").tobytes()
-
-    def learn(texts: list[str]) -> None:
-        # A text with something like a special token in it is encoded by itself.
-        alone([t for t in texts if "<|" in t or "|>" in t])
-        texts = [t for t in texts if not ("<|" in t or "|>" in t)]
-        for i in range(0, len(texts), _CHUNK):
-            some = texts[i : i + _CHUNK]
-            ids = np.array(tokenizer.encode_batch_fast([between.join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == mark)
-            raw = ids.tobytes()
-            for text, a, b in zip(some, [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), len(raw)]):
-                known[text] = raw[a:b]
-
-    def fold(text: str) -> str:
-        # The vocabulary looks for special tokens, then normalises, then folds characters one by one: a text
-        # is left as it is where folding it first could make a special token or a letter with a mark.
-        if "<|" in text or "|>" in text:
-            return text
-        lower = text.lower()
-        if text.isascii():
-            return lower
-        same = is_normalized("NFC", text) and "\u03a3" not in text and "\u0130" not in text
-        return lower if same and is_normalized("NFC", lower) else text
-
-    def letters(core: str) -> bool:
-        # A few letters come apart into a letter and a mark, which goes with the marks behind.
-        return core.isalpha() and (core.isascii() or normalize("NFC", core).lower().isalpha())
-
-    def ids(text: str) -> bytes:
-        parts = fold(text).replace("\n", " ").split(" ")
-        new = set(parts).difference(known)
-        if new:
-            if len(known) + len(new) > _CACHE_ENTRIES:
-                known.clear()
-                known[""] = b""
-                new = set(parts) - {""}
-            cores = {p: core for p in new if (core := p.rstrip(_MARKS)) != p and letters(core)}
-            wanted = new.difference(cores)
-            wanted.update(cores.values(), (p[len(core) :] for p, core in cores.items()))
-            learn([p for p in wanted if p not in known])
-            for p, core in cores.items():
-                known[p] = known[core] + known[p[len(core) :]]
-        return b"".join(map(known.__getitem__, parts))
-
-    return ids
+    if path not in _tables:
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        tokenizer = Tokenizer.from_file(path)
+        between = "<|endoftext|>"
+        mark = tokenizer.token_to_id(between)
+
+        def ids_of(texts: list[str]) -> list[np.ndarray]:
+            return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def learn(parts: list[str]) -> list[np.ndarray]:
+            # A part that may hold something of a special token is encoded by itself.
+            special = ["<|" in p or "|>" in p for p in parts]
+            alone = iter(ids_of([p for p, s in zip(parts, special) if s]))
+            plain = [p for p, s in zip(parts, special) if not s]
+            found: list[np.ndarray] = []
+            for i in range(0, len(plain), _TOGETHER):
+                ids = ids_of([between.join(plain[i : i + _TOGETHER])])[0]
+                ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
+                found += [ids[a:b] for a, b in zip([0, *(e + 1 for e in ends)], ends)]
+            rest = iter(found)
+            return [next(alone if s else rest) for s in special]
+
+        _tables[path] = PartTable(learn, np.uint32)
+    return _tables[path]
 
 
 def default_vocabulary() -> str:
@@ -119,23 +78,20 @@ def pieces(docs: DataFrame, length: int = 4096, vocabulary: str | None = None, k
     end = struct.pack("<I", END_OF_DOCUMENT)
 
     def run(batches):
-        encode = word_ids(vocabulary or default_vocabulary())
+        table = id_table(vocabulary or default_vocabulary())
         for batch in batches:
-            rows: dict[str, list] = {n: [] for n in schema.names}
-            held = 0
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = encode(text.as_py() or "") + end
-                total = len(ids) // 4
-                for start in range(0, total, length):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    row = (doc, start, len(piece) // 4, zlib.crc32(piece), total, piece)
-                    for name, value in zip(schema.names, row):
-                        rows[name].append(value)
-                held += len(ids) if keep_ids else 0
-                if held > 8 << 20:
-                    yield pa.RecordBatch.from_pydict(rows, schema=schema)
-                    rows, held = {n: [] for n in schema.names}, 0
-            if rows["doc_id"]:
+            for first, texts in slices(batch.column("text")):
+                found, bounds = table.gather(*between_white_space(texts))
+                raw = memoryview(found.astype("<u4", copy=False)).cast("B")
+                rows: dict[str, list] = {n: [] for n in schema.names}
+                for doc, a, b in zip(batch.column("doc_id").slice(first, len(texts)).to_pylist(), bounds, bounds[1:]):
+                    ids = raw[4 * a : 4 * b].tobytes() + end
+                    total = len(ids) // 4
+                    for start in range(0, total, length):
+                        piece = ids[4 * start : 4 * (start + length)]
+                        row = (doc, start, len(piece) // 4, zlib.crc32(piece), total, piece)
+                        for name, value in zip(schema.names, row):
+                            rows[name].append(value)
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
     kinds = ", ".join(f"{n} long" for n in names) + (", ids binary" if keep_ids else "")

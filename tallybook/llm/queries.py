@@ -6,8 +6,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import (
-    ngram_join, packing, quality, sentencepiece_fst, spotsigs, suffix_dedup, token_counts, topk_search, toxicity,
-    url_filters, warc,
+    ngram_join, packing, prefix_trie, quality, sentencepiece_fst, spotsigs, suffix_dedup, token_counts, topk_search,
+    toxicity, url_filters, warc,
 )
 
 
@@ -127,15 +127,68 @@ def op12_token_counts(spark, d):
     return token_counts.token_counts(_table(spark, d, "documents"))
 
 
+def op13_conversation_prefix_trie(spark, d):
+    return prefix_trie.rebuilt_trie(_table(spark, d, "conversations"))
+
+
+# CRC-32 by its table of 256 steps, for texts of ASCII characters.
+_CRC_TABLE = """crc AS MATERIALIZED (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)
+                ORDER BY i) AS steps
+    FROM range(256) r(i))"""
+
+
+def _crc32(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)"
+    folded = f"list_reduce({codes}, lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1]), 4294967295::BIGINT)"
+    return f"xor({folded}, 4294967295::BIGINT)"
+
+
+OP13_SQL = rf"""
+WITH {_CRC_TABLE},
+o AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS n,
+           {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_crc32('conv_id::VARCHAR')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM o), crc),
+r AS (
+    SELECT c.conv_id, n, t FROM c JOIN o ON o.conv_id = c.conv_id WHERE n > h
+    UNION ALL SELECT c.conv_id, n, t FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 WHERE n <= h),
+s AS (
+    SELECT c.conv_id, coalesce(max(x), []) AS turns
+    FROM c LEFT JOIN (SELECT conv_id, list(t ORDER BY n) AS x FROM r GROUP BY conv_id) USING (conv_id) GROUP BY c.conv_id),
+p AS (
+    SELECT conv_id, d, turns[:d] AS path, len(turns) = d AS ends
+    FROM s, unnest(range(0, len(turns) + 1)) u(d)),
+nodes AS (
+    SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^ 	-]+')) ELSE 0 END AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM p GROUP BY path, d),
+kids AS (SELECT path[:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+known AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)),
+under AS (
+    SELECT a.path, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum(b.saved) AS saved_tokens
+    FROM (SELECT path[:k] AS path, known.n_children, saved FROM known, unnest(range(0, d + 1)) u(k)) b
+    JOIN known a USING (path) GROUP BY a.path)
+SELECT k.conv_id, k.d::BIGINT AS depth, q.conv_id AS parent_conv_id, k.n_convs::BIGINT AS n_convs,
+       k.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+FROM known k JOIN under u ON u.path = k.path LEFT JOIN nodes q ON k.d > 0 AND q.path = k.path[:k.d - 1]"""
+
+
 def queries():
     found = [
         op1_ngram_jaccard_join, op2_toxicity, op3_url_filters, op4_quality_classifier, op5_exact_top_k_search,
         op6_sentencepiece, op7_packing, op8_document_fingerprints, op9_warc, op10_suffix_array_dedup,
-        op12_token_counts,
+        op12_token_counts, op13_conversation_prefix_trie,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql():
-    found = {"op1_ngram_jaccard_join": OP1_SQL, "op3_url_filters": OP3_SQL, "op5_exact_top_k_search": OP5_SQL, "op9_warc": OP9_SQL}
+    found = {
+        "op1_ngram_jaccard_join": OP1_SQL, "op3_url_filters": OP3_SQL, "op5_exact_top_k_search": OP5_SQL, "op9_warc": OP9_SQL,
+        "op13_conversation_prefix_trie": OP13_SQL,
+    }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
