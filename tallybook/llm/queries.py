@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import (
     ngram_join, packing, prefix_trie, quality, sentencepiece_fst, spotsigs, suffix_dedup, token_counts, topk_search,
-    toxicity, url_filters, warc,
+    toxicity, turn_repair, url_filters, warc,
 )
 
 
@@ -123,6 +123,10 @@ def op10_suffix_array_dedup(spark, d):
     return suffix_dedup.removal_digest(suffix_dedup.remove_repeats(_table(spark, d, "documents")))
 
 
+def op11_conversation_repair(spark, d):
+    return turn_repair.repair_report(_table(spark, d, "conversations"))
+
+
 def op12_token_counts(spark, d):
     return token_counts.token_counts(_table(spark, d, "documents"))
 
@@ -144,6 +148,66 @@ def _crc32(text: str) -> str:
     return f"xor({folded}, 4294967295::BIGINT)"
 
 
+OP11_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+b AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k
+    FROM conversations, crc),
+x AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM b WHERE k <> 0),
+n AS (
+    SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || ':' || text), copy) AS i
+    FROM x),
+f AS (
+    SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+               WHEN right(cut, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS earlier
+    FROM n),
+stats AS (
+    SELECT conv_id, count(*) AS n_rows, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+           count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+           count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+           count(*) FILTER (WHERE earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM f GROUP BY conv_id),
+added(q, p, letters, price, lines) AS (VALUES
+    ('', '', '', 0, []::VARCHAR[]), ('', 'u', 'I', 3, ['user:']), ('', 'a', 'II', 6, ['user:', 'assistant:']),
+    ('s', 's', '', 0, []), ('s', 'u', 'I', 3, ['user:']), ('s', 'a', 'II', 6, ['user:', 'assistant:']),
+    ('u', 'u', '', 0, []), ('u', 'a', 'I', 3, ['assistant:']), ('a', 'a', '', 0, []), ('a', 'u', 'I', 3, ['user:'])),
+edits(p, edit, t, price, role) AS (VALUES
+    ('', 'D', '', 4, ''), ('s', 'D', 's', 4, ''), ('u', 'D', 'u', 4, ''), ('a', 'D', 'a', 4, ''),
+    ('', 'K', 's', 0, ''), ('', 'K', 'u', 0, ''), ('s', 'K', 'u', 0, ''), ('a', 'K', 'u', 0, ''), ('u', 'K', 'a', 0, ''),
+    ('', 'R', 'u', 3, 'user'), ('s', 'R', 'u', 3, 'user'), ('a', 'R', 'u', 3, 'user'), ('u', 'R', 'a', 3, 'assistant')),
+moves AS (
+    SELECT q, edit, t, role, letters || edit AS letters, added.price + edits.price AS price, lines FROM added JOIN edits USING (p)),
+walk AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS q, {{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}} AS best
+    FROM conversations
+    UNION ALL
+    SELECT w.conv_id, w.i + 1, t, min({{
+        'cost': (best.cost + price + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 3 ELSE 0 END)::BIGINT,
+        'audit': best.audit || letters,
+        'lines': best.lines || m.lines || CASE edit WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [f.role || ':' || f.text]
+                                                ELSE [m.role || ':' || f.text] END}})
+    FROM walk w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    JOIN moves m ON m.q = w.q AND (edit = 'D' OR fault NOT IN ('blank', 'duplicate') AND (edit = 'R' OR initial = t))
+    GROUP BY w.conv_id, w.i, t),
+done AS (
+    SELECT w.conv_id, min({{'cost': (best.cost + price)::BIGINT, 'audit': best.audit || letters, 'lines': best.lines || a.lines}}) AS best
+    FROM walk w LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM w.conv_id
+    JOIN added a ON a.q = w.q AND a.p IN ('', 'a')
+    WHERE w.i = coalesce(n_rows, 0) GROUP BY w.conv_id)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, best.cost AS cost, best.audit AS audit,
+       sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM done d LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+
 OP13_SQL = rf"""
 WITH {_CRC_TABLE},
 o AS (
@@ -163,7 +227,8 @@ p AS (
     FROM s, unnest(range(0, len(turns) + 1)) u(d)),
 nodes AS (
     SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
-           (count(*) - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^ 	-]+')) ELSE 0 END AS saved,
+           (count(*) - 1) * CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^ 	-
+]+')) ELSE 0 END AS saved,
            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
     FROM p GROUP BY path, d),
 kids AS (SELECT path[:d - 1] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
@@ -181,7 +246,7 @@ def queries():
     found = [
         op1_ngram_jaccard_join, op2_toxicity, op3_url_filters, op4_quality_classifier, op5_exact_top_k_search,
         op6_sentencepiece, op7_packing, op8_document_fingerprints, op9_warc, op10_suffix_array_dedup,
-        op12_token_counts, op13_conversation_prefix_trie,
+        op11_conversation_repair, op12_token_counts, op13_conversation_prefix_trie,
     ]
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 
@@ -189,6 +254,6 @@ def queries():
 def oracle_sql():
     found = {
         "op1_ngram_jaccard_join": OP1_SQL, "op3_url_filters": OP3_SQL, "op5_exact_top_k_search": OP5_SQL, "op9_warc": OP9_SQL,
-        "op13_conversation_prefix_trie": OP13_SQL,
+        "op11_conversation_repair": OP11_SQL, "op13_conversation_prefix_trie": OP13_SQL,
     }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
