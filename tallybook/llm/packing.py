@@ -12,13 +12,14 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.llm.blocks import documents, partitions, written_table
-from tallybook.llm.parts import PartTable, between_white_space, slices
+from tallybook.llm.parts import PLAIN_WORD, PartTable, folded_parts, slices, spelled
 
 END_OF_DOCUMENT = 2  # fixed value: the id after each document
 GROUP_PIECES = 4096  # pieces packed together on average
@@ -31,8 +32,8 @@ def id_table(path: str) -> PartTable:
     """A table from distinct parts of texts to their ids; one per task process.
 
     The vocabulary drops white space and joins nothing over it, so that a text's ids are those of its
-    parts between white space. New parts are encoded by the library many at a time, with a special
-    token between, which ends a part as white space does.
+    parts. New parts of plain letters go straight to the vocabulary's merges; others are encoded many at a
+    time, with a special token between, which ends a part as white space does.
     """
     if path not in _tables:
         from tokenizers import Tokenizer
@@ -42,21 +43,30 @@ def id_table(path: str) -> PartTable:
         between = "<|endoftext|>"
         mark = tokenizer.token_to_id(between)
 
-        def ids_of(texts: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-        def learn(parts: list[str]) -> list[np.ndarray]:
-            # A part that may hold something of a special token is encoded by itself.
-            special = ["<|" in p or "|>" in p for p in parts]
-            alone = iter(ids_of([p for p, s in zip(parts, special) if s]))
-            plain = [p for p, s in zip(parts, special) if not s]
-            found: list[np.ndarray] = []
-            for i in range(0, len(plain), _TOGETHER):
-                ids = ids_of([between.join(plain[i : i + _TOGETHER])])[0]
-                ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
-                found += [ids[a:b] for a, b in zip([0, *(e + 1 for e in ends)], ends)]
-            rest = iter(found)
-            return [next(alone if s else rest) for s in special]
+        def encoded(text: str) -> list[int]:
+            return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+        merged = tokenizer.model.tokenize
+
+        def learn(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found: list[list[int]] = [[]] * len(parts)
+            others = []
+            for i, part in enumerate(parts):
+                if PLAIN_WORD(part):
+                    found[i] = [token.id for token in merged(spelled(part))]
+                elif "<|" in part or "|>" in part:
+                    # What may hold something of a special token is encoded by itself.
+                    found[i] = encoded(part)
+                else:
+                    others.append(i)
+            for low in range(0, len(others), _TOGETHER):
+                some = others[low : low + _TOGETHER]
+                ids = encoded(between.join([parts[i] for i in some]))
+                ends = [i for i, id in enumerate(ids) if id == mark] + [len(ids)]
+                for i, start, end in zip(some, [0, *(e + 1 for e in ends)], ends):
+                    found[i] = ids[start:end]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
         _tables[path] = PartTable(learn, np.uint32)
     return _tables[path]
@@ -81,7 +91,7 @@ def pieces(docs: DataFrame, length: int = 4096, vocabulary: str | None = None, k
         table = id_table(vocabulary or default_vocabulary())
         for batch in batches:
             for first, texts in slices(batch.column("text")):
-                found, bounds = table.gather(*between_white_space(texts))
+                found, bounds = table.gather(*folded_parts(texts))
                 raw = memoryview(found.astype("<u4", copy=False)).cast("B")
                 rows: dict[str, list] = {n: [] for n in schema.names}
                 for doc, a, b in zip(batch.column("doc_id").slice(first, len(texts)).to_pylist(), bounds, bounds[1:]):

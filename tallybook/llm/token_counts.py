@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tallybook.llm.blocks import documents
-from tallybook.llm.parts import REMEMBERED, between_white_space, slices
+from tallybook.llm.parts import BYTE_CHARACTERS, PLAIN_WORD, REMEMBERED, PartTable, folded_parts, slices, spelled
 
 LIMIT = 2048  # tokens above which a document is marked
 
@@ -32,13 +32,6 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _byte_characters() -> list[str]:
-    """The character that stands for each byte: itself if it is printable, else the next one from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    spare = iter(range(0x100, 0x200))
-    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
-
-
 def _kinds(step: dict | None, key: str) -> list[dict]:
     """The steps of a sequence, or the one step."""
     if step is None:
@@ -66,9 +59,8 @@ class MergeCounter:
         ):
             raise ValueError(f"{path}: not a vocabulary of words merged from bytes")
         vocabulary, suffix = model["vocab"], model["end_of_word_suffix"] or ""
-        letters = _byte_characters()
-        self.inside = {c: vocabulary[c] for c in letters}
-        self.last = {c: vocabulary[c + suffix] for c in letters}
+        self.inside = {c: vocabulary[c] for c in BYTE_CHARACTERS}
+        self.last = {c: vocabulary[c + suffix] for c in BYTE_CHARACTERS}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.width = max(vocabulary.values()) + 1
         self.ranks = {vocabulary[a] * self.width + vocabulary[b]: rank for rank, (a, b) in enumerate(pairs)}
@@ -79,8 +71,9 @@ class MergeCounter:
         self.normalised, self.cut = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.known_words: dict[str, int] = {}
-        self.known: dict[str, int] = {}
+        self.known = PartTable(self._learn, np.int64)
+        self.new_words: dict[str, int] = {}
+        self.old_words: dict[str, int] = {}
 
     def merges(self, symbols: list[int]) -> int:
         """How many merges a word's symbols go through; the list is used up."""
@@ -113,22 +106,27 @@ class MergeCounter:
 
     def word(self, word: str) -> int:
         """Tokens of a word, given as a character a byte; a printable ASCII character stands for itself."""
-        found = self.known_words.get(word)
+        found = self.new_words.get(word)
+        if found is not None:
+            return found
+        found = self.old_words.get(word)
         if found is None:
             symbols = list(map(self.inside.__getitem__, word))
             symbols[-1] = self.last[word[-1]]
             found = len(word) - self.merges(symbols)
-            if len(self.known_words) >= REMEMBERED:
-                self.known_words.clear()
-            if len(word) <= 64:
-                self.known_words[word] = found
+        if len(word) <= 64:
+            if len(self.new_words) >= REMEMBERED:
+                # Words not met since the last time are forgotten.
+                self.old_words, self.new_words = self.new_words, {}
+            self.new_words[word] = found
         return found
 
     def _plain(self, part: str) -> int:
         """Tokens of a part without special strings: normalised, then cut into words."""
+        if PLAIN_WORD(part):
+            return self.word(spelled(part))
         if part.isascii() and part.isprintable():
-            part = part.lower()
-            return self.word(part) if part.isalpha() else sum(map(self.word, self.words.findall(part)))
+            return sum(map(self.word, self.words.findall(part.lower())))
         return sum(self.word(word) for word, _ in self.cut(self.normalised(part)))
 
     def part(self, part: str) -> int:
@@ -138,19 +136,13 @@ class MergeCounter:
         pieces = self.special.split(part)
         return len(pieces) - 1 + sum(map(self._plain, pieces))
 
+    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return np.fromiter(map(self.part, parts), np.int64, len(parts)), np.ones(len(parts), np.int64)
+
     def counts(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text of a slice."""
-        parts, index, bounds = between_white_space(texts)
-        known = self.known
-        new = [p for p in parts if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = parts
-        for part in new:
-            known[part] = self.part(part)
-        each = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
-        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(each[index])])
-        return np.diff(ends[bounds])
+        each, bounds = self.known.gather(*folded_parts(texts))
+        return np.diff(np.append(0, np.cumsum(each))[bounds])
 
 
 _counters: dict[str, MergeCounter] = {}

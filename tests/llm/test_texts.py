@@ -6,9 +6,10 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallybook.llm import ngram_join, packing, sentencepiece_fst, spotsigs, suffix_dedup
+from tallybook.llm import ngram_join, packing, parts, sentencepiece_fst, spotsigs, suffix_dedup, token_counts
 from tests.llm.cases import BASE, TEXTS, documents, prose, rows
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -144,12 +145,80 @@ def test_packing_folds_like_the_vocabulary():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(packing.default_vocabulary())
-    ids = packing.word_ids(packing.default_vocabulary())
+    table = packing.id_table(packing.default_vocabulary())
     for text in [
         "<|EndOfText|> a", "x <|ENDOFTEXT|>.", "<|endoftext|> B", "<|StartOfText|>", "H\u0331a", "T\u0308 H\u0331.", "J\u030c",
         "\u0130.", "\u0958.", "\ufb1d,", "\u03a3\u03a3.", "É É.",
     ]:
-        assert np.frombuffer(ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, ascii(text)
+        ids, _ = table.gather(*parts.folded_parts(pa.array([text])))
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def strange_texts(count):
+    rnd = random.Random(1)
+    letters = [chr(c) for c in range(0x20, 0x2000)] + list("aàéÀÉ'stre<|>endof \n\t\x85\u2009ΣσςİÌ\u0327\u0301") * 30
+    letters += ["<|endoftext|>", "<|startoftext|>", "힣", "ᄀ", "ᅡ", "ᆨ", "🎈", "\x1c", "\x00"] * 40
+    return ["".join(rnd.choices(letters, k=rnd.randint(0, 14))) for _ in range(count)]
+
+
+def test_token_counts(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(token_counts.default_vocabulary())
+    texts = TEXTS + strange_texts(3_000) + ["a" * 20_000, "ab" * 3_000 + " é" * 2_000, "<|endoftext|>" * 3_000]
+    ids = list(range(len(texts) - 2)) + [3, None]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in zip(ids, texts)], "doc_id long, text string, n_tokens int").repartition(3)
+    want = []
+    for i, text in zip(ids, texts):
+        n = len(plain.encode(text or "", add_special_tokens=False).ids)
+        want.append((i, len((text or "").encode()), n, n > 2048))
+    assert rows(token_counts.token_counts(docs)) == sorted(want, key=str)
+    assert any(over for *_, over in want)
+
+
+def test_token_counts_and_ids_agree():
+    """Ids and counts of very many short texts, by tables that start anew on the way."""
+    from tokenizers import Tokenizer
+
+    path = packing.default_vocabulary()
+    texts = strange_texts(40_000)
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)]
+    counter = token_counts.MergeCounter(path)
+    table = parts.PartTable(packing.id_table(path).learn, np.uint32, limit=5_000)
+    for start in range(0, len(texts), 1_000):
+        some = pa.array(texts[start : start + 1_000])
+        assert counter.counts(some).tolist() == [len(ids) for ids in want[start : start + 1_000]]
+        ids, bounds = table.gather(*parts.folded_parts(some))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want[start : start + 1_000]
+
+
+def test_merges_by_plain_rule():
+    """The heap and the list give as many merges as looking for the best pair anew each time."""
+    counter = token_counts.MergeCounter(token_counts.default_vocabulary())
+    rnd = random.Random(3)
+    for _ in range(500):
+        symbols = [counter.inside[rnd.choice("abeinorst")] for _ in range(rnd.randint(1, 25))]
+        left, merges = list(symbols), 0
+        while True:
+            ranks = [counter.ranks.get(a * counter.width + b, 1 << 30) for a, b in zip(left, left[1:])]
+            if not ranks or min(ranks) == 1 << 30:
+                break
+            at = ranks.index(min(ranks))
+            left[at : at + 2] = [counter.merged[ranks[at]]]
+            merges += 1
+        assert counter.merges(symbols) == merges
+
+
+def test_token_counts_refuse(tmp_path):
+    import json
+
+    with open(token_counts.default_vocabulary(), encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["normalizer"] = None
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError):
+        token_counts.MergeCounter(str(path))
 
 
 def test_first_fit():
@@ -258,7 +327,7 @@ def test_similar_signatures(spark):
 
 @pytest.mark.parametrize("run", [
     ngram_join.ngram_components, ngram_join.one_per_component, suffix_dedup.remove_repeats, suffix_dedup.without_repeats,
-    packing.pack, sentencepiece_fst.round_trip, spotsigs.edit_report,
+    packing.pack, sentencepiece_fst.round_trip, spotsigs.edit_report, token_counts.token_counts,
 ])
 def test_empty_table(spark, run):
     assert rows(run(documents(spark).limit(0))) == []
