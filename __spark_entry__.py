@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from datetime import datetime
@@ -15,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 from tallybook.functions import times  # noqa: E402
 from tallybook.functions.times import moment  # noqa: E402
 from tallybook.operators import grading, joins, lessons, progress, quality, ranking, text  # noqa: E402
-from tallybook.plans import skew  # noqa: E402
+from tallybook.plans import intervals, skew  # noqa: E402
 from tallybook.plans.contest import Contest  # noqa: E402
+from tallybook.plans.ordering import number_rows  # noqa: E402
 from tallybook.session import new_location  # noqa: E402
-from tallybook.sources import problem_file, tables  # noqa: E402
+from tallybook.sources import json_array, problem_file, tables  # noqa: E402
 from tallybook.sources.tables import attempt_log, read_table  # noqa: E402
 from tallybook.streaming import attempts as streams  # noqa: E402
 
@@ -194,6 +194,12 @@ def shared_project_count(spark, d):
     return _shared_parts(spark, d, _part_nations(spark, d))
 
 
+def shared_project_exists(spark, d):
+    return joins.shared_project_exists(
+        _nation(spark, d), _part_nations(spark, d), "n_nationkey", "s_nationkey", "l_partkey", "shared_parts"
+    )
+
+
 def shared_project_large_returns(spark, d):
     return _shared_parts(spark, d, _part_nations(spark, d).where(_large_return()))
 
@@ -271,6 +277,99 @@ def user_round_matrix(spark, d):
     return progress.user_round_matrix(_log(spark, d), CONTEST.problems(spark), CONTEST)
 
 
+def _given_rounds(spark, d):
+    """Rounds as rows, a nation each: of several lengths, with gaps and overlaps."""
+    start, key = moment(CONTEST.start), F.col("n_nationkey")
+    begins = start + F.make_dt_interval(hours=key * 29)
+    return read_table(spark, d, "nation").select(
+        key.cast("bigint").alias("round_number"), begins.alias("starts_at"),
+        (begins + F.make_dt_interval(hours=(F.col("n_regionkey") + 1) * 17)).alias("ends_at"),
+    )
+
+
+def assign_rounds_given(spark, d):
+    return progress.given_round_activity(_log(spark, d), _given_rounds(spark, d))
+
+
+def assign_rounds_given_cells(spark, d):
+    """The same through cells of time, which leaves the log where it is."""
+    return progress.given_round_activity(_log(spark, d), _given_rounds(spark, d), intervals.CELLS)
+
+
+def assign_rounds_many(spark, d):
+    """A window per supplier: as many as the data have, many of them open at a time."""
+    start = moment(CONTEST.start) + F.make_dt_interval(mins=(F.col("s_suppkey") * 7919 % 43200).cast("int"))
+    windows = read_table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("round_number"), start.alias("starts_at"),
+        (start + F.make_dt_interval(mins=F.col("s_nationkey") * 37 + 1)).alias("ends_at"),
+    )
+    return progress.given_round_activity(_log(spark, d), windows)
+
+
+def round_state_given(spark, d):
+    return progress.given_round_state_activity(_log(spark, d), _given_rounds(spark, d), AS_OF)
+
+
+def submission_timeliness_given(spark, d):
+    """Against rounds stored with the application, each problem in a round of its own."""
+    folder = new_location(spark, "application")
+    tables.reset_application(spark, folder, CONTEST, rounds=_given_rounds(spark, d))
+    problems = CONTEST.problems(spark).select("problem_id", F.col("problem_id").alias("round_number"))
+    return progress.submission_timeliness(_log(spark, d), problems, tables.read_application(spark, folder, "rounds"))
+
+
+def user_round_matrix_given(spark, d):
+    """A column for every round of a table; problems go to the rounds of nations by number."""
+    rounds = _given_rounds(spark, d).where(F.col("round_number") % 3 == 0)
+    problems = CONTEST.problems(spark).select("problem_id", (F.col("problem_id") + 3).alias("round_number"))
+    return progress.matrix_of_rounds(_log(spark, d), problems, rounds)
+
+
+def problem_board_told(spark, d):
+    """The board with questions, difficulties and sample data, from the tables that have texts."""
+    told = (
+        CONTEST.problems(spark)
+        .join(read_table(spark, d, "part").select("p_partkey", "p_name", "p_brand"), F.col("problem_id") == F.col("p_partkey"))
+        .join(read_table(spark, d, "documents").select("doc_id", "text"), F.col("problem_id") == F.col("doc_id"))
+        .select(
+            "problem_id", "round_number", F.col("p_name").alias("question"), F.col("p_brand").alias("difficulty"),
+            F.col("text").alias("sample_data"),
+        )
+    )
+    return progress.problem_board(_users(spark, d), told, _log(spark, d), CONTEST)
+
+
+def _loose_log(spark, d):
+    """Attempts of which some have no time and some are on problems that no round has."""
+    k = F.from_json("props", "k int")["k"]
+    events = read_table(spark, d, "events")
+    return attempt_log(events, CONTEST).join(
+        events.select(F.col("event_id").alias("_event"), k.alias("_k")), F.col("attempt_id") == F.col("_event")
+    ).withColumns({
+        "problem_id": F.when(F.col("_k") < 95, F.col("_k") % 30 + 1).cast("bigint"),
+        "attempted_at": F.when(F.col("_k") % 7 != 0, F.col("attempted_at")),
+    }).drop("_event", "_k")
+
+
+def latest_attempt_loose(spark, d):
+    return progress.latest_attempt(_loose_log(spark, d))
+
+
+def problem_board_loose(spark, d):
+    return progress.problem_board(_users(spark, d), CONTEST.problems(spark), _loose_log(spark, d), CONTEST)
+
+
+def submission_timeliness_loose(spark, d):
+    return progress.submission_timeliness(_loose_log(spark, d), CONTEST.problems(spark), CONTEST.calendar(spark))
+
+
+def numbered_onto(spark, d):
+    """Attempts since a day, numbered on from those before."""
+    log = _log(spark, d).select("attempt_id", "user_id", "problem_id", "attempted_at")
+    day = moment(datetime(2024, 1, 20))
+    return progress.numbered_onto(log.where(F.col("attempted_at") >= day), log.where(F.col("attempted_at") < day))
+
+
 # Grading and preparation
 
 
@@ -310,6 +409,21 @@ def grade_ordered_results(spark, d):
     return _role_grades(read_table(spark, d, "conversations"))
 
 
+def grade_other_table(spark, d):
+    """Balances of each nation's customers against those of its suppliers: fractions with all their digits, of
+    results that differ in length, and nations that have neither."""
+    def balances(table, nation, key, value):
+        rows = read_table(spark, d, table).select(nation, key, (F.floor(F.col(value) / 2500.0) / 3.0).alias("share"))
+        numbered = number_rows(rows, [nation], [F.col(key)], "row_no")
+        return grading.long_form(numbered, nation, "row_no", ["share"])
+
+    return grading.grade_ordered_results(
+        balances("customer", "c_nationkey", "c_custkey", "c_acctbal"),
+        balances("supplier", "s_nationkey", "s_suppkey", "s_acctbal"),
+        read_table(spark, d, "nation").select(F.col("n_nationkey").alias("submission_id")),
+    )
+
+
 def _submissions(turns, submission):
     hours = (F.col("conv_id") % 500).cast("int")
     return turns.select(
@@ -365,6 +479,49 @@ def text_block_rows(spark, d):
     )
 
 
+def block_tables(spark, d):
+    """Orders, four to a text block, as three tables side by side: the cheap ones, all of them and the urgent
+    ones; the shorter tables end early, on either side."""
+    orders = read_table(spark, d, "orders").select(
+        F.floor(F.col("o_orderkey") / 4).alias("block_id"), "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
+    )
+    cells = F.struct("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    dear, urgent = F.col("o_totalprice") >= 200000, F.col("o_orderpriority").startswith("1")
+    grouped = orders.groupBy("block_id").agg(
+        F.sort_array(F.collect_list(F.when(~dear, cells))).alias("a"), F.sort_array(F.collect_list(cells)).alias("b"),
+        F.sort_array(F.collect_list(F.when(urgent, cells))).alias("c"),
+    )
+
+    def cell(name, field, width):
+        line = F.get(F.col(name), F.col("i"))
+        return F.rpad(F.coalesce(line[field].cast("string"), F.lit("")), width, " ")
+
+    price = F.get(F.col("b"), F.col("i"))["o_totalprice"].cast("decimal(18,2)").cast("string")
+    lines = (
+        grouped.select("*", F.explode(F.sequence(F.lit(0), F.size("b") - 1)).alias("i")).select(
+            "block_id", "i",
+            F.rtrim(F.concat(
+                cell("a", "o_orderkey", 21), cell("a", "o_custkey", 45), cell("b", "o_orderkey", 21), F.rpad(price, 45, " "),
+                cell("c", "o_orderkey", 21), cell("c", "o_custkey", 20),
+            )).alias("line"),
+        )
+    )
+    title = "".join(f"{n} {text.TITLE_MARKER}".ljust(64) for n in ("cheap", "all", "urgent")).rstrip()
+    heading = "".join(n.ljust(w) for n, w in zip(["id", "customer", "id", "price", "id", "customer"], [21, 45] * 3)).rstrip()
+    blocks = lines.groupBy("block_id").agg(
+        F.concat_ws(
+            "\n", F.lit("[data]"), F.lit(title), F.lit(heading),
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), "\n"),
+            F.lit(""), F.lit("[answer]"), F.lit("id  customer"), F.lit("1   2"),
+        ).alias("block")
+    )
+    rows = text.block_tables(blocks, "block_id", "block")
+    return rows.select(
+        "block_id", "section_no", "table_no", "title", "line_no", F.array_join("header", " ").alias("header"),
+        F.array_join("tokens", " ").alias("tokens"),
+    )
+
+
 def render_rows(spark, d):
     return grading.render_rows(read_table(spark, d, "customer"))
 
@@ -410,14 +567,28 @@ def union_lesson_sets(spark, d):
     return rows.select("round_id", "position", "o_orderkey", "o_totalprice")
 
 
+def union_lesson_sets_of_tables(spark, d):
+    """Seven sets from seven tables, stacked and numbered."""
+    of = [
+        ("region", "r_regionkey", "r_name"), ("nation", "n_nationkey", "n_name"), ("supplier", "s_suppkey", "s_name"),
+        ("customer", "c_custkey", "c_name"), ("part", "p_partkey", "p_name"), ("orders", "o_orderkey", "o_orderpriority"),
+        ("events", "event_id", "event_type"),
+    ]
+    sets = {
+        i: read_table(spark, d, t).select(F.col(k).cast("bigint").alias("item_id"), F.col(n).alias("item"))
+        for i, (t, k, n) in enumerate(of, 1)
+    }
+    return ranking.union_lesson_sets(sets, ["item", "item_id"]).select("round_id", "position", "item_id", "item")
+
+
 def _rules(spark, d, customers):
-    orders, parts = read_table(spark, d, "orders"), read_table(spark, d, "part")
+    orders = quality.Rules(
+        "orders", not_null=("o_custkey", "o_orderdate"), unique=(("o_orderkey",), ("o_custkey", "o_orderdate")),
+        foreign=(("o_custkey", customers, "c_custkey"),),
+    )
+    parts = quality.Rules("part", unique=(("p_name",),))
     return quality.constraint_report([
-        quality.not_null_violations(orders, "orders", ["o_custkey", "o_orderdate"]),
-        quality.unique_violations(orders, "orders", ["o_orderkey"]),
-        quality.unique_violations(orders, "orders", ["o_custkey", "o_orderdate"]),
-        quality.unique_violations(parts, "part", ["p_name"]),
-        quality.foreign_key_violations(orders, "orders", "o_custkey", customers, "c_custkey"),
+        quality.table_report(read_table(spark, d, "orders"), orders), quality.table_report(read_table(spark, d, "part"), parts)
     ])
 
 
@@ -470,6 +641,59 @@ def problem_files(spark, d):
     )
 
 
+def problem_array(spark, d):
+    """A problem per customer, up to 10,000 of them in one JSON array in one file, read back by byte ranges."""
+    cells = F.array("c_name", F.col("c_acctbal").cast("string"))
+    quoted = F.concat(F.lit('is "'), F.col("c_name"), F.lit('" in [debt}, or \\?'))
+    problem = F.struct(
+        F.col("c_custkey").alias("id"), quoted.alias("question"),
+        F.struct(F.array(F.lit("name"), F.lit("balance")).alias("columns"), F.array(cells).alias("data")).alias("test_data"),
+    )
+    files = read_table(spark, d, "customer").select(F.floor(F.col("c_custkey") / 10000).alias("file"), "c_custkey", problem.alias("p"))
+    edges = files.groupBy("file").agg(F.min("c_custkey").alias("first"), F.max("c_custkey").alias("last"))
+    key = F.col("c_custkey")
+    lines = files.join(edges, "file").select(
+        "file", "c_custkey",
+        F.concat(F.when(key == F.col("first"), "[").otherwise(""), F.to_json("p"), F.when(key == F.col("last"), "]").otherwise(",")).alias("value"),
+    )
+    folder = new_location(spark, "array")
+    lines.repartition("file").sortWithinPartitions("file", "c_custkey").select("file", "value").write.partitionBy("file").text(folder)
+    problems = json_array.read_json_array(spark, folder, problem_file.PROBLEM)
+    return problems.select("id", "question", F.col("test_data.data")[0][1].cast("double").alias("balance"))
+
+
+def text_blocks_from_files(spark, d):
+    """Customers as text blocks in many files, several to a file, read back with where they stood."""
+    line = F.concat_ws("   ", F.col("c_custkey").cast("string"), "c_name")
+    block = F.concat_ws("\n", F.lit(f"customers {text.TITLE_MARKER}"), F.lit("id  name"), line)
+    folder = new_location(spark, "blocks")
+    customers = read_table(spark, d, "customer")
+    customers.select(F.floor(F.col("c_custkey") / 100).alias("shelf"), "c_custkey", block.alias("value")).repartition(
+        "shelf"
+    ).sortWithinPartitions("shelf", "c_custkey").select("shelf", "value").write.partitionBy("shelf").option(
+        "lineSep", "\n=====\n"
+    ).text(folder)
+    blocks = tables.read_blocks(spark, folder, "\n=====\n")
+    shelf = F.regexp_extract("file", "shelf=([0-9]+)", 1).cast("bigint")
+    rows = text.section_lines(blocks.select(F.struct(shelf.alias("shelf"), "block_no").alias("place"), "block"), "place", "block")
+    return text.typed_rows(rows, ["place", "line_no"], {"id": "bigint", "name": "string"}).select(
+        "place.shelf", "place.block_no", "line_no", "id", "name"
+    )
+
+
+def rows_replaced(spark, d):
+    """Customers stored by key; those of one nation are replaced with their balances doubled, and suppliers added."""
+    customers = read_table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    suppliers = read_table(spark, d, "supplier").select(
+        (-1 - F.col("s_suppkey")).alias("c_custkey"), F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("c_acctbal")
+    )
+    folder = new_location(spark, "keyed")
+    tables.write_keyed(customers, folder, ["c_custkey"], 16)
+    doubled = customers.where("c_nationkey = 7").withColumn("c_acctbal", F.col("c_acctbal") * 2)
+    tables.replace_keyed(doubled.unionByName(suppliers), folder, ["c_custkey"], 16)
+    return tables.read_keyed(spark, folder)
+
+
 def attempts_appended(spark, d):
     """An application filled, started over, and its log appended to in two parts."""
     folder = new_location(spark, "application")
@@ -502,20 +726,49 @@ def stream_round_counts(spark, d):
     )
 
 
+def stream_totals_folded(spark, d):
+    """Attempts arriving in many files, a file a batch, with a snapshot after every third batch."""
+    folder = new_location(spark, "arrivals")
+    events = read_table(spark, d, "events")
+    events.repartitionByRange(8, "event_id").write.parquet(f"{folder}/events.parquet")
+    return streams.stream_attempt_totals(
+        spark, lambda: attempt_log(streams.stream_table(spark, folder, "events", files_per_batch=1), CONTEST), fold_every=3
+    )
+
+
+def stream_late_balance(spark, d):
+    """Attempts in files out of the order of time, in rounds that close: what was kept, and what came too late."""
+    folder = new_location(spark, "arrivals")
+    events = read_table(spark, d, "events")
+    events.repartition(6, F.xxhash64("event_id") % 6).write.parquet(f"{folder}/events.parquet")
+    counts = streams.stream_closing_rounds(
+        spark, lambda: attempt_log(streams.stream_table(spark, folder, "events", files_per_batch=1), CONTEST), CONTEST, "2 days"
+    )
+    log = _log(spark, d)
+    late = counts.late(log.schema).agg(F.count(F.lit(1))).scalar()
+    kept = counts.counts().agg(F.sum("attempts")).scalar()
+    return counts.seen().agg(F.sum("arrived").alias("arrived")).select(
+        "arrived", (kept + late).alias("kept_and_late"), (late > 0).alias("some_late")
+    )
+
+
 _QUERIES = [
     project_one, project_two, project_all, filter_equal, filter_at_least, filter_both, bound_parameters, count_by_group,
     groups_above_average, max_by_group, bucket_high_low, date_parts, tenure_months, join_lookup,
     group_count_keep_empty, group_count_rich_suppliers, join_average, three_way_join, three_way_join_plain,
     three_way_join_large_orders, distinct_groups_keep_empty, distinct_groups_large_returns, shared_project_count,
-    shared_project_large_returns, cte_group_filter_join, period_increase, period_increase_window, top_two_and_overall_rank,
+    shared_project_exists, shared_project_large_returns, cte_group_filter_join, period_increase, period_increase_window, top_two_and_overall_rank,
     assign_rounds, round_state_activity, round_progress, latest_attempt, problem_board, attempt_totals,
     submission_timeliness, accepted_attempts, user_round_matrix,
-    normalise_cells, result_diff, result_diff_repeated, same_rows, grade_ordered_results, graded_log,
+    assign_rounds_given, assign_rounds_given_cells, assign_rounds_many, round_state_given, submission_timeliness_given,
+    user_round_matrix_given, problem_board_told, latest_attempt_loose, problem_board_loose, submission_timeliness_loose,
+    numbered_onto,
+    normalise_cells, result_diff, result_diff_repeated, same_rows, grade_ordered_results, grade_other_table, graded_log,
     graded_log_first_turn,
-    section_lines, section_outline, text_block_rows, render_rows, render_table, json_fields, json_test_rows,
-    json_test_cells, union_lesson_sets, constraint_report, constraint_report_creditors,
-    iso_times, lines_written, problem_files, attempts_appended,
-    stream_attempt_totals, stream_round_counts,
+    section_lines, section_outline, text_block_rows, block_tables, render_rows, render_table, json_fields, json_test_rows,
+    json_test_cells, union_lesson_sets, union_lesson_sets_of_tables, constraint_report, constraint_report_creditors,
+    iso_times, lines_written, problem_files, problem_array, text_blocks_from_files, rows_replaced, attempts_appended,
+    stream_attempt_totals, stream_round_counts, stream_totals_folded, stream_late_balance,
 ]
 
 
@@ -529,11 +782,11 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _training_data():
-    """The module with the training-data queries, where that subpackage is installed."""
-    if importlib.util.find_spec("tallybook.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+    """The module with the training-data queries, where that subpackage and what it needs are installed."""
+    try:
+        from tallybook.llm import queries as training_data
+    except ImportError:
         return None
-    from tallybook.llm import queries as training_data
-
     return training_data
 
 
@@ -652,6 +905,64 @@ def _table_lines() -> str:
         UNION ALL SELECT {_plain_text('c_custkey')} || ' | ' || c_name || ' | ' || {_plain_text('c_acctbal')} FROM customer"""
 
 
+_GIVEN = """given AS (
+    SELECT CAST(n_nationkey AS BIGINT) AS round_number, TIMESTAMP '2024-01-01' + to_hours(29 * n_nationkey) AS starts_at,
+           TIMESTAMP '2024-01-01' + to_hours(29 * n_nationkey + 17 * (n_regionkey + 1)) AS ends_at
+    FROM nation)"""
+
+_MANY = """given AS (
+    SELECT s_suppkey AS round_number, TIMESTAMP '2024-01-01' + to_minutes(s_suppkey * 7919 % 43200) AS starts_at,
+           TIMESTAMP '2024-01-01' + to_minutes(s_suppkey * 7919 % 43200 + s_nationkey * 37 + 1) AS ends_at
+    FROM supplier)"""
+
+_LOOSE = """log AS (
+    SELECT event_id AS attempt_id, user_id, CASE WHEN k < 95 THEN k % 30 + 1 END AS problem_id,
+           event_type = 'purchase' AS is_correct, CASE WHEN k % 7 <> 0 THEN ts END AS attempted_at,
+           props AS query_text, event_type AS result_text
+    FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events))"""
+
+
+def _held_sql(windows: str) -> str:
+    return f"""
+        WITH {_LOG}, {windows}
+        SELECT round_number, starts_at, ends_at, count(attempt_id) AS attempts, count(DISTINCT user_id) AS users
+        FROM given LEFT JOIN log ON attempted_at >= starts_at AND attempted_at < ends_at GROUP BY ALL"""
+
+
+def _latest_sql(log: str) -> str:
+    return f"""
+        WITH {log}, {_LATEST}
+        SELECT user_id, problem_id, attempt_id, attempted_at, is_correct AS latest_correct,
+               CASE WHEN is_correct THEN attempted_at END AS completed_at,
+               CASE WHEN NOT is_correct THEN query_text END AS last_wrong_query,
+               CASE WHEN NOT is_correct THEN result_text END AS last_wrong_result
+        FROM latest"""
+
+
+def _board_sql(log: str, told: str = "", more: str = "") -> str:
+    return f"""
+        WITH {log}, {_LATEST}, {_PROBLEMS}, users AS (SELECT DISTINCT user_id FROM events),
+        totals AS (SELECT user_id, problem_id, count(*) AS attempts, bool_or(is_correct) AS ever_solved
+                   FROM log GROUP BY user_id, problem_id)
+        SELECT u.user_id, p.problem_id, p.round_number, {told} coalesce(t.attempts, 0) AS attempts,
+               coalesce(t.ever_solved, false) AS ever_solved, coalesce(l.is_correct, false) AS latest_correct,
+               CASE WHEN l.is_correct THEN l.attempted_at END AS completed_at,
+               CASE WHEN NOT l.is_correct THEN l.query_text END AS last_wrong_query,
+               CASE WHEN NOT l.is_correct THEN l.result_text END AS last_wrong_result
+        FROM users u CROSS JOIN problems p {more}
+        LEFT JOIN latest l ON l.user_id = u.user_id AND l.problem_id = p.problem_id
+        LEFT JOIN totals t ON t.user_id = u.user_id AND t.problem_id = p.problem_id"""
+
+
+def _timeliness_sql(log: str, problems: str, rounds: str) -> str:
+    return f"""
+        WITH {log}, {rounds}, {problems}
+        SELECT round_number, count(*) FILTER (WHERE attempted_at < starts_at) AS early,
+               count(*) FILTER (WHERE attempted_at >= starts_at AND attempted_at < ends_at) AS on_time,
+               count(*) FILTER (WHERE attempted_at >= ends_at) AS late
+        FROM log JOIN problems USING (problem_id) JOIN rounds USING (round_number) GROUP BY round_number"""
+
+
 _ROUND_NO = "CAST(floor(date_diff('day', DATE '2024-01-01', CAST(attempted_at AS DATE)) / 3.0) + 1 AS BIGINT)"
 
 _NATION_COUNTS = """a AS (SELECT c_nationkey AS nationkey, count(*) AS n FROM customer GROUP BY 1),
@@ -770,32 +1081,89 @@ def core_sql() -> dict[str, str]:
                    problems, solved,
                    CASE WHEN problems > 0 THEN solved * 100.0 / CAST(problems AS DOUBLE) ELSE 0.0 END AS solved_percent
             FROM counted""",
-        "latest_attempt": f"""
-            WITH {_LOG}, {_LATEST}
-            SELECT user_id, problem_id, attempt_id, attempted_at, is_correct AS latest_correct,
-                   CASE WHEN is_correct THEN attempted_at END AS completed_at,
-                   CASE WHEN NOT is_correct THEN query_text END AS last_wrong_query,
-                   CASE WHEN NOT is_correct THEN result_text END AS last_wrong_result
-            FROM latest""",
-        "problem_board": f"""
-            WITH {_LOG}, {_LATEST}, {_PROBLEMS}, users AS (SELECT DISTINCT user_id FROM events),
-            totals AS (SELECT user_id, problem_id, count(*) AS attempts, bool_or(is_correct) AS ever_solved
-                       FROM log GROUP BY user_id, problem_id)
-            SELECT u.user_id, p.problem_id, p.round_number, coalesce(t.attempts, 0) AS attempts,
-                   coalesce(t.ever_solved, false) AS ever_solved, coalesce(l.is_correct, false) AS latest_correct,
-                   CASE WHEN l.is_correct THEN l.attempted_at END AS completed_at,
-                   CASE WHEN NOT l.is_correct THEN l.query_text END AS last_wrong_query,
-                   CASE WHEN NOT l.is_correct THEN l.result_text END AS last_wrong_result
-            FROM users u CROSS JOIN problems p
-            LEFT JOIN latest l ON l.user_id = u.user_id AND l.problem_id = p.problem_id
-            LEFT JOIN totals t ON t.user_id = u.user_id AND t.problem_id = p.problem_id""",
+        "latest_attempt": _latest_sql(_LOG),
+        "latest_attempt_loose": _latest_sql(_LOOSE),
+        "problem_board": _board_sql(_LOG),
+        "problem_board_loose": _board_sql(_LOOSE),
+        "problem_board_told": _board_sql(
+            _LOG, "p_name AS question, p_brand AS difficulty, d.text AS sample_data,",
+            "JOIN part ON p_partkey = p.problem_id JOIN documents d ON d.doc_id = p.problem_id",
+        ),
         "attempt_totals": _TOTALS,
-        "submission_timeliness": f"""
-            WITH {_LOG}, {_ROUNDS}, {_PROBLEMS}
-            SELECT round_number, count(*) FILTER (WHERE attempted_at < starts_at) AS early,
-                   count(*) FILTER (WHERE attempted_at >= starts_at AND attempted_at < ends_at) AS on_time,
-                   count(*) FILTER (WHERE attempted_at >= ends_at) AS late
-            FROM log JOIN problems USING (problem_id) JOIN rounds USING (round_number) GROUP BY round_number""",
+        "submission_timeliness": _timeliness_sql(_LOG, _PROBLEMS, _ROUNDS),
+        "submission_timeliness_loose": _timeliness_sql(_LOOSE, _PROBLEMS, _ROUNDS),
+        "submission_timeliness_given": _timeliness_sql(
+            _LOG, "problems AS (SELECT n AS problem_id, n AS round_number FROM generate_series(1, 21) g(n))",
+            f"{_GIVEN}, rounds AS (SELECT * FROM given)",
+        ),
+        "assign_rounds_given": _held_sql(_GIVEN),
+        "assign_rounds_given_cells": _held_sql(_GIVEN),
+        "assign_rounds_many": _held_sql(_MANY),
+        "round_state_given": f"""
+            WITH {_LOG}, {_GIVEN}
+            SELECT user_id, CASE WHEN TIMESTAMP '2024-01-10 12:00:00' < starts_at THEN 'locked'
+                                 WHEN TIMESTAMP '2024-01-10 12:00:00' < ends_at THEN 'active' ELSE 'closed' END AS round_state,
+                   count(*) AS attempts
+            FROM given JOIN log ON attempted_at >= starts_at AND attempted_at < ends_at GROUP BY 1, 2""",
+        "user_round_matrix_given": f"""
+            WITH {_LOG}, users AS (SELECT DISTINCT user_id FROM log),
+            solved AS (SELECT DISTINCT user_id, problem_id, problem_id + 3 AS round_number FROM log
+                       WHERE is_correct AND problem_id % 3 = 0)
+            SELECT u.user_id,
+                   {', '.join(f'count(*) FILTER (WHERE round_number = {n}) AS round_{n}' for n in range(0, 25, 3))},
+                   count(problem_id) AS total
+            FROM users u LEFT JOIN solved s ON s.user_id = u.user_id GROUP BY u.user_id""",
+        "numbered_onto": f"""
+            WITH {_LOG}
+            SELECT * FROM (
+                SELECT attempt_id, user_id, problem_id, attempted_at,
+                       row_number() OVER (PARTITION BY user_id, problem_id ORDER BY attempted_at, attempt_id) AS attempt_no
+                FROM log)
+            WHERE attempted_at >= TIMESTAMP '2024-01-20'""",
+        "shared_project_exists": _shared_sql(),
+        "grade_other_table": """
+            WITH a AS (SELECT c_nationkey AS id, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n,
+                              floor(c_acctbal / 2500) / 3 AS share FROM customer),
+            b AS (SELECT s_nationkey AS id, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n,
+                         floor(s_acctbal / 2500) / 3 AS share FROM supplier),
+            places AS (SELECT id, a.n AS x, b.n AS y, coalesce(a.share = b.share, false) AS agrees FROM a FULL JOIN b USING (id, n))
+            SELECT n_nationkey AS submission_id, count(x) AS submitted_rows, count(y) AS expected_rows,
+                   count(id) FILTER (WHERE NOT agrees) AS mismatches, count(id) FILTER (WHERE NOT agrees) = 0 AS passed
+            FROM nation LEFT JOIN places ON id = n_nationkey GROUP BY n_nationkey""",
+        "block_tables": """
+            WITH o AS (
+                SELECT CAST(floor(o_orderkey / 4) AS BIGINT) AS block_id, *, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS price
+                FROM orders),
+            t AS (
+                SELECT block_id, 1 AS table_no, 'cheap' AS title, 'id customer' AS header, o_orderkey,
+                       o_orderkey || ' ' || o_custkey AS tokens FROM o WHERE o_totalprice < 200000
+                UNION ALL SELECT block_id, 2, 'all', 'id price', o_orderkey, o_orderkey || ' ' || price FROM o
+                UNION ALL SELECT block_id, 3, 'urgent', 'id customer', o_orderkey, o_orderkey || ' ' || o_custkey FROM o
+                WHERE starts_with(o_orderpriority, '1'))
+            SELECT block_id, 1 AS section_no, table_no, title,
+                   CAST(3 + row_number() OVER (PARTITION BY block_id, table_no ORDER BY o_orderkey) AS INTEGER) AS line_no,
+                   header, tokens
+            FROM t""",
+        "union_lesson_sets_of_tables": """
+            WITH sets AS (
+                SELECT 1 AS round_id, CAST(r_regionkey AS BIGINT) AS item_id, r_name AS item FROM region
+                UNION ALL SELECT 2, n_nationkey, n_name FROM nation UNION ALL SELECT 3, s_suppkey, s_name FROM supplier
+                UNION ALL SELECT 4, c_custkey, c_name FROM customer UNION ALL SELECT 5, p_partkey, p_name FROM part
+                UNION ALL SELECT 6, o_orderkey, o_orderpriority FROM orders UNION ALL SELECT 7, event_id, event_type FROM events)
+            SELECT round_id, row_number() OVER (PARTITION BY round_id ORDER BY item, item_id) AS position, item_id, item FROM sets""",
+        "problem_array": """
+            SELECT c_custkey AS id, 'is "' || c_name || '" in [debt}, or \\?' AS question, c_acctbal AS balance FROM customer""",
+        "text_blocks_from_files": """
+            SELECT CAST(floor(c_custkey / 100) AS BIGINT) AS shelf,
+                   row_number() OVER (PARTITION BY floor(c_custkey / 100) ORDER BY c_custkey) AS block_no, 3 AS line_no,
+                   c_custkey AS id, c_name AS name
+            FROM customer""",
+        "rows_replaced": """
+            SELECT c_custkey, c_nationkey, CASE WHEN c_nationkey = 7 THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal FROM customer
+            UNION ALL SELECT -1 - s_suppkey, s_nationkey, s_acctbal FROM supplier""",
+        "stream_totals_folded": _TOTALS,
+        "stream_late_balance": """
+            SELECT count(*) AS arrived, count(*) AS kept_and_late, true AS some_late FROM events""",
         "accepted_attempts": f"""
             WITH {_LOG}, {_ROUNDS}, {_PROBLEMS}
             SELECT attempt_id, user_id, problem_id, round_number, attempted_at,
@@ -903,7 +1271,9 @@ def core_sql() -> dict[str, str]:
         "constraint_report": _rules_sql(),
         "constraint_report_creditors": _rules_sql("WHERE c_acctbal >= 0"),
         "iso_times": """
-            SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts_text, date_trunc('second', ts) AS ts_parsed
+            SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
+                       CASE WHEN date_trunc('second', ts) = ts THEN '' ELSE strftime(ts, '.%f') END AS ts_text,
+                   ts AS ts_parsed
             FROM events""",
         "problem_files": """
             SELECT c_custkey AS id, c_name AS question, 'name,balance' AS names, c_name AS wanted_name,

@@ -12,13 +12,20 @@ def moment(at: datetime) -> Column:
     return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+_ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)$"
+
+
 def parse_iso(text: Column) -> Column:
-    """ISO text, with a ``T`` or a blank between date and time, to a zone-free timestamp."""
-    return F.to_timestamp_ntz(F.replace(text, F.lit("T"), F.lit(" ")), F.lit("yyyy-MM-dd HH:mm:ss"))
+    """ISO text, with a ``T`` or a blank between date and time, to a zone-free timestamp.
+
+    Seconds may be missing or have up to six digits of a fraction; what is no such time is NULL.
+    """
+    return F.when(F.rlike(text, F.lit(_ISO)), F.regexp_replace(text, _ISO, "$1 $2")).try_cast("timestamp_ntz")
 
 
 def iso_text(at: Column) -> Column:
-    return F.translate(F.substring(at.cast("string"), 1, 19), " ", "T")
+    """ISO text; a fraction of a second shows as six digits, and only if there is one."""
+    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.date_format(at, "SSSSSS") != "000000", F.date_format(at, ".SSSSSS")).otherwise(""))
 
 
 def year_text(at: Column) -> Column:

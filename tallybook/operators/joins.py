@@ -100,6 +100,30 @@ def shared_project_count(
     )
 
 
+def shared_project_exists(
+    dept: DataFrame, pairs: DataFrame, dept_key: str, pair_dept: str, project: str, name: str = "shared_projects"
+) -> DataFrame:
+    """``shared_project_count`` asked as it is said: projects for which a pair of another department exists.
+
+    The subquery is correlated by the project, which is the key of a semi-join, and by departments being
+    different, which is a condition of that join; neither needs a nested loop.
+    """
+    unique = written_table(
+        pairs.select(F.col(pair_dept).alias("_dept"), F.col(project).alias("_project"))
+        .where(F.col("_dept").isNotNull() & F.col("_project").isNotNull()).distinct(),
+        "pairs",
+    )
+    others = unique.alias("_b").where(
+        (F.col("_b._project") == F.col("_a._project").outer()) & (F.col("_b._dept") != F.col("_a._dept").outer())
+    )
+    shared = unique.alias("_a").where(others.exists()).groupBy("_dept").agg(F.count(F.lit(1)).alias(name))
+    return (
+        dept.join(shared, F.col(dept_key) == F.col("_dept"), "left")
+        .select(*dept.columns, F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name))
+        .orderBy(F.col(name).desc(), dept_key)
+    )
+
+
 def cte_group_filter_join(
     fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, value: str, least: float, tie: str
 ) -> DataFrame:

@@ -9,16 +9,15 @@ attempts is then a handful of rows.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallybook.functions.numbers import percent
+from tallybook.functions.times import moment
 from tallybook.plans.contest import Contest
-
-
-def _attempt() -> Column:
-    """An attempt as one value that sorts by time, then by id."""
-    return F.struct("attempted_at", "attempt_id", "is_correct", "query_text", "result_text")
+from tallybook.plans.durable import written_table
+from tallybook.plans.intervals import SWEEP, held_by
 
 
 def _place_in_time() -> Column:
@@ -33,14 +32,18 @@ def _place_in_time() -> Column:
     return (moved + F.col("attempt_id").cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
-def _latest_columns(latest: str) -> list[Column]:
+def _newest(name: str) -> Column:
+    """A column of the newest attempt of a group."""
+    return F.max_by(name, _place_in_time()).alias(name)
+
+
+def _outcome(correct: Column) -> list[Column]:
     """What the newest attempt leaves behind; the texts are kept for wrong ones only."""
-    correct = F.col(f"{latest}.is_correct")
     return [
         F.coalesce(correct, F.lit(False)).alias("latest_correct"),
-        F.when(correct, F.col(f"{latest}.attempted_at")).alias("completed_at"),
-        F.when(~correct, F.col(f"{latest}.query_text")).alias("last_wrong_query"),
-        F.when(~correct, F.col(f"{latest}.result_text")).alias("last_wrong_result"),
+        F.when(correct, F.col("attempted_at")).alias("completed_at"),
+        F.when(~correct, F.col("query_text")).alias("last_wrong_query"),
+        F.when(~correct, F.col("result_text")).alias("last_wrong_result"),
     ]
 
 
@@ -82,6 +85,45 @@ def round_state_activity(log: DataFrame, contest: Contest, as_of: datetime) -> D
     )
 
 
+def _in_rounds(log: DataFrame, rounds: DataFrame, layout: str, ranges: int | None) -> DataFrame:
+    """``user_id`` and the round's columns for every attempt in a round; once for each round it lies in."""
+    slim = log.select("attempt_id", "user_id", "attempted_at")
+    return held_by(slim, "attempted_at", "attempt_id", rounds, "starts_at", "ends_at", layout, ranges)
+
+
+def given_round_activity(
+    log: DataFrame, rounds: DataFrame, layout: str = SWEEP, ranges: int | None = None
+) -> DataFrame:
+    """Attempts and distinct users of every round in a table (``round_number, starts_at, ends_at``).
+
+    Rounds may differ in length, leave gaps and overlap; an attempt counts in each round that holds it.
+    """
+    windows = rounds.select("round_number", "starts_at", "ends_at")
+    # Attempts are counted per round and user first, so that a hot round is spread by its users.
+    per_user = _in_rounds(log, windows, layout, ranges).groupBy("round_number", "user_id").agg(F.count(F.lit(1)).alias("_n"))
+    counted = per_user.groupBy(F.col("round_number").alias("_round")).agg(
+        F.sum("_n").alias("attempts"), F.count("user_id").alias("users")
+    )
+    none = F.lit(0).cast("bigint")
+    return windows.join(counted, F.col("round_number") == F.col("_round"), "left").select(
+        "round_number", "starts_at", "ends_at", F.coalesce("attempts", none).alias("attempts"),
+        F.coalesce("users", none).alias("users"),
+    )
+
+
+def given_round_state_activity(
+    log: DataFrame, rounds: DataFrame, as_of: datetime, layout: str = SWEEP, ranges: int | None = None
+) -> DataFrame:
+    """Attempts per user and state, as of a time, of the rounds in a table that they were made in."""
+    now = moment(as_of)
+    state = F.when(now < F.col("starts_at"), "locked").when(now < F.col("ends_at"), "active").otherwise("closed")
+    windows = rounds.select("starts_at", "ends_at")
+    return (
+        _in_rounds(log, windows, layout, ranges).withColumn("round_state", state)
+        .groupBy("user_id", "round_state").agg(F.count(F.lit(1)).alias("attempts"))
+    )
+
+
 def _each(users: DataFrame, listed: DataFrame, name: str) -> DataFrame:
     """Every user once with every entry of a one-row list."""
     return users.select("user_id").distinct().select("user_id", F.explode(listed.scalar()).alias(name))
@@ -120,11 +162,14 @@ def round_progress(
 
 
 def latest_attempt(log: DataFrame) -> DataFrame:
-    """The newest attempt per user and problem; the higher id wins on equal times."""
-    newest = log.groupBy("user_id", "problem_id").agg(F.max(_attempt()).alias("t"))
-    return newest.select(
-        "user_id", "problem_id", F.col("t.attempt_id").alias("attempt_id"),
-        F.col("t.attempted_at").alias("attempted_at"), *_latest_columns("t"),
+    """The newest attempt per user and problem; the higher id wins on equal times.
+
+    The winners' ids come from a hash aggregate over numbers; the texts stay where they are until a semi-join
+    with the ids fetches those of the winners.
+    """
+    winners = log.groupBy("user_id", "problem_id").agg(_newest("attempt_id")).select(F.col("attempt_id").alias("_winner"))
+    return log.join(written_table(winners, "winners"), F.col("attempt_id") == F.col("_winner"), "left_semi").select(
+        "user_id", "problem_id", "attempt_id", "attempted_at", *_outcome(F.col("is_correct"))
     )
 
 
@@ -132,32 +177,39 @@ def problem_board(users: DataFrame, problems: DataFrame, log: DataFrame, contest
     """Every problem for every listed user with the latest state, by user and problem; untried ones
     get defaults. What ``problems`` tells besides (question, difficulty, sample data) comes along.
 
-    All places are added to the log as empty rows, so that one aggregate replaces a cross join and
-    an outer join. Unknown problems drop out in the last join, after the aggregate: a filter before
-    it would read the log's JSON twice.
+    All places are added to the log as empty rows, so that one hash aggregate over numbers replaces a cross
+    join and an outer join. Texts join at the end, by the ids of newest attempts that were wrong. Unknown
+    problems drop out after the aggregate: a filter before it would read the log's JSON twice.
     """
     listed = problems.agg(F.collect_set("problem_id"))
-    tries = log.select("user_id", "problem_id", _attempt().alias("t"), F.lit(False).alias("_place"))
+    tries = log.select("user_id", "problem_id", "attempt_id", "attempted_at", "is_correct", F.lit(False).alias("_place"))
     places = _each(users, listed, "problem_id").select(
         "user_id", "problem_id",
-        F.lit(None).cast(tries.schema["t"].dataType).alias("t"),
+        *[F.lit(None).cast(tries.schema[c].dataType).alias(c) for c in ("attempt_id", "attempted_at", "is_correct")],
         F.lit(True).alias("_place"),
     )
     board = (
         tries.unionByName(places)
         .groupBy("user_id", "problem_id")
         .agg(
-            F.max("t").alias("t"),
-            F.count("t").alias("attempts"),
-            F.coalesce(F.max("t.is_correct"), F.lit(False)).alias("ever_solved"),
+            F.count("attempt_id").alias("attempts"),
+            F.coalesce(F.max("is_correct"), F.lit(False)).alias("ever_solved"),
+            *[_newest(c) for c in ("attempt_id", "attempted_at", "is_correct")],
             F.max("_place").alias("_place"),
         )
         .where("_place")
     )
+    wrong = log.where("NOT is_correct").select(F.col("attempt_id").alias("_id"), "query_text", "result_text")
+    # Written, so that its size tells the planner whether the log must move at all.
+    board = written_table(board.drop("_place"), "board")
+    asked = board.where("NOT is_correct").select(F.col("attempt_id").alias("_asked"))
+    texts = wrong.join(asked, F.col("_id") == F.col("_asked"), "left_semi")
     told = [c for c in ("question", "difficulty", "sample_data") if c in problems.columns]
-    return board.join(problems, "problem_id").select(
-        "user_id", "problem_id", "round_number", *told, "attempts", "ever_solved", *_latest_columns("t")
-    ).orderBy("user_id", "problem_id")
+    return (
+        board.join(texts, F.col("attempt_id") == F.col("_id"), "left").join(problems, "problem_id")
+        .select("user_id", "problem_id", "round_number", *told, "attempts", "ever_solved", *_outcome(F.col("is_correct")))
+        .orderBy("user_id", "problem_id")
+    )
 
 
 def attempt_totals(log: DataFrame) -> DataFrame:
@@ -225,6 +277,46 @@ def user_round_matrix(log: DataFrame, problems: DataFrame, contest: Contest) ->
     return placed.groupBy("user_id").agg(*rounds, F.count_if(hit).alias("total")).orderBy("user_id")
 
 
+def matrix_of_rounds(log: DataFrame, problems: DataFrame, rounds: DataFrame) -> DataFrame:
+    """``user_round_matrix`` with a column for every round of a table, however many, by ``round_number``.
+
+    The total is the sum of the columns: a problem of a round that the table does not have counts in neither.
+    Problems solved are counted per user and round before the pivot, which then moves one row for each.
+    """
+    # One number per round; they become columns, so they must be known beforehand.
+    numbers = [r[0] for r in rounds.select("round_number").distinct().orderBy("round_number").collect()]
+    solved = log.groupBy("user_id", "problem_id").agg(F.max("is_correct").alias("_solved"))
+    known = problems.select("problem_id", "round_number")
+    per_round = (
+        solved.join(known, "problem_id", "left")
+        .groupBy("user_id", "round_number").agg(F.count_if("_solved").alias("_n"))
+    )
+    wide = per_round.groupBy("user_id").pivot("round_number", numbers).agg(F.sum("_n"))
+    columns = [F.coalesce(F.col(f"`{n}`"), F.lit(0).cast("bigint")) for n in numbers]
+    total = reduce(lambda a, b: a + b, columns, F.lit(0).cast("bigint"))
+    return wide.select(
+        "user_id", *[c.alias(f"round_{n}") for c, n in zip(columns, numbers)], total.alias("total")
+    ).orderBy("user_id")
+
+
+def numbered_onto(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """New attempts with their running number for user and problem, counted on from ``history``.
+
+    The number of earlier attempts is a correlated scalar subquery on the history's totals; within the batch
+    attempts go by time, then id. A user's attempts on one problem in one batch are ranked in one task.
+    """
+    totals = history.groupBy("user_id", "problem_id").agg(F.count(F.lit(1)).alias("attempts")).alias("_totals")
+    same = (F.col("_totals.user_id") == F.col("_new.user_id").outer()) & (
+        F.col("_totals.problem_id") == F.col("_new.problem_id").outer()
+    )
+    earlier = totals.where(same).select(F.max("attempts")).scalar()
+    order = Window.partitionBy("user_id", "problem_id").orderBy(F.col("attempted_at").asc_nulls_first(), "attempt_id")
+    place = batch.withColumn("_place", F.row_number().over(order)).alias("_new")
+    return place.select(
+        *batch.columns, (F.coalesce(earlier, F.lit(0)) + F.col("_place")).cast("bigint").alias("attempt_no")
+    )
+
+
 def graded_log(submissions: DataFrame, grades: DataFrame) -> DataFrame:
     """Verdicts put back on their submissions as rows of the attempt log.
 

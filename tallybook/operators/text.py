@@ -6,6 +6,7 @@ shuffled, and no window gathers a document's lines.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,11 +17,16 @@ from tallybook.functions.cells import EMPTY_WORD, WHITE_SPACE, count_words, has_
 TITLE_MARKER = "테이블:"
 
 
-def marked_title(marker: str = TITLE_MARKER) -> Callable[[Column], Column]:
-    """Lines holding ``marker`` are titles; the title is what stands before it, else NULL."""
-    return lambda line: F.when(
-        F.contains(line, F.lit(marker)), strip_space(F.substring_index(line, marker, 1))
-    )
+def marked_title(marker: str = TITLE_MARKER, whole_line: bool = False) -> Callable[[Column], Column]:
+    """Lines holding ``marker`` are titles; the title is what stands before it, else NULL.
+
+    A title line without a name ends the table before it and opens none. With ``whole_line`` the title is
+    all of the line, which may name several tables.
+    """
+    def title(line: Column) -> Column:
+        return F.when(F.contains(line, F.lit(marker)), line if whole_line else strip_space(F.substring_index(line, marker, 1)))
+
+    return title
 
 
 def short_title(most_words: int) -> Callable[[Column], Column]:
@@ -28,14 +34,23 @@ def short_title(most_words: int) -> Callable[[Column], Column]:
     return lambda line: F.when(has_at_most(line, most_words), line)
 
 
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n")
+
+
 def _stripped_lines(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), strip_space)
+    return F.transform(_lines(text), strip_space)
 
 
-def sections(docs: DataFrame, doc_id: str, text: str, title: Callable[[Column], Column]) -> DataFrame:
-    """(doc, section_no, title, title_line, body): the stripped lines between one title and the next.
+def sections(
+    docs: DataFrame, doc_id: str, text: str, title: Callable[[Column], Column],
+    lines: Callable[[Column], Column] = _stripped_lines,
+) -> DataFrame:
+    """(doc, section_no, title, title_line, body): the lines between one title and the next, stripped unless
+    ``lines`` says otherwise.
 
-    Lines before the first title belong to no section.
+    Lines before the first title belong to no section, and so do those behind a title that is empty; its
+    line has a section number all the same.
     """
     starts = F.filter(
         F.transform(
@@ -55,10 +70,11 @@ def sections(docs: DataFrame, doc_id: str, text: str, title: Callable[[Column],
     # Each section takes its own lines along: exploding beside the whole text would copy all of it
     # once per section.
     return (
-        docs.select(doc_id, _stripped_lines(F.col(text)).alias("_lines"))
+        docs.select(doc_id, lines(F.col(text)).alias("_lines"))
         .withColumn("_starts", starts)
         .select(doc_id, F.explode(F.transform("_starts", section)).alias("_section"))
         .select(doc_id, "_section.*")
+        .where(F.col("title") != "")
     )
 
 
@@ -97,6 +113,118 @@ def section_lines(
     )
 
 
+def _title_places(line: Column, marker: str) -> Column:
+    """(title, place) of every title on a line, in order; the place is where it starts, from 0."""
+    parts = F.split(line, re.escape(marker))
+    named = F.transform(
+        F.slice(parts, F.lit(1), F.size(parts) - 1),
+        lambda part, i: F.struct(
+            strip_space(part).alias("title"),
+            (
+                F.length(F.array_join(F.slice(parts, F.lit(1), i), marker)) + F.when(i > 0, len(marker)).otherwise(0)
+                + F.length(part) - F.length(F.ltrim(part, F.lit(WHITE_SPACE)))
+            ).alias("place"),
+        ),
+    )
+    return F.filter(named, lambda t: t["title"] != "")
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _cuts(block: Column, titles: Column) -> Column:
+    """Where the tables of a block start, from 0, one place a title.
+
+    A cell of the header starts behind places that are blank in every line. Of these starts the tables
+    but the first take the ones with the widest blanks in front, and among equals those nearest to a title.
+    """
+    letters = F.transform(block, lambda line: F.split(F.translate(line, WHITE_SPACE, " " * len(WHITE_SPACE)), ""))
+    places = F.sequence(F.lit(0), F.greatest(F.length(F.get(block, F.lit(0))) - 1, F.lit(0)))
+
+    def marks(letters: Column) -> Column:
+        used = F.transform(places, lambda at: F.exists(letters, lambda line: F.coalesce(F.get(line, at), F.lit(" ")) != " "))
+        return F.array_join(F.transform(used, lambda u: F.when(u, "x").otherwise(" ")), "")
+
+    def chosen(mask: Column) -> Column:
+        # A start is where a run of marks begins, but for the first.
+        runs = F.regexp_extract_all(mask, F.lit("( *x+)"), F.lit(1))
+        begins = F.aggregate(
+            runs, F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<narrow: int, far: int, at: int>>").alias("found")),
+            lambda so_far, run: F.struct(
+                (so_far["end"] + F.length(run)).alias("end"),
+                F.when(
+                    (so_far["end"] > 0) & run.startswith(" "), F.concat(so_far["found"], F.array(choice(so_far["end"], run)))
+                ).otherwise(so_far["found"]).alias("found"),
+            ),
+        )["found"]
+        return F.slice(F.array_sort(begins), F.lit(1), F.greatest(F.size(titles) - 1, F.lit(0)))
+
+    def choice(end: Column, run: Column) -> Column:
+        blanks = F.length(run) - F.length(F.ltrim(run))
+        nearest = F.array_min(F.transform(
+            F.slice(titles, F.lit(2), F.size(titles)), lambda t: F.abs(t["place"] - end - blanks)
+        ))
+        return F.struct((-blanks).alias("narrow"), nearest.alias("far"), (end + blanks).alias("at"))
+
+    picked = _with(letters, lambda l: _with(marks(l), chosen))
+    return F.concat(F.array(F.lit(0)), F.array_sort(F.transform(picked, lambda c: c["at"])))
+
+
+def block_tables(docs: DataFrame, doc_id: str, text: str, marker: str = TITLE_MARKER) -> DataFrame:
+    """(doc, section_no, table_no, title, line_no, header, tokens): the rows of tables that stand side by side.
+
+    A title line may name several tables. The lines below it, up to a blank line or the next title, are cut
+    where blanks line up over all of them, and each cut is read as a table of its own: its first words are the
+    header, rows are the lines with as many words as that, lines of dashes are skipped. A table may be shorter
+    than its neighbours, on either side. If there are fewer cuts than titles, the last titles have no table. A
+    title line with one title gives what ``section_lines`` does.
+
+    Work is within the row, and grows with the text and with the length of headers.
+    """
+    raw = sections(docs, doc_id, text, marked_title(marker, whole_line=True), _lines)
+    first = F.array_position(F.transform("body", lambda line: strip_space(line) != ""), F.lit(True)).cast("int")
+    after = F.slice("body", F.col("_at"), F.size("body"))
+    blank = F.array_position(F.transform("_after", lambda line: strip_space(line) == ""), F.lit(True)).cast("int")
+    block = F.when(F.col("_blank") > 0, F.slice("_after", F.lit(1), F.greatest(F.col("_blank") - 1, F.lit(0)))).otherwise(F.col("_after"))
+    found = (
+        raw.withColumn("_at", first).where(F.col("_at") > 0)
+        .withColumn("_after", after).withColumn("_blank", blank).withColumn("_block", block)
+        .withColumn("_titles", _title_places(F.col("title"), marker)).where(F.size("_titles") > 0)
+        .withColumn("_cuts", _cuts(F.col("_block"), F.col("_titles")))
+    )
+    # Each table takes its own cut of the lines along.
+    start, end = F.col("_start"), F.get("_cuts", F.col("_no") + 1)
+    tables = found.select(
+        doc_id, "section_no", "title_line", "_at", "_block", "_cuts", "_titles", F.posexplode("_cuts").alias("_no", "_start")
+    ).select(
+        doc_id, "section_no", (F.col("_no") + 1).alias("table_no"), F.get("_titles", F.col("_no"))["title"].alias("title"),
+        (F.col("title_line") + F.col("_at")).alias("_header_line"),
+        F.transform(
+            "_block",
+            lambda line: strip_space(F.when(end.isNotNull(), F.substring(line, start + 1, end - start)).otherwise(
+                F.substring(line, start + 1, F.length(line))
+            )),
+        ).alias("_cells"),
+    )
+    rows = F.filter(
+        F.transform(
+            F.col("_cells"),
+            lambda line, i: F.struct((F.col("_header_line") + i).alias("line_no"), line.alias("line"), words(line).alias("tokens"), i.alias("i")),
+        ),
+        lambda row: (row["i"] > 0) & (F.size(row["tokens"]) == F.size("header")) & (F.translate(row["line"], "-" + WHITE_SPACE, "") != ""),
+    )
+    return (
+        tables.withColumn("header", words(F.get("_cells", F.lit(0)))).where(F.get("_cells", F.lit(0)) != "")
+        .select(doc_id, "section_no", "table_no", "title", "header", F.explode(rows).alias("_row"))
+        .select(
+            doc_id, "section_no", "table_no", "title", F.col("_row.line_no").alias("line_no"), "header",
+            F.col("_row.tokens").alias("tokens"),
+        )
+    )
+
+
 def section_outline(docs: DataFrame, doc_id: str, text: str, title: Callable[[Column], Column]) -> DataFrame:
     """Lines, words and sections of each document."""
     titles = F.filter("_lines", lambda line: title(line).isNotNull())

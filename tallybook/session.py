@@ -69,13 +69,14 @@ def new_location(spark: SparkSession, label: str) -> str:
     return location
 
 
-def _hadoop_path(spark: SparkSession, location: str):
+def hadoop_path(spark: SparkSession, location: str):
+    """A path and the file system it lies on."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def location_exists(spark: SparkSession, location: str) -> bool:
-    path, files = _hadoop_path(spark, location)
+    path, files = hadoop_path(spark, location)
     return files.exists(path)
 
 
@@ -86,7 +87,7 @@ def drop_run_tables(spark: SparkSession) -> int:
     """
     dropped = 0
     while _locations:
-        path, files = _hadoop_path(spark, _locations.pop())
+        path, files = hadoop_path(spark, _locations.pop())
         dropped += files.delete(path, True)
     return dropped
 
