@@ -171,7 +171,7 @@ def read_blocks(spark: SparkSession, folder: str, separator: str | None = None)
     at the separator; blocks are numbered from 1 in the order of the file, empty ones included.
     """
     if separator is None:
-        whole = spark.read.option("wholetext", True).text(folder)
+        whole = spark.read.text(folder, wholetext=True)
         return _with_file(whole).select("file", F.lit(1).cast("bigint").alias("block_no"), F.col("value").alias("block"))
     cut = _with_file(spark.read.option("lineSep", separator).text(folder))
     # A range is read in order by one task; where it starts puts the ranges of a file in order.

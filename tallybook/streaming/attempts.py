@@ -213,7 +213,8 @@ class ClosingCounts:
         )
         folder = f"batch_id={batch_id}"
         # The batch is read once to count it and once for its late attempts; neither is held.
-        counts = watched.where("NOT _late").groupBy("round_number").agg(F.count(F.lit(1)).alias("attempts"))
+        # Late ones stay in until they are counted: a plan that turns out empty would observe nothing.
+        counts = watched.groupBy("round_number").agg(F.count_if(~F.col("_late")).alias("attempts"))
         counts.write.mode("overwrite").parquet(f"{self.location}/counts/{folder}")
         marked.where("_late").drop("_late").write.mode("overwrite").parquet(f"{self.location}/late/{folder}")
         found = watch.get
@@ -225,7 +226,7 @@ class ClosingCounts:
     def counts(self) -> DataFrame:
         """``round_number, attempts``: what was kept."""
         found = self._read("counts", "round_number long, attempts long, batch_id long")
-        return found.groupBy("round_number").agg(F.sum("attempts").alias("attempts"))
+        return found.groupBy("round_number").agg(F.sum("attempts").alias("attempts")).where("attempts > 0")
 
     def late(self, schema: T.StructType) -> DataFrame:
         """The late attempts, with the round they are late for."""

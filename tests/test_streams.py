@@ -101,3 +101,41 @@ def test_late_attempts(spark, tmp_path):
 
     assert counts("1 day") == {19: 3}
     assert counts(None) == {1: 1, 19: 3}
+
+
+def test_folded_change_log(spark, parts, tmp_path):
+    """Folding, going on, and a batch that is done twice change nothing in the report."""
+    want = rows(progress.attempt_totals(attempt_log(read_table(spark, SF, "events"), CONTEST)))
+    for every in (1, 2, 99):
+        location = f"{tmp_path}/{every}"
+        got = streams.stream_attempt_totals(spark, source(spark, parts), location, fold_every=every)
+        assert rows(got) == want
+    batches = sorted(p.name for p in (tmp_path / "1/changes").iterdir())
+    assert batches == ["batch_id=4"] and len(list((tmp_path / "1/snapshots").glob("upto-*"))) == 2
+    keys = ["user_id", "problem_id"]
+    log = streams.ChangeLog(spark, f"{tmp_path}/2", keys, got.schema, 2)
+    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "2/changes").iterdir())
+    again = spark.read.parquet(f"{tmp_path}/2/changes/batch_id={last}").select(*got.columns)
+    spark.createDataFrame(again.collect(), got.schema).createOrReplaceTempView("again")
+    log.save(spark.createDataFrame(again.collect(), got.schema), last)
+    assert rows(log.report()) == want
+
+
+@pytest.mark.parametrize("order", [[1, 20, 2, 25, 19, 3], [25, 20, 19, 3, 2, 1], [1, 2, 3, 19, 20, 25]])
+def test_late_and_kept_add_up(spark, tmp_path, order):
+    location = f"{tmp_path}/closing"
+    for n, day in enumerate(order[:3] + order[3:]):
+        arrive(spark, tmp_path, n, [datetime(2024, 1, day), datetime(2024, 1, day, 5)])
+    counts = streams.stream_closing_rounds(spark, source(spark, str(tmp_path)), CONTEST, "1 day", location)
+    seen = counts.seen().collect()
+    late = counts.late(attempt_log(read_table(spark, SF, "events"), CONTEST).schema)
+    kept = sum(r["attempts"] for r in counts.counts().collect())
+    assert len(seen) == 6 and sum(r["arrived"] for r in seen) == 12 == kept + late.count()
+    assert (kept, late.count()) == (sum(r["kept"] for r in seen), sum(r["late"] for r in seen))
+    newest, want = 0, 0
+    for day in order:  # rounds start on days 1, 4, ..., 25
+        want += 2 * ((day - 1) // 3 * 3 + 4 <= newest - 1)
+        newest = max(newest, day)
+    assert late.count() == want
+    again = streams.stream_closing_rounds(spark, source(spark, str(tmp_path)), CONTEST, "1 day", location)
+    assert again.seen().count() == 6
