@@ -6,6 +6,8 @@ value and a task works on whole arrays.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -110,6 +112,27 @@ def cut_batch(offsets: np.ndarray, limit: int = BATCH_BYTES):
         start = end
 
 
+def release() -> None:
+    """Give memory that is free back to the system; a process lives on from task to task, and from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not with this C library
+        pass
+
+
+def releasing(run):
+    """A function of one group's table that releases what it took."""
+
+    def one(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            release()
+
+    return one
+
+
 def text_batches(batches, id_column: str = "doc_id", text_column: str = "text"):
     """(ids, bytes, offsets) of batches of bounded size; rows without an id are skipped."""
     for batch in batches:
@@ -123,6 +146,7 @@ def text_batches(batches, id_column: str = "doc_id", text_column: str = "text"):
         ids = ids.to_numpy(zero_copy_only=False)
         for a, b in cut_batch(offsets):
             yield ids[a:b], data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+    release()
 
 
 def table_rows(batch_columns: dict, schema: pa.Schema) -> pa.RecordBatch:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallybook.llm.blocks import (
-    documents, mix, outer_ids, pack, pack_sorted, partitions, text_array, text_batches, unique_ids, unpack,
+    documents, mix, outer_ids, pack, pack_sorted, partitions, releasing, text_array, text_batches, unique_ids, unpack,
     unpack_sorted, unzip, written_table, zipped,
 )
 from tallybook.llm.components import components
@@ -156,8 +156,8 @@ def shared_counts(docs: DataFrame, size: int, t: Fraction) -> DataFrame:
     sent = docs.mapInArrow(
         send, "bucket int, tokens binary, docs binary, several binary, local binary, counts binary"
     )
-    counted = sent.groupBy("bucket").applyInArrow(count, "part int, docs binary, counts binary")
-    return counted.groupBy("part").applyInArrow(total, "doc_id long, shared long")
+    counted = sent.groupBy("bucket").applyInArrow(releasing(count), "part int, docs binary, counts binary")
+    return counted.groupBy("part").applyInArrow(releasing(total), "doc_id long, shared long")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int, parts: int) -> DataFrame:
@@ -241,8 +241,8 @@ def _prefixes(sets: DataFrame, t: Fraction) -> DataFrame:
                 out["prefix"].append(_signed(mine[first]))
         return pa.table(out, schema=pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64()))]))
 
-    told = sets.groupBy("part").applyInArrow(tell, "bucket int, part int, tokens binary, counts binary")
-    answers = told.groupBy("bucket").applyInArrow(answer, "part int, tokens binary, df binary")
+    told = sets.groupBy("part").applyInArrow(releasing(tell), "bucket int, part int, tokens binary, counts binary")
+    answers = told.groupBy("bucket").applyInArrow(releasing(answer), "part int, tokens binary, df binary")
     return sets.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
         pick, "doc_id long, n long, prefix array<long>"
     )
@@ -291,7 +291,7 @@ def _family_links(homes: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
         return _links_table(*_forest(ids, [np.frombuffer(b, np.uint64) for b in table.column("tokens").to_pylist()], t))
 
     placed = sets.select("doc_id", "tokens").join(homes.select("doc_id", "home", "salt", "beside").where("beside > 1"), "doc_id")
-    return placed.select("home", "salt", "doc_id", "tokens").groupBy("home", "salt").applyInArrow(verify, "a long, b long")
+    return placed.select("home", "salt", "doc_id", "tokens").groupBy("home", "salt").applyInArrow(releasing(verify), "a long, b long")
 
 
 def _groups(homes: DataFrame, named: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
@@ -375,7 +375,7 @@ def _pair_links(pairs: DataFrame, homes: DataFrame, sets: DataFrame, t: Fraction
         found = [np.frombuffer(b, np.uint64) for b in own.column("tokens").to_pylist()]
         return _links_table(*_forest(ids, found, t, label, asked))
 
-    return shipped.unionByName(asks).groupBy("home", "salt").applyInArrow(verify, "a long, b long")
+    return shipped.unionByName(asks).groupBy("home", "salt").applyInArrow(releasing(verify), "a long, b long")
 
 
 def ngram_components(

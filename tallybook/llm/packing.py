@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallybook.llm.blocks import documents, partitions, written_table
+from tallybook.llm.blocks import documents, partitions, release, releasing, written_table
 from tallybook.llm.parts import PLAIN_WORD, PartTable, folded_parts, slices, spelled
 
 END_OF_DOCUMENT = 2  # fixed value: the id after each document
@@ -103,6 +103,7 @@ def pieces(docs: DataFrame, length: int = 4096, vocabulary: str | None = None, k
                         for name, value in zip(schema.names, row):
                             rows[name].append(value)
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
+        release()
 
     kinds = ", ".join(f"{n} long" for n in names) + (", ids binary" if keep_ids else "")
     return docs.mapInArrow(run, kinds)
@@ -162,7 +163,7 @@ def pack(
     group = F.pmod(F.xxhash64("row"), F.lit(groups)).alias("group")
     kinds = ", ".join(f"{n} {t}" for n, t in cut.dtypes if n != "row")
     dealt = cut.select(group, "*").repartition(partitions(cut), "group")
-    return dealt.groupBy("group").applyInArrow(run, f"{kinds}, sequence_id long, offset long")
+    return dealt.groupBy("group").applyInArrow(releasing(run), f"{kinds}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame, length: int = 4096, padding: int = 0) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.llm.blocks import (
-    documents, mix, outer_ids, pack, pack_sorted, partitions, powers, prefix_hashes, span_hashes, text_batches,
+    documents, mix, outer_ids, pack, pack_sorted, partitions, powers, prefix_hashes, releasing, span_hashes, text_batches,
     unique_ids, unpack, unpack_sorted, unzip, written_table, zipped,
 )
 from tallybook.plans.ordering import number_rows
@@ -169,7 +169,7 @@ def _notes(docs: DataFrame, length: int, hot_contexts: int) -> DataFrame:
     sent = docs.mapInArrow(
         send, "bucket int, h binary, c binary, doc binary, place binary, again_doc binary, again_place binary"
     )
-    judged = sent.groupBy("bucket").applyInArrow(judge, _NOTES)
+    judged = sent.groupBy("bucket").applyInArrow(releasing(judge), _NOTES)
     return judged.groupBy("doc_id").agg(
         *[F.flatten(F.collect_list(c)).alias(c) for c in ("whole", "edges", "anchors", "hot")]
     )
@@ -357,7 +357,7 @@ def _sorted_ends(contexts: DataFrame, length: int) -> DataFrame:
 
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(4 * partitions(contexts))).alias("bucket")
     return contexts.select(bucket, "doc_id", "place", "before", "context").groupBy("bucket").applyInArrow(
-        run, "doc_id long, start int, end int"
+        releasing(run), "doc_id long, start int, end int"
     )
 
 
