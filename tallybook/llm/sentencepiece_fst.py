@@ -22,16 +22,20 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from tallybook.llm.blocks import documents
+from tallybook.llm.blocks import documents, release
+from tallybook.llm.parts import PartTable, numbered, slices
 
 MARK = "▁"
 _REMEMBERED, _PAIRS_REMEMBERED = 500_000, 1_200_000
 _UNKNOWN_PENALTY = 10.0  # of a character that no piece has, above the weight of the rarest piece
+_SIGNS, _CUT = ".,;:!?\"')", "\x1f"  # signs that often end a word; a character to cut at, which texts seldom have
 _PARTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -268,7 +272,86 @@ class Transducer:
         return b"".join(parts).decode("utf-8", "replace").replace(MARK, " ")
 
 
+class PartMachine:
+    """A machine that takes a batch of texts at a time, each distinct part of them once.
+
+    Where pieces of merges hold the mark only in front, and the normaliser replaces nothing, squeezes no blanks
+    and puts one in front, a text's parts are what stands between its blanks, and the transducer's answers
+    for them are kept in a table. Texts with blanks in a row, or other models, go through the transducer whole.
+    """
+
+    def __init__(self, machine: Transducer):
+        plain = machine.normalised
+        self.machine = machine
+        self.by_parts = machine.whole and not plain.replaced and not plain.squeeze and plain.prefix == MARK and bool(machine.bytes)
+        self.table = PartTable(self._learn, np.int32)
+        behind = {b for name in machine.pieces for a, b in zip(name, name[1:]) if a.isascii() and a.isalpha()}
+        self.signs = "".join(c for c in _SIGNS if c not in behind)
+        names = machine.names
+        size = max([*names, *machine.bytes.values(), machine.unknown]) + 1
+        spelled = [names[i].replace(MARK, " ").encode() if i in names else b"" for i in range(size)]
+        for byte, i in machine.bytes.items():
+            spelled[i] = bytes([byte])
+        spelled[machine.unknown] = machine.unknown_text.encode()
+        self.sizes = np.fromiter(map(len, spelled), np.int64, size)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.machine._shortest(part) for part in parts]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a slice of texts, and the bounds of each text's."""
+        simple = pc.invert(pc.or_(pc.match_substring_regex(texts, f"^ |  | $|{MARK}|{_CUT}"), pc.equal(texts, "")))
+        if self.by_parts and pc.all(simple).as_py():
+            mark, nothing = pa.scalar(MARK, texts.type), pa.scalar("", texts.type)
+            marked = pc.binary_join_element_wise(mark, pc.replace_substring(texts, " ", _CUT + MARK), nothing)
+            if self.signs:
+                marked = pc.replace_substring_regex(marked, f"([A-Za-z])([{re.escape(self.signs)}])", rf"\1{_CUT}\2")
+            lists = pc.split_pattern(marked, _CUT)
+            return self.table.gather(*numbered(lists.flatten(), lists.offsets.to_numpy()))
+        if self.by_parts and pc.any(simple).as_py():
+            ids, bounds = self.encode(texts.filter(simple))
+            known = iter(np.split(ids, bounds[1:-1]))
+            found = [next(known) if s else self.machine.encode(t) for s, t in zip(simple.to_pylist(), texts.to_pylist())]
+        else:
+            found = [self.machine.encode(t) for t in texts.to_pylist()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.concatenate([np.asarray(f, np.int32) for f in found]), np.append(0, np.cumsum(sizes))
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of a slice of ids."""
+        if not self.by_parts:
+            return [self.machine.decode(ids[a:b].tolist()) for a, b in zip(bounds, bounds[1:])]
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        letters = self.letters[np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(total)].tobytes()
+        places = np.append(0, ends)[bounds].tolist()
+        out = []
+        for a, b, low, high in zip(bounds, bounds[1:], places, places[1:]):
+            raw = letters[low:high]
+            first = ids[a:b][:1].tolist()
+            # The blank of the first piece is the one the normaliser put there.
+            if first and self.machine.names.get(first[0], "").startswith(MARK):
+                raw = raw[1:]
+            text = raw.decode("utf-8", "replace")
+            # Bytes may spell the mark, which shows as a blank too.
+            out.append(text.replace(MARK, " "))
+        return out
+
+
 _machines: dict[str, Transducer] = {}
+_part_machines: dict[str, PartMachine] = {}
+
+
+def part_machine_for(path: str | None) -> PartMachine:
+    path = path or default_model()
+    if path not in _part_machines:
+        _part_machines[path] = PartMachine(machine_for(path))
+    return _part_machines[path]
 
 
 def machine_for(path: str | None) -> Transducer:
@@ -287,12 +370,13 @@ def encode(docs: DataFrame, model: str | None = None, id_column: str = "doc_id",
     """
 
     def run(batches):
-        machine = machine_for(model)
+        machine = part_machine_for(model)
         for batch in batches:
-            ids = [machine.encode(t.as_py() or "") for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
-            )
+            for start, texts in slices(batch.column("text")):
+                ids, bounds = machine.encode(texts)
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, len(texts)), lists], names=["doc_id", "ids"])
+        release()
 
     return documents(docs, id_column, text_column).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -301,9 +385,13 @@ def decode(encoded: DataFrame, model: str | None = None, id_column: str = "doc_i
     """``doc_id``, ``text`` for rows of ids; a null list is an empty text."""
 
     def run(batches):
-        machine = machine_for(model)
+        machine = part_machine_for(model)
         for batch in batches:
-            texts = [machine.decode(i.as_py() or []) for i in batch.column(ids_column)]
+            lists = batch.column(ids_column)
+            if lists.null_count:
+                lists = pa.array([i or [] for i in lists.to_pylist()], pa.list_(pa.int32()))
+            bounds = lists.offsets.to_numpy()
+            texts = machine.decode(lists.flatten().to_numpy(zero_copy_only=False), bounds - bounds[0])
             yield pa.RecordBatch.from_arrays([batch.column(id_column), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return encoded.select(id_column, ids_column).mapInArrow(run, "doc_id long, text string")
@@ -317,19 +405,21 @@ def round_trip(docs: DataFrame, model: str | None = None, id_column: str = "doc_
     ])
 
     def run(batches):
-        machine = machine_for(model)
+        machine = part_machine_for(model)
         for batch in batches:
-            rows: dict[str, list] = {c: [] for c in schema.names}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                text = text.as_py() or ""
-                ids = machine.encode(text)
-                found = (
-                    doc, len(text), len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()),
-                    hashlib.sha256(machine.decode(ids).encode()).hexdigest(),
+            for start, texts in slices(batch.column("text")):
+                ids, bounds = machine.encode(texts)
+                raw = memoryview(ids.astype("<u4")).cast("B")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(start, len(texts)), pc.utf8_length(texts).cast(pa.int64()),
+                        pa.array(np.diff(bounds).astype(np.int64)),
+                        pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(bounds, bounds[1:])], pa.int64()),
+                        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in machine.decode(ids, bounds)]),
+                    ],
+                    schema=schema,
                 )
-                for column, value in zip(rows, found):
-                    rows[column].append(value)
-            yield pa.RecordBatch.from_pydict(rows, schema=schema)
+        release()
 
     kinds = "doc_id long, n_chars long, n_ids long, ids_crc32 long, decoded_sha256 string"
     return documents(docs, id_column, text_column).mapInArrow(run, kinds)
