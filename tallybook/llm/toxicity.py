@@ -5,6 +5,9 @@ buckets. A term has a weight, and a short vector; the score of a text is the sum
 its terms and of the inner products of all pairs of their vectors, which takes one pass over the
 terms: half of (square of the sum less sum of squares). Pairs are what a sum of weights cannot
 learn, such as an insult beside the name of a group.
+
+Terms that get a weight are those that tell something by themselves, and those of pairs that tell
+more or less than both their terms do, also where each alone is neutral.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ BUCKETS = 1 << 20
 BEGINNINGS = (4, 5, 6)  # bytes of a word that are a term of their own
 SAMPLE_ROWS = 8000  # labelled documents to learn from
 TERMS = 4096  # terms that have weights
+PAIR_TERMS = 1024  # terms whose pairs are looked at, those that part the sample most evenly
+_ALONE, _TOGETHER = 2.5, 5.5  # standard deviations for a term, and for one of half a million pairs
 FACTORS = 4
 _EPOCHS, _RATE, _DECAY = 12, 0.2, 1e-4
 
@@ -69,6 +74,31 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -60, 60)))
 
 
+def _pair_scores(texts: list[np.ndarray], labels: np.ndarray, seen: np.ndarray, hits: np.ndarray, share: float) -> np.ndarray:
+    """For each bucket the most standard deviations by which a pair with it differs from what its two terms tell.
+
+    Two terms that add up have the log odds of both, less those of all texts.
+    """
+    spread = np.minimum(seen, len(texts) - seen)
+    picked = np.argsort(-spread, kind="stable")[:PAIR_TERMS]
+    picked = picked[spread[picked] >= 4]
+    place = np.full(BUCKETS, -1)
+    place[picked] = np.arange(len(picked))
+    there = np.zeros((len(texts), len(picked)), np.float32)
+    for i, text in enumerate(texts):
+        row = place[text]
+        there[i, row[row >= 0]] = 1
+    both, toxic = there.T @ there, there[labels > 0].T @ there[labels > 0]
+    odds = (hits[picked] + share) / (seen[picked] - hits[picked] + 1 - share)
+    together = odds[:, None] * odds * (1 - share) / share
+    expected = together / (1 + together)
+    z = np.abs(toxic - both * expected) / np.sqrt(both * expected * (1 - expected) + 1)
+    np.fill_diagonal(z, 0)
+    out = np.zeros(BUCKETS)
+    out[picked] = z.max(axis=1, initial=0)
+    return out
+
+
 def fit(sample: list[tuple[bytes, int]]) -> Model:
     """Learn from (text, label) pairs; without both labels, a constant."""
     labels = np.array([y for _, y in sample], float)
@@ -79,14 +109,16 @@ def fit(sample: list[tuple[bytes, int]]) -> Model:
     for text, _ in sample:
         data = np.frombuffer(text, np.uint8)
         texts.append(np.unique(term_buckets(data, np.array([0, len(data)]))[0]))
-    # Terms that tell the labels apart most, by the z-score of their share of label 1.
+    # Terms that tell the labels apart most, by the z-score of their share of label 1 or of a pair's.
     flat, owner = np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     seen = np.bincount(flat, minlength=BUCKETS).astype(float)
     hits = np.bincount(flat, labels[owner], BUCKETS)
     z = np.abs(hits - share * seen) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     z[seen < 4] = 0
-    terms = np.sort(np.argsort(-z, kind="stable")[:TERMS])
-    model = Model(terms[z[terms] > 2.5], float(np.log(share / (1 - share))))
+    paired = _pair_scores(texts, labels, seen, hits, share)
+    told = np.maximum(np.where(z > _ALONE, z, 0), np.where(paired > _TOGETHER, paired, 0))
+    terms = np.sort(np.argsort(-told, kind="stable")[:TERMS])
+    model = Model(terms[told[terms] > 0], float(np.log(share / (1 - share))))
     place = model.place()
     rows = [r[r >= 0] for r in (place[t] for t in texts)]
     w, v = model.weights, model.vectors

@@ -1,4 +1,5 @@
 import gzip
+import random
 import zlib
 
 import numpy as np
@@ -163,6 +164,34 @@ def test_pairs_of_terms_are_learned():
     assert score[2] > 0.5 > max(score[0], score[1], score[3])
 
 
+def test_pairs_of_neutral_terms_are_learned():
+    """Each word is in as many toxic texts as clean ones; only the pair tells."""
+    kinds = [("insult group", 1), ("praise chair", 1), ("insult chair", 0), ("praise group", 0)]
+    draw = random.Random(3)
+    sample = []
+    for i in range(1200):
+        text, label = kinds[i % 4]
+        words = text.split() + draw.choices("alpha beta gamma delta kappa sigma omega theta".split(), k=5)
+        draw.shuffle(words)
+        sample.append((" ".join(words).encode(), label))
+    model = toxicity.fit(sample[:1000])
+    place = model.place()
+    score = [model.scores(place, np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t, _ in sample[1000:]]
+    assert np.mean([(s >= 0.5) == y for s, (_, y) in zip(score, sample[1000:])]) > 0.95
+
+
+def test_pair_sum_is_that_of_all_pairs():
+    """The score's one pass over the terms gives the sum of the inner products of all pairs of different terms."""
+    model = toxicity.fit([(b"group", 0), (b"insult", 0), (b"group insult", 1), (b"nothing", 0)] * 60)
+    place = model.place()
+    for text in (b"", b"group", b"group insult nothing", b"insult insult group unknown"):
+        data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        rows = sorted({int(place[b]) for b in toxicity.term_buckets(data, offsets)[0]} - {-1})
+        total = model.bias + sum(model.weights[r] for r in rows)
+        total += sum(model.vectors[a] @ model.vectors[b] for i, a in enumerate(rows) for b in rows[:i])
+        assert model.scores(place, data, offsets)[0] == pytest.approx(1 / (1 + np.exp(-total)), rel=1e-9)
+
+
 def test_long_texts_in_pieces(monkeypatch):
     text = np.frombuffer((TEXTS[10] or "").encode(), np.uint8)
     network = quality.Network()
