@@ -20,6 +20,8 @@ from tallybook.plans.ordering import number_rows
 BATCH_BYTES = 1 << 19
 BATCH_TRANSFER = 4 << 20  # bytes between the JVM and a task's Python at a time
 
+_TRIM_THRESHOLD, _MMAP_THRESHOLD = -1, -3  # fixed values: names of settings in the C library
+
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -112,6 +114,19 @@ def cut_batch(offsets: np.ndarray, limit: int = BATCH_BYTES):
         start = end
 
 
+def lean() -> None:
+    """Let every array of a megabyte or more go back to the system as soon as it is freed.
+
+    For the start of a task: left alone, the C library keeps ever larger ones for itself once a large one was freed.
+    """
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(_MMAP_THRESHOLD, 1 << 20)
+        libc.mallopt(_TRIM_THRESHOLD, 1 << 20)
+    except (AttributeError, OSError):  # not with this C library
+        pass
+
+
 def release() -> None:
     """Give memory that is free back to the system; a process lives on from task to task, and from stage to stage."""
     pa.default_memory_pool().release_unused()
@@ -125,6 +140,7 @@ def releasing(run):
     """A function of one group's table that releases what it took."""
 
     def one(table: pa.Table) -> pa.Table:
+        lean()
         try:
             return run(table)
         finally:
@@ -135,6 +151,7 @@ def releasing(run):
 
 def text_batches(batches, id_column: str = "doc_id", text_column: str = "text"):
     """(ids, bytes, offsets) of batches of bounded size; rows without an id are skipped."""
+    lean()
     for batch in batches:
         ids = batch.column(id_column)
         if ids.null_count:
@@ -162,7 +179,7 @@ def partitions(df: DataFrame) -> int:
 def small_batches(df: DataFrame) -> None:
     """Let tasks hand texts over in batches of a few megabytes, however many rows those are."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(conf.get(key).rstrip("b")) != BATCH_TRANSFER:
+    if conf.get(key) != str(BATCH_TRANSFER):
         conf.set(key, str(BATCH_TRANSFER))
 
 
@@ -176,6 +193,7 @@ def zipped(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``ztext``: texts compressed before they are shuffled; null is empty."""
 
     def run(batches):
+        lean()
         pack_text = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             data, offsets = text_array(batch.column("text"))

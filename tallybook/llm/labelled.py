@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from tallybook.llm.blocks import small_batches
+from tallybook.llm.blocks import lean, release, small_batches
 
 FOLDS = 5
 
@@ -39,12 +39,14 @@ def with_scores(rows: DataFrame, text_column: str, name: str, scorer: Callable)
     small_batches(rows)
 
     def run(batches):
+        lean()
         scores = scorer()
         for batch in batches:
             found = scores(batch.column(batch.schema.get_field_index(text_column)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name]
             )
+        release()
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields]).add(name, DoubleType()))
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallybook.llm.blocks import documents, partitions, release, releasing, written_table
+from tallybook.llm.blocks import documents, lean, partitions, release, releasing, written_table
 from tallybook.llm.parts import PLAIN_WORD, PartTable, folded_parts, slices, spelled
 
 END_OF_DOCUMENT = 2  # fixed value: the id after each document
@@ -88,6 +88,7 @@ def pieces(docs: DataFrame, length: int = 4096, vocabulary: str | None = None, k
     end = struct.pack("<I", END_OF_DOCUMENT)
 
     def run(batches):
+        lean()
         table = id_table(vocabulary or default_vocabulary())
         for batch in batches:
             for first, texts in slices(batch.column("text")):
@@ -103,6 +104,7 @@ def pieces(docs: DataFrame, length: int = 4096, vocabulary: str | None = None, k
                         for name, value in zip(schema.names, row):
                             rows[name].append(value)
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                pa.default_memory_pool().release_unused()
         release()
 
     kinds = ", ".join(f"{n} long" for n in names) + (", ids binary" if keep_ids else "")

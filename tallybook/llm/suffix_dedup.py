@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.llm.blocks import (
-    documents, mix, outer_ids, pack, pack_sorted, partitions, powers, prefix_hashes, releasing, span_hashes, text_batches,
+    documents, lean, mix, outer_ids, pack, pack_sorted, partitions, powers, prefix_hashes, release, releasing, span_hashes, text_batches,
     unique_ids, unpack, unpack_sorted, unzip, written_table, zipped,
 )
 from tallybook.plans.ordering import number_rows
@@ -430,6 +430,7 @@ def _cut(docs, length, id_column, text_column, hot_contexts, row, schema: pa.Sch
     def run(batches):
         for batch in batches:
             rows, held = [], 0
+        lean()
             for i in range(batch.num_rows):  # row by row: as lists, the places of a batch take ten times its size
                 doc, blob, whole, starts, ends = [batch.column(c)[i].as_py() for c in ("doc_id", "ztext", "whole", "starts", "ends")]
                 text = unzip(blob)
@@ -444,6 +445,7 @@ def _cut(docs, length, id_column, text_column, hot_contexts, row, schema: pa.Sch
                 yield _record_batch(rows, schema)
 
     kept = zipped(docs).join(found, "doc_id", "left").mapInArrow(run, kinds)
+        release()
     return outer_ids(kept, names, "doc_id")
 
 
