@@ -87,17 +87,19 @@ def _sent(tokens: np.ndarray, docs: np.ndarray, buckets: int):
     inside = np.ones(len(tokens), bool)
     inside[single] = False
     local, counts = np.unique(docs[inside], return_counts=True)
-    share = np.array_split(np.arange(len(local)), buckets)
+    # A row for each bucket that gets members, so that there are never more rows than values.
+    there = np.unique(bucket)
+    share = np.array_split(np.arange(len(local)), max(1, len(there)))
     a = np.searchsorted(bucket[single], np.arange(buckets + 1))
     b = np.searchsorted(bucket[several], np.arange(buckets + 1))
-    rows = {"bucket": np.arange(buckets, dtype=np.int32), "tokens": [], "docs": [], "several": [], "local": [], "counts": []}
-    for k in range(buckets):
+    rows = {"bucket": there, "tokens": [], "docs": [], "several": [], "local": [], "counts": []}
+    for k, mine in zip(there, share):
         one, more = single[a[k] : a[k + 1]], several[b[k] : b[k + 1]]
         rows["tokens"].append(pack_sorted(tokens[one]))
         rows["docs"].append(pack(docs[one]))
         rows["several"].append(pack_sorted(tokens[more]))
-        rows["local"].append(pack(local[share[k]]))
-        rows["counts"].append(pack(counts[share[k]]))
+        rows["local"].append(pack(local[mine]))
+        rows["counts"].append(pack(counts[mine]))
     return _batch(**rows)
 
 
@@ -198,10 +200,12 @@ def _prefixes(sets: DataFrame, t: Fraction) -> DataFrame:
         bucket = (mix(tokens.copy()) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows = [order[a:b] for a, b in zip(cuts, cuts[1:])]
+        there = np.flatnonzero(np.diff(cuts))
+        rows = [order[cuts[k] : cuts[k + 1]] for k in there]
         return pa.table({
-            "bucket": np.arange(buckets, dtype=np.int32), "part": np.full(buckets, part, np.int32),
-            "tokens": [pack_sorted(tokens[r]) for r in rows], "counts": [pack(counts[r].astype(np.int64)) for r in rows],
+            "bucket": there.astype(np.int32), "part": np.full(len(there), part, np.int32),
+            "tokens": pa.array([pack_sorted(tokens[r]) for r in rows], pa.binary()),
+            "counts": pa.array([pack(counts[r].astype(np.int64)) for r in rows], pa.binary()),
         })
 
     def answer(table: pa.Table) -> pa.Table:

@@ -95,16 +95,18 @@ def _sent(h, c, doc, place, buckets: int) -> pa.RecordBatch:
     bucket = (mix(h[first].copy()) % np.uint64(buckets)).astype(np.int32)
     by_bucket = np.argsort(bucket, kind="stable")
     first, cuts = first[by_bucket], np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-    share = np.array_split(again[np.lexsort((place[again], doc[again]))], buckets)
-    rows = {"bucket": np.arange(buckets, dtype=np.int32), "h": [], "c": [], "doc": [], "place": [], "again_doc": [], "again_place": []}
-    for k in range(buckets):
+    # A row for each bucket that gets anchors, so that there are never more rows than values.
+    there = np.flatnonzero(np.diff(cuts))
+    share = np.array_split(again[np.lexsort((place[again], doc[again]))], max(1, len(there)))
+    rows = {"bucket": there.astype(np.int32), "h": [], "c": [], "doc": [], "place": [], "again_doc": [], "again_place": []}
+    for k, others in zip(there, share):
         mine = first[cuts[k] : cuts[k + 1]]
         rows["h"].append(pack_sorted(h[mine]))
         rows["c"].append(pack(c[mine]))
         rows["doc"].append(pack(doc[mine]))
         rows["place"].append(pack(place[mine].astype(np.int32)))
-        rows["again_doc"].append(pack(doc[share[k]]))
-        rows["again_place"].append(pack(place[share[k]].astype(np.int32)))
+        rows["again_doc"].append(pack(doc[others]))
+        rows["again_place"].append(pack(place[others].astype(np.int32)))
     return pa.RecordBatch.from_pydict(rows)
 
 
@@ -142,7 +144,7 @@ def _notes(docs: DataFrame, length: int, hot_contexts: int) -> DataFrame:
             if count > _FLUSH:
                 yield _sent(*[np.concatenate(x) for x in zip(*held)], buckets)
                 held, count = [], 0
-        if held:
+        if count:
             yield _sent(*[np.concatenate(x) for x in zip(*held)], buckets)
 
     def judge(table: pa.Table) -> pa.Table:
