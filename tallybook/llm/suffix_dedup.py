@@ -430,9 +430,9 @@ def _cut(docs, length, id_column, text_column, hot_contexts, row, schema: pa.Sch
     found = written_table(repeated_spans(docs, length, hot_contexts), "repeats")
 
     def run(batches):
+        lean()
         for batch in batches:
             rows, held = [], 0
-        lean()
             for i in range(batch.num_rows):  # row by row: as lists, the places of a batch take ten times its size
                 doc, blob, whole, starts, ends = [batch.column(c)[i].as_py() for c in ("doc_id", "ztext", "whole", "starts", "ends")]
                 text = unzip(blob)
@@ -445,9 +445,9 @@ def _cut(docs, length, id_column, text_column, hot_contexts, row, schema: pa.Sch
                     rows, held = [], 0
             if rows:
                 yield _record_batch(rows, schema)
+        release()
 
     kept = zipped(docs).join(found, "doc_id", "left").mapInArrow(run, kinds)
-        release()
     return outer_ids(kept, names, "doc_id")
 
 
@@ -463,6 +463,14 @@ def removal_digest(kept: DataFrame) -> DataFrame:
     )
 
 
+def _spare_name(name: str, docs: DataFrame) -> str:
+    """``name``, made longer until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with what ``remove_repeats`` keeps as text, and all other columns as they were.
 
@@ -473,9 +481,7 @@ def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id
     ids = docs.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n"))
     key, columns = id_column, docs.columns
     if not ids.where(f"_n > 1 OR `{id_column}` IS NULL").isEmpty():
-        key = "_key"
-        while key in docs.columns:
-            key += "_"
+        key = _spare_name("_key", docs)
         order = [F.col(id_column).asc_nulls_first(), F.col(text_column).asc_nulls_first()]
         docs = written_table(number_rows(docs, [], order, key), "numbered")
 
@@ -485,7 +491,8 @@ def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id
     # Texts come out of the pass that cuts them: a second one would double the Python processes of the stage.
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
     kept = _cut(docs, length, key, text_column, HOT_CONTEXTS, row, schema, "doc_id long, text string")
-    kept = kept.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
-    joined = docs.drop(text_column).join(kept, F.col(key) == F.col("_doc"))
-    replaced = {text_column: F.col("_text"), "n_chars": F.length("_text").cast("bigint")}
+    own, text = _spare_name("_doc", docs), _spare_name("_text", docs)
+    kept = kept.select(F.col("doc_id").alias(own), F.col("text").alias(text))
+    joined = docs.drop(text_column).join(kept, F.col(f"`{key}`") == F.col(own))
+    replaced = {text_column: F.col(text), "n_chars": F.length(text).cast("bigint")}
     return joined.select(*[replaced.get(c, F.col(f"`{c}`")).alias(c) for c in columns])

@@ -8,8 +8,10 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.llm import ngram_join, packing, parts, sentencepiece_fst, spotsigs, suffix_dedup, token_counts
+from tallybook.llm.blocks import unpack, unpack_sorted
 from tests.llm.cases import BASE, TEXTS, documents, prose, rows
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -99,6 +101,27 @@ def test_repeats_with_repeated_ids(spark):
     assert sorted(r["n_removed"] for r in got.collect()) == want
 
 
+def test_repeats_beside_columns_of_any_name(spark):
+    docs = documents(spark)
+    wide = docs.select("*", F.lit(1).alias("_text"), F.lit(2).alias("_doc"), F.lit(3).alias("_Doc_"), F.lit(4).alias("_key"))
+    kept = suffix_dedup.without_repeats(wide)
+    assert kept.columns == wide.columns
+    assert rows(kept.select(docs.columns)) == rows(suffix_dedup.without_repeats(docs))
+
+
+def test_rows_sent_are_no_more_than_values():
+    """However many buckets there are, ten values make at most ten rows, and all arrive."""
+    h = np.arange(1, 11, dtype=np.uint64) % np.uint64(7)
+    doc, place = np.arange(10), np.zeros(10, np.int64)
+    sent = suffix_dedup._sent(h, h, doc, place, 5000)
+    there = [d for c in ("doc", "again_doc") for b in sent.column(c).to_pylist() for d in unpack(b, np.int64).tolist()]
+    assert sent.num_rows == 7 and sorted(there) == list(range(10))
+    sent = ngram_join._sent(h, doc, 5000)
+    assert sent.num_rows == 7
+    assert sum(len(unpack_sorted(b)) for c in ("tokens", "several") for b in sent.column(c).to_pylist()) == 7
+    assert sum(unpack(b, np.int64).sum() for b in sent.column("counts").to_pylist()) == 6
+
+
 def test_deep_shallow_order():
     rnd = random.Random(2)
     for _ in range(300):
