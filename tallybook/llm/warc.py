@@ -243,7 +243,9 @@ def read_records(found: DataFrame, location: str, payloads: bool = False) -> Dat
         return pa.table(rows, schema=_READ)
 
     kinds = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return found.select("file", "offset", "length").groupBy("file").applyInArrow(run, kinds)
+    # Spread by number: the places are a few bytes each, and merged by their size they would be read by one task.
+    places = found.select("file", "offset", "length").repartition(partitions(found), "file")
+    return places.groupBy("file").applyInArrow(run, kinds)
 
 
 def archive_pages(
