@@ -17,7 +17,7 @@ from tallybook.functions.numbers import percent
 from tallybook.functions.times import moment
 from tallybook.plans.contest import Contest
 from tallybook.plans.durable import written_table
-from tallybook.plans.intervals import SWEEP, held_by
+from tallybook.plans.intervals import SWEEP, counted_in, held_by
 
 
 def _place_in_time() -> Column:
@@ -91,19 +91,44 @@ def _in_rounds(log: DataFrame, rounds: DataFrame, layout: str, ranges: int | Non
     return held_by(slim, "attempted_at", "attempt_id", rounds, "starts_at", "ends_at", layout, ranges)
 
 
+def _paired_activity(log: DataFrame, windows: DataFrame, layout: str, ranges: int | None) -> DataFrame:
+    # Attempts are counted per round and user first, so that a hot round is spread by its users.
+    per_user = _in_rounds(log, windows, layout, ranges).groupBy("round_number", "user_id").agg(F.count(F.lit(1)).alias("_n"))
+    return per_user.groupBy(F.col("round_number").alias("_round")).agg(
+        F.sum("_n").alias("attempts"), F.count("user_id").alias("users")
+    )
+
+
+def _swept_activity(log: DataFrame, windows: DataFrame, ranges: int | None) -> DataFrame:
+    time = F.struct("starts_at", "ends_at")
+    real = windows.where("round_number IS NOT NULL AND starts_at < ends_at")
+    times = real.groupBy("round_number").agg(
+        F.count(F.lit(1)).alias("_copies"), F.min(time).alias("_time"), (F.min(time) == F.max(time)).alias("_single")
+    )
+    times = written_table(times, "times")
+    single = times.where("_single").select("round_number", "_copies", "_time.*")
+    slim = log.select("attempt_id", "user_id", "attempted_at")
+    found = counted_in(slim, "attempted_at", "attempt_id", "user_id", single.select("starts_at", "ends_at"), "starts_at", "ends_at", ranges)
+    counted = single.join(found, ["starts_at", "ends_at"]).select(
+        F.col("round_number").alias("_round"), (F.col("points") * F.col("_copies")).alias("attempts"), F.col("user_id").alias("users")
+    )
+    several = times.where("NOT _single").select("round_number")
+    if several.isEmpty():
+        return counted
+    return counted.union(_paired_activity(log, windows.join(several, "round_number", "left_semi"), SWEEP, ranges))
+
+
 def given_round_activity(
     log: DataFrame, rounds: DataFrame, layout: str = SWEEP, ranges: int | None = None
 ) -> DataFrame:
     """Attempts and distinct users of every round in a table (``round_number, starts_at, ends_at``).
 
-    Rounds may differ in length, leave gaps and overlap; an attempt counts in each round that holds it.
+    Rounds may differ in length, leave gaps and overlap; an attempt counts in each round that holds it. By
+    ``sweep`` attempts are never paired with rounds, however many are open at a time; only those of a round number with
+    several different times are, as its users are counted over all of them. ``cells`` pairs them all.
     """
     windows = rounds.select("round_number", "starts_at", "ends_at")
-    # Attempts are counted per round and user first, so that a hot round is spread by its users.
-    per_user = _in_rounds(log, windows, layout, ranges).groupBy("round_number", "user_id").agg(F.count(F.lit(1)).alias("_n"))
-    counted = per_user.groupBy(F.col("round_number").alias("_round")).agg(
-        F.sum("_n").alias("attempts"), F.count("user_id").alias("users")
-    )
+    counted = _paired_activity(log, windows, layout, ranges) if layout != SWEEP else _swept_activity(log, windows, ranges)
     none = F.lit(0).cast("bigint")
     return windows.join(counted, F.col("round_number") == F.col("_round"), "left").select(
         "round_number", "starts_at", "ends_at", F.coalesce("attempts", none).alias("attempts"),

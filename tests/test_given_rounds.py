@@ -40,6 +40,50 @@ def test_held_by(spark, layout, ranges, case):
     assert sorted((r["point"], r["name"]) for r in found.collect()) == held(points, windows)
 
 
+@pytest.mark.parametrize("ranges", [None, 5])
+def test_activity_of_many_open_rounds(spark, ranges):
+    rnd = random.Random(8)
+    log = [(i, rnd.choice([1, 2, 3, 4, 5, 6, 7, None]), at(rnd.randrange(-100, 5000))) for i in range(500)]
+    log += [(1000 + i, i % 40, at(700)) for i in range(300)] + [(2000, 1, None), (2001, 9, at(9000))]
+    rounds = [(i, at(a := rnd.randrange(4000)), at(a + rnd.choice([-5, 0, 1, 30, 600, 4000]))) for i in range(400)]
+    rounds += [(400, None, at(5)), (401, at(5), None), (None, at(0), at(900)), rounds[7], rounds[8], rounds[8]]
+    rounds += [(402, at(0), at(50)), (402, at(40), at(90)), (402, at(2000), at(2100))]  # one number, several times
+    per = {}
+    for n, s, e in rounds:
+        inside = [u for _, u, t in log if None not in (n, s, e, t) and s <= t < e]
+        so_far, users = per.get(n, (0, set()))
+        per[n] = so_far + len(inside), users | {u for u in inside if u is not None}
+    want = [(n, s, e, per[n][0], len(per[n][1])) for n, s, e in rounds]
+    found = progress.given_round_activity(
+        spark.createDataFrame(log, "attempt_id long, user_id long, attempted_at timestamp_ntz"),
+        spark.createDataFrame(rounds, "round_number long, starts_at timestamp_ntz, ends_at timestamp_ntz"), ranges=ranges,
+    )
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+
+
+def test_open_rounds_do_not_multiply_attempts(spark):
+    users, open_rounds = 200, 300
+    log = spark.range(users * 10).selectExpr("id AS attempt_id", f"id % {users} AS user_id", "timestamp_ntz'2024-03-01' + make_dt_interval(0, 0, id % 997) AS attempted_at")
+    rounds = spark.range(open_rounds).selectExpr(
+        "id AS round_number", "timestamp_ntz'2024-03-01' + make_dt_interval(0, 0, id) AS starts_at", "timestamp_ntz'2024-03-02' + make_dt_interval(0, 0, id) AS ends_at"
+    )
+    written = []
+    kept = intervals.written_table
+
+    def counting(df, label):
+        table = kept(df, label)
+        written.append(table.count())
+        return table
+
+    with pytest.MonkeyPatch.context() as patch:
+        for module in ("intervals", "ordering"):
+            patch.setattr(f"tallybook.plans.{module}.written_table", counting)
+        patch.setattr("tallybook.operators.progress.held_by", lambda *_: pytest.fail("attempts are paired with rounds"))
+        found = progress.given_round_activity(log, rounds)
+        assert found.where("attempts > 0 AND users = 200").count() == open_rounds
+    assert max(written) < 10 * (users * 10 + open_rounds * 4)  # 600,000 pairs
+
+
 def test_rounds_become_columns(spark):
     log = spark.createDataFrame([(1, 1, True), (1, 2, True), (1, 9, True), (2, 1, False), (3, 3, True)], "user_id long, problem_id long, is_correct boolean")
     problems = spark.createDataFrame([(1, 10), (2, 20), (3, 99)], "problem_id long, round_number long")
