@@ -16,6 +16,10 @@ from tallybook.functions.cells import EMPTY_WORD, WHITE_SPACE, count_words, has_
 # Fixed value: the word and colon that end a table's title.
 TITLE_MARKER = "테이블:"
 
+_UNUSUAL = "[^ -~]"  # what may be white space other than a blank
+_FULL = r"(?U)[^\s\x1c-\x1f]"  # any other character
+_MASK_BITS = 62  # places of a line that are held against those of other lines in one number
+
 
 def marked_title(marker: str = TITLE_MARKER, whole_line: bool = False) -> Callable[[Column], Column]:
     """Lines holding ``marker`` are titles; the title is what stands before it, else NULL.
@@ -134,18 +138,39 @@ def _with(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _blanked(line: Column) -> Column:
+    """A line with a blank for every white space; patterns for blanks are far cheaper than those for all of them."""
+    return F.when(F.rlike(line, F.lit(_UNUSUAL)), F.translate(line, WHITE_SPACE, " " * len(WHITE_SPACE))).otherwise(line)
+
+
 def _cuts(block: Column, titles: Column) -> Column:
-    """Where the tables of a block start, from 0, one place a title.
+    """Where the tables of a block start, from 0, one place a title. White space in ``block`` is blanks only.
 
     A cell of the header starts behind places that are blank in every line. Of these starts the tables
     but the first take the ones with the widest blanks in front, and among equals those nearest to a title.
     """
-    letters = F.transform(block, lambda line: F.split(F.translate(line, WHITE_SPACE, " " * len(WHITE_SPACE)), ""))
-    places = F.sequence(F.lit(0), F.greatest(F.length(F.get(block, F.lit(0))) - 1, F.lit(0)))
 
-    def marks(letters: Column) -> Column:
-        used = F.transform(places, lambda at: F.exists(letters, lambda line: F.coalesce(F.get(line, at), F.lit(" ")) != " "))
-        return F.array_join(F.transform(used, lambda u: F.when(u, "x").otherwise(" ")), "")
+    def used(line: Column, size: Column) -> Column:
+        # A digit a place: 1 where the line has something, else 0; as long as all chunks.
+        digits = F.replace(F.regexp_replace(line, F.lit("[^ ]"), F.lit("1")), F.lit(" "), F.lit("0"))
+        return F.rpad(digits, size, F.lit("0"))
+
+    def marks(lines: Column, chunks: Column, width: Column) -> Column:
+        def chunk(i: Column) -> Column:
+            bits = F.aggregate(
+                lines, F.lit(0).cast("bigint"),
+                lambda so_far, line: so_far.bitwiseOR(F.conv(F.substring(line, i * _MASK_BITS + 1, F.lit(_MASK_BITS)), 2, 10).cast("bigint")),
+            )
+            return F.lpad(F.bin(bits), _MASK_BITS, "0")
+
+        digits = F.array_join(F.transform(F.sequence(F.lit(0), chunks - 1), chunk), "")
+        return F.translate(F.substring(digits, F.lit(1), width), "01", " x")
+
+    def mask(width: Column) -> Column:
+        chunks = F.ceil(width / _MASK_BITS).cast("int")
+        return _with(chunks, lambda n: _with(
+            _with(n * _MASK_BITS, lambda size: F.transform(block, lambda line: used(line, size))), lambda lines: marks(lines, n, width)
+        ))
 
     def chosen(mask: Column) -> Column:
         # A start is where a run of marks begins, but for the first.
@@ -168,10 +193,58 @@ def _cuts(block: Column, titles: Column) -> Column:
         ))
         return F.struct((-blanks).alias("narrow"), nearest.alias("far"), (end + blanks).alias("at"))
 
-    picked = _with(letters, lambda l: _with(marks(l), chosen))
+    first = F.greatest(F.length(F.get(block, F.lit(0))), F.lit(1))
+    picked = _with(_with(first, mask), chosen)
     return F.concat(F.array(F.lit(0)), F.array_sort(F.transform(picked, lambda c: c["at"])))
 
 
+def _tables_of_block(block: Column, titles: Column, header_line: Column) -> Column:
+    """(table_no, title, header, rows) of the tables of a block; ``header_line`` is the number of its first line.
+
+    White space in ``block`` is blanks only.
+    """
+
+    def rows(cells: Column, header: Column) -> Column:
+        told = F.transform(cells, lambda line, i: F.struct(
+            (header_line + i).alias("line_no"), line.alias("line"), F.split(line, " +").alias("tokens"), i.alias("i")
+        ))
+        found = F.filter(told, lambda row: (
+            (row["i"] > 0) & (F.size(row["tokens"]) == F.size(header)) & F.rlike(row["line"], F.lit("[^- ]"))
+        ))
+        return F.transform(found, lambda row: F.struct(row["line_no"].alias("line_no"), row["tokens"].alias("tokens")))
+
+    def table(cuts: Column, start: Column, no: Column) -> Column:
+        # Each table takes its own cut of the lines along.
+        cells = _with(F.get(cuts, no + 1), lambda end: F.transform(block, lambda line: F.trim(
+            F.substring(line, start + 1, F.when(end.isNotNull(), end - start).otherwise(F.length(line)))
+        )))
+        return _with(cells, lambda cells: F.when(F.get(cells, F.lit(0)) != "", _with(F.split(F.get(cells, F.lit(0)), " +"), lambda header: F.struct(
+            (no + 1).alias("table_no"), F.get(titles, no)["title"].alias("title"), header.alias("header"), rows(cells, header).alias("rows")
+        ))))
+
+    return _with(_cuts(block, titles), lambda cuts: F.filter(
+        F.transform(cuts, lambda start, no: table(cuts, start, no)), lambda found: found.isNotNull()
+    ))
+
+
+def _tables_of_section(body: Column, title: Column, title_line: Column, marker: str) -> Column:
+    """The tables below a title line; NULL if there are none."""
+
+    def block(full: Column, at: Column) -> Column:
+        after = F.array_position(F.slice(full, at, F.size(full)), F.lit(False)).cast("int")
+        return _with(after, lambda blank: F.slice(body, at, F.when(blank > 0, blank - 1).otherwise(F.size(body))))
+
+    def tables(titles: Column, full: Column, at: Column) -> Column:
+        return F.when((at > 0) & (F.size(titles) > 0), _with(
+            F.transform(block(full, at), _blanked), lambda lines: _tables_of_block(lines, titles, title_line + at)
+        ))
+
+    return _with(_title_places(title, marker), lambda titles: _with(
+        F.transform(body, lambda line: F.rlike(line, F.lit(_FULL))),
+        lambda full: _with(F.array_position(full, F.lit(True)).cast("int"), lambda at: tables(titles, full, at)),
+    ))
+
+
 def block_tables(docs: DataFrame, doc_id: str, text: str, marker: str = TITLE_MARKER) -> DataFrame:
     """(doc, section_no, table_no, title, line_no, header, tokens): the rows of tables that stand side by side.
 
@@ -181,45 +254,18 @@ def block_tables(docs: DataFrame, doc_id: str, text: str, marker: str = TITLE_MA
     than its neighbours, on either side. If there are fewer cuts than titles, the last titles have no table. A
     title line with one title gives what ``section_lines`` does.
 
-    Work is within the row, and grows with the text and with the length of headers.
+    Work is within the row, and grows with the text and with the length of headers. All of a section is one
+    expression whose parts are bound to names: as columns of their own the planner would write them out wherever they are
+    used, and compute them as often. Outer generators keep it from testing what they give beforehand.
     """
-    raw = sections(docs, doc_id, text, marked_title(marker, whole_line=True), _lines)
-    first = F.array_position(F.transform("body", lambda line: strip_space(line) != ""), F.lit(True)).cast("int")
-    after = F.slice("body", F.col("_at"), F.size("body"))
-    blank = F.array_position(F.transform("_after", lambda line: strip_space(line) == ""), F.lit(True)).cast("int")
-    block = F.when(F.col("_blank") > 0, F.slice("_after", F.lit(1), F.greatest(F.col("_blank") - 1, F.lit(0)))).otherwise(F.col("_after"))
-    found = (
-        raw.withColumn("_at", first).where(F.col("_at") > 0)
-        .withColumn("_after", after).withColumn("_blank", blank).withColumn("_block", block)
-        .withColumn("_titles", _title_places(F.col("title"), marker)).where(F.size("_titles") > 0)
-        .withColumn("_cuts", _cuts(F.col("_block"), F.col("_titles")))
-    )
-    # Each table takes its own cut of the lines along.
-    start, end = F.col("_start"), F.get("_cuts", F.col("_no") + 1)
-    tables = found.select(
-        doc_id, "section_no", "title_line", "_at", "_block", "_cuts", "_titles", F.posexplode("_cuts").alias("_no", "_start")
-    ).select(
-        doc_id, "section_no", (F.col("_no") + 1).alias("table_no"), F.get("_titles", F.col("_no"))["title"].alias("title"),
-        (F.col("title_line") + F.col("_at")).alias("_header_line"),
-        F.transform(
-            "_block",
-            lambda line: strip_space(F.when(end.isNotNull(), F.substring(line, start + 1, end - start)).otherwise(
-                F.substring(line, start + 1, F.length(line))
-            )),
-        ).alias("_cells"),
-    )
-    rows = F.filter(
-        F.transform(
-            F.col("_cells"),
-            lambda line, i: F.struct((F.col("_header_line") + i).alias("line_no"), line.alias("line"), words(line).alias("tokens"), i.alias("i")),
-        ),
-        lambda row: (row["i"] > 0) & (F.size(row["tokens"]) == F.size("header")) & (F.translate(row["line"], "-" + WHITE_SPACE, "") != ""),
-    )
+    found = F.explode_outer(_tables_of_section(F.col("body"), F.col("title"), F.col("title_line"), marker))
     return (
-        tables.withColumn("header", words(F.get("_cells", F.lit(0)))).where(F.get("_cells", F.lit(0)) != "")
-        .select(doc_id, "section_no", "table_no", "title", "header", F.explode(rows).alias("_row"))
+        sections(docs, doc_id, text, marked_title(marker, whole_line=True), _lines)
+        .select(doc_id, "section_no", found.alias("_table"))
+        .select(doc_id, "section_no", "_table", F.explode_outer("_table.rows").alias("_row"))
+        .where(F.col("_row").isNotNull())
         .select(
-            doc_id, "section_no", "table_no", "title", F.col("_row.line_no").alias("line_no"), "header",
+            doc_id, "section_no", "_table.table_no", "_table.title", F.col("_row.line_no").alias("line_no"), "_table.header",
             F.col("_row.tokens").alias("tokens"),
         )
     )

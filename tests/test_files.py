@@ -80,6 +80,25 @@ def test_tables_side_by_side(spark):
     assert text.section_lines(docs.where("id = 4"), "id", "body").count() == 0
 
 
+def test_side_by_side_with_other_white_space(spark):
+    block = (
+        f" l {MARK}".ljust(70) + f"\u3000r {MARK}\n\x1f\u2003\n" + "\tid\u00a0 \u2003v".ljust(70) + "id\tw\U0001d11e\n"
+        + "1\u2009 \U0001d11e\u00e9".ljust(70) + "\u30001 -\u1680\n" + "\u2003--  -".ljust(70) + "-\x1c-\n" + "2 x".ljust(130) + "\n\x0b"
+    )
+    found = text.block_tables(spark.createDataFrame([(1, block)], "id int, body string"), "id", "body")
+    assert sorted((r["table_no"], r["title"], r["line_no"], r["header"], r["tokens"]) for r in found.collect()) == [
+        (1, "l", 4, ["id", "v"], ["1", "\U0001d11e\u00e9"]), (1, "l", 6, ["id", "v"], ["2", "x"]),
+        (2, "r", 4, ["id", "w\U0001d11e"], ["1", "-"]),
+    ]
+
+
+def test_a_cut_is_computed_once(spark):
+    docs = spark.createDataFrame(list(enumerate(BLOCKS)), "id int, body string")
+    plan = text.block_tables(docs, "id", "body")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count(" AS _starts") == 1
+    assert not any("size(transform" in line for line in plan.splitlines() if "Filter" in line)
+
+
 def test_long_block_side_by_side(spark):
     rows = "\n".join(f"{i:<8}{i + 1:<30}{i:<8}{i % 7}" for i in range(3_000))
     block = f"l {MARK}".ljust(38) + f"r {MARK}\n" + "a".ljust(8) + "b".ljust(30) + "c".ljust(8) + "d\n" + rows
