@@ -24,61 +24,68 @@ _LEADERS = 16  # rows whose scores are resolved at each look, for a better k-th
 
 
 class SortedLists:
-    """The rows of a block, and for each component their numbers and values in ascending order."""
+    """The rows of a block, and for each component its values in ascending order."""
 
     def __init__(self, rows: np.ndarray):
         self.rows = rows
-        order = np.argsort(rows, axis=0, kind="stable")
-        self.order = order.T.copy()
-        self.values = np.ascontiguousarray(np.take_along_axis(rows, order, axis=0).T, np.float64)
+        self.values = np.sort(rows.T, axis=1)
         self.most = np.abs(rows).max(axis=0, initial=0).astype(np.float64)
 
+    def read(self, depth: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the lists give when this part of each is read, from the bottom and from the top.
 
-def no_random_access(lists: SortedLists, query: np.ndarray, k: int, own: int = -1, floor: float = -np.inf):
-    """Numbers of all rows that may be among the ``k`` best for ``query``.
+        For lists read from the bottom, then for those from the top: the values reached, and for each row how far
+        beyond them its own was; 0 where it has not come up.
+        """
+        size = int(len(self.rows) * depth) + 1
+        bottom, top = self.values[:, size - 1], self.values[:, -size]
+        read = np.empty((len(self.rows), 2 * len(bottom)))
+        np.subtract(np.minimum(self.rows, bottom), bottom, out=read[:, : len(bottom)])
+        np.subtract(np.maximum(self.rows, top), top, out=read[:, len(bottom) :])
+        return bottom.astype(np.float64), top.astype(np.float64), read
 
-    ``own`` takes no part; rows that score less than ``floor`` are not wanted. A row's upper bound
+
+def no_random_access(lists: SortedLists, queries: np.ndarray, k: int, own: np.ndarray, floors: np.ndarray) -> list[np.ndarray]:
+    """For each query the numbers of all rows that may be among its ``k`` best.
+
+    ``own``, if not negative, takes no part; rows that score less than ``floors`` are not wanted. A row's upper bound
     is the sum of what was read of it and, for every list where it has not come up, the value
-    reached there. Its lower bound is the score itself for the rows that lead; few of them suffice.
+    reached there. Its lower bound is the score itself for the rows that lead; few of them suffice. The lists of a block
+    are read once for all queries that are still open, and their sums taken together.
     """
     count = len(lists.rows)
-    used = np.flatnonzero(query)
-    alive = np.ones(count, bool)
-    if own >= 0:
-        alive[own] = False
-    weight = query[used].astype(np.float64)
-    slack = 1e-9 * (np.abs(weight) * lists.most[used]).sum()
-    from_top, from_bottom = used[weight > 0], used[weight < 0]
-    weight = np.concatenate([weight[weight < 0], weight[weight > 0]])[:, None]
+    alive = np.ones((len(queries), count), bool)
+    mine = np.flatnonzero(own >= 0)
+    alive[mine, own[mine]] = False
+    floors = floors.astype(np.float64)
+    weights = queries.astype(np.float64)
+    weights = np.concatenate([np.minimum(weights, 0), np.maximum(weights, 0)], axis=1)
+    slack = 1e-9 * (np.abs(queries).astype(np.float64) @ lists.most)
     for depth in _DEPTHS:
-        left = int(alive.sum())
-        if left <= max(_LEADERS, 2 * k, count // 8) or not len(used):
+        left = alive.sum(axis=1)
+        open_ = np.flatnonzero((left > max(_LEADERS, 2 * k, count // 64)) & (weights != 0).any(axis=1))
+        if not len(open_):
             break
-        size = int(count * depth) + 1
-        ids = np.concatenate([lists.order[from_bottom, :size], lists.order[from_top, -size:]])
-        gain = np.concatenate([lists.values[from_bottom, :size], lists.values[from_top, -size:]])
-        gain *= weight
-        front = np.concatenate([gain[: len(from_bottom), -1], gain[len(from_bottom) :, 0]])
-        gain -= front[:, None]
-        ids, gain = ids.ravel(), gain.ravel()
-        if left < count // 2:
-            wanted = alive[ids]
-            ids, gain = ids[wanted], gain[wanted]
-        upper = np.where(alive, front.sum() + np.bincount(ids, gain, count), -np.inf)
-        leaders = np.argpartition(upper, count - _LEADERS)[count - _LEADERS :]
-        leaders = leaders[alive[leaders]]
-        scores = np.sort(lists.rows[leaders] @ query)
-        floor = max(floor, float(scores[-k]) if len(scores) >= k else -np.inf)
-        alive &= upper >= floor - slack
-    return np.flatnonzero(alive)
-
-
-def best_rows(lists: SortedLists, ids: np.ndarray, query: np.ndarray, k: int, own: int = -1, floor: float = -np.inf):
-    """(ids, scores) of the ``k`` best rows: highest score first, ties to the smaller id."""
-    rows = no_random_access(lists, query, k, own, floor)
-    scores = lists.rows[rows] @ query
-    order = np.lexsort((ids[rows], -scores))[:k]
-    return ids[rows][order], scores[order]
+        bottom, top, read = lists.read(depth)
+        upper = weights[open_] @ read.T
+        upper += (weights[open_] @ np.concatenate([bottom, top]))[:, None]
+        upper[~alive[open_]] = -np.inf
+        leaders = np.argpartition(upper, count - _LEADERS, axis=1)[:, count - _LEADERS :]
+        for q, lead, bound in zip(open_, leaders, upper):
+            lead = lead[alive[q, lead]]
+            scores = np.sort(lists.rows[lead] @ queries[q])
+            if len(scores) >= k:
+                floors[q] = max(floors[q], float(scores[-k]))
+            alive[q] &= bound >= floors[q] - slack[q]
+    return [np.flatnonzero(row) for row in alive]
+
+
+def best_rows(lists: SortedLists, ids: np.ndarray, queries: np.ndarray, k: int, own: np.ndarray, floors: np.ndarray):
+    """For each query (ids, scores) of its ``k`` best rows: highest score first, ties to the smaller id."""
+    for query, rows in zip(queries, no_random_access(lists, queries, k, own, floors)):
+        scores = lists.rows[rows] @ query
+        order = np.lexsort((ids[rows], -scores))[:k]
+        yield ids[rows][order], scores[order]
 
 
 def _blocks(vectors: DataFrame, size: int, width: int, name: str) -> DataFrame:
@@ -146,9 +153,9 @@ def top_k(
             ids, numbers = unpack(mine["ids"], np.int64), unpack(mine["numbers"], np.int64)
             lists = SortedLists(unpack(mine["cells"], np.int64).reshape(len(ids), width))
             at = {n: j for j, n in enumerate(numbers.tolist())}
-            for q, (row, query) in enumerate(zip(rows, wanted)):
-                floor = float(best[q][1][-1]) if len(best[q][1]) == k else -np.inf
-                found, scores = best_rows(lists, ids, query, k, at.get(row, -1), floor)
+            own = np.array([at.get(row, -1) for row in rows], np.int64)
+            floors = np.array([float(scores[-1]) if len(scores) == k else -np.inf for _, scores in best])
+            for q, (found, scores) in enumerate(best_rows(lists, ids, wanted, k, own, floors)):
                 found, scores = np.concatenate([best[q][0], found]), np.concatenate([best[q][1], scores])
                 order = np.lexsort((found, -scores))[:k]
                 best[q] = found[order], scores[order]

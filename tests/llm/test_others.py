@@ -52,6 +52,25 @@ def test_top_k(spark, kind):
     assert rows(topk_search.top_k(df.limit(0))) == []
 
 
+def test_lists_are_read_once_for_all_queries(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = np.floor(256 * rng.normal(0, 0.2, (3_000, 16))).astype(np.int64)
+    queries, own = np.vstack([rows[:40], np.zeros((1, 16), np.int64)]), np.array([*range(40), -1])
+    depths = []
+    read = topk_search.SortedLists.read
+    monkeypatch.setattr(topk_search.SortedLists, "read", lambda self, depth: (depths.append(depth), read(self, depth))[1])
+    lists = topk_search.SortedLists(rows)
+    found = topk_search.no_random_access(lists, queries, 5, own, np.full(41, -np.inf))
+    assert 0 < len(depths) <= 4 and len(found[40]) == 3_000
+    for q, (query, kept) in enumerate(zip(queries[:40], found)):
+        scores = rows @ query
+        scores[q] = -(1 << 62)
+        assert set(np.argsort(-scores)[:5]) <= set(kept) and q not in kept and len(kept) < 1_000
+        floor = float(np.sort(scores)[-3])
+        wanted = topk_search.no_random_access(lists, queries[q : q + 1], 5, own[q : q + 1], np.array([floor]))[0]
+        assert set(np.flatnonzero(scores >= floor)) <= set(wanted)
+
+
 def test_top_k_of_repeated_ids(spark):
     df = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (7, [0.5])], "vec_id long, embedding array<float>")
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk_search.top_k(df).collect())
