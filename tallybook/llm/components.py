@@ -34,3 +34,27 @@ def components(links: DataFrame) -> DataFrame:
             links.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "links"
         )
     return labels
+
+
+def joined(named: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of the links behind ``named`` and of ``links(a, b)``, which must be a written table.
+
+    Only links between components are looked at, under the components' names; without any link,
+    ``named`` stays as it is.
+    """
+    links = links.where("a != b")
+    if links.isEmpty():
+        return named
+    for end in ("a", "b"):
+        known = named.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+        links = links.join(known, F.col(end) == F.col("_node"), "left")
+        links = links.withColumn(f"c{end}", F.coalesce("_component", end)).drop("_node", "_component")
+    links = written_table(links.select("a", "b", "ca", "cb"), "between")
+    merged = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    # An end that was in no component so far is its own.
+    ends = links.select(F.col("a").alias("node"), F.col("ca").alias("component"))
+    ends = ends.union(links.select("b", "cb")).where("node = component")
+    known = named.union(ends.distinct()).distinct()
+    merged = merged.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    known = known.join(merged, F.col("component") == F.col("_node"), "left")
+    return written_table(known.select("node", F.coalesce("_component", "component").alias("component")), "named")

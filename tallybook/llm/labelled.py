@@ -31,7 +31,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(rows)
     found = docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
     found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
-    return [((r[0] or "").encode("utf-8", "replace"), r[1]) for r in found.select("text", "_label").collect()]
+    rows = found.select("text", "_label").collect()[::-1]
+    sample = []
+    while rows:  # so that no text is there twice
+        text, label = rows.pop()
+        sample.append(((text or "").encode("utf-8", "replace"), label))
+    return sample
+
+
+def learned(fit: Callable, docs: DataFrame, labels: DataFrame, label: str, rows: int):
+    """What ``fit`` makes of the sample; the driver's memory that both took goes back to the system."""
+    lean()
+    try:
+        return fit(labelled_sample(docs, labels, label, rows))
+    finally:
+        release()
 
 
 def with_scores(rows: DataFrame, text_column: str, name: str, scorer: Callable) -> DataFrame:

@@ -31,7 +31,7 @@ from tallybook.llm.blocks import (
     documents, mix, outer_ids, pack, pack_sorted, partitions, releasing, text_array, text_batches, unique_ids, unpack,
     unpack_sorted, unzip, written_table, zipped,
 )
-from tallybook.llm.components import components
+from tallybook.llm.components import components, joined
 from tallybook.llm.shingles import shingle_sets
 from tallybook.plans.ordering import number_rows
 
@@ -415,18 +415,17 @@ def ngram_components(
     blocks = F.ceil(F.col("beside") / FAMILY_BLOCK)
     homes = homes.withColumn("salt", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
     homes = written_table(homes.select("doc_id", "gid", "n", "prefix", "home", "salt", "beside"), "homes")
-    links = written_table(_family_links(homes, sets, t), "family")
+    named = components(written_table(_family_links(homes, sets, t), "family"))
     # Leaders first: most families are then connected before any members are compared across them.
     for whole in (False, True):
-        groups, members = _groups(homes, components(links), t)
+        groups, members = _groups(homes, named, t)
         pairs = written_table(_group_pairs(groups, t), "pairs")
         if whole:
             pairs = (
                 pairs.withColumnRenamed("a", "lead").join(members.withColumnRenamed("doc_id", "a"), "lead").drop("lead")
                 .withColumnRenamed("b", "lead").join(members.withColumnRenamed("doc_id", "b"), "lead").drop("lead")
             )
-        links = links.unionByName(written_table(_pair_links(pairs, homes, sets, t), "across"))
-    named = components(links)
+        named = joined(named, written_table(_pair_links(pairs, homes, sets, t), "across"))
     classed = summary.join(classes, ["n", "s1", "s2"], "left")
     found = classed.join(named, F.col("rep") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "doc_id")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.llm.blocks import documents, text_array
-from tallybook.llm.labelled import accepted, held_out, labelled_sample, with_scores
+from tallybook.llm.labelled import accepted, held_out, learned, with_scores
 
 WIDTH, HOP = 8, 4  # bytes of a window, and from one to the next
 DEPTH, FILTERS = 4, 24
@@ -178,7 +178,7 @@ def keep_good(
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that score ``cut`` or more, with all their columns."""
-    network = fit(labelled_sample(documents(docs, id_column, text_column), labels, label, sample_rows))
+    network = learned(fit, documents(docs, id_column, text_column), labels, label, sample_rows)
     return accepted(docs, text_column, scorer(network), lambda s: s >= cut)
 
 
@@ -194,7 +194,7 @@ def score(
     ignored; an empty table gives no rows.
     """
     docs = documents(docs, id_column, text_column)
-    network = fit(labelled_sample(docs, labels, label, sample_rows))
+    network = learned(fit, docs, labels, label, sample_rows)
 
     scored = with_scores(docs, "text", "score", scorer(network)).drop("text")
     return scored.select(

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallybook.llm.blocks import cut_batch, documents, mix, prefix_hashes, span_hashes, text_array
-from tallybook.llm.labelled import accepted, held_out, labelled_sample, with_scores
+from tallybook.llm.labelled import accepted, held_out, learned, with_scores
 from tallybook.llm.shingles import LOWER, words
 
 BUCKETS = 1 << 20
@@ -28,6 +28,7 @@ PAIR_TERMS = 1024  # terms whose pairs are looked at, those that part the sample
 _ALONE, _TOGETHER = 2.5, 5.5  # standard deviations for a term, and for one of half a million pairs
 FACTORS = 4
 _EPOCHS, _RATE, _DECAY = 12, 0.2, 1e-4
+_SLICE = 256  # texts, or terms, of a matrix worked on at a time
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
@@ -80,22 +81,31 @@ def _pair_scores(texts: list[np.ndarray], labels: np.ndarray, seen: np.ndarray,
     Two terms that add up have the log odds of both, less those of all texts.
     """
     spread = np.minimum(seen, len(texts) - seen)
-    picked = np.argsort(-spread, kind="stable")[:PAIR_TERMS]
-    picked = picked[spread[picked] >= 4]
-    place = np.full(BUCKETS, -1)
+    often = np.flatnonzero(spread >= 4)
+    picked = often[np.argsort(-spread[often], kind="stable")[:PAIR_TERMS]]
+    place = np.full(BUCKETS, -1, np.int32)
     place[picked] = np.arange(len(picked))
-    there = np.zeros((len(texts), len(picked)), np.float32)
-    for i, text in enumerate(texts):
-        row = place[text]
-        there[i, row[row >= 0]] = 1
-    both, toxic = there.T @ there, there[labels > 0].T @ there[labels > 0]
+    # Counts, and so exact in any order: a slice of the texts, then of the terms, at a time.
+    both = np.zeros((len(picked), len(picked)), np.float32)
+    toxic = np.zeros_like(both)
+    for first in range(0, len(texts), _SLICE):
+        some, label = texts[first : first + _SLICE], labels[first : first + _SLICE]
+        there = np.zeros((len(some), len(picked)), np.float32)
+        for i, text in enumerate(some):
+            row = place[text]
+            there[i, row[row >= 0]] = 1
+        both += there.T @ there
+        there = there[label > 0]
+        toxic += there.T @ there
     odds = (hits[picked] + share) / (seen[picked] - hits[picked] + 1 - share)
-    together = odds[:, None] * odds * (1 - share) / share
-    expected = together / (1 + together)
-    z = np.abs(toxic - both * expected) / np.sqrt(both * expected * (1 - expected) + 1)
-    np.fill_diagonal(z, 0)
-    out = np.zeros(BUCKETS)
-    out[picked] = z.max(axis=1, initial=0)
+    out = np.zeros(len(seen))
+    for first in range(0, len(picked), _SLICE):
+        at = slice(first, first + _SLICE)
+        together = odds[at, None] * odds * (1 - share) / share
+        expected = together / (1 + together)
+        z = np.abs(toxic[at] - both[at] * expected) / np.sqrt(both[at] * expected * (1 - expected) + 1)
+        z[np.arange(len(z)), np.arange(first, first + len(z))] = 0
+        out[picked[at]] = z.max(axis=1, initial=0)
     return out
 
 
@@ -108,17 +118,20 @@ def fit(sample: list[tuple[bytes, int]]) -> Model:
     texts = []
     for text, _ in sample:
         data = np.frombuffer(text, np.uint8)
-        texts.append(np.unique(term_buckets(data, np.array([0, len(data)]))[0]))
+        texts.append(np.unique(term_buckets(data, np.array([0, len(data)]))[0]).astype(np.int32))
+    seen, hits = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for text, label in zip(texts, labels):  # each term once
+        seen[text] += 1
+        hits[text] += label
     # Terms that tell the labels apart most, by the z-score of their share of label 1 or of a pair's.
-    flat, owner = np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    seen = np.bincount(flat, minlength=BUCKETS).astype(float)
-    hits = np.bincount(flat, labels[owner], BUCKETS)
-    z = np.abs(hits - share * seen) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
-    z[seen < 4] = 0
     paired = _pair_scores(texts, labels, seen, hits, share)
+    often = np.flatnonzero(seen >= 4)
+    seen, hits, paired = seen[often], hits[often], paired[often]
+    z = np.abs(hits - share * seen) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     told = np.maximum(np.where(z > _ALONE, z, 0), np.where(paired > _TOGETHER, paired, 0))
-    terms = np.sort(np.argsort(-told, kind="stable")[:TERMS])
-    model = Model(terms[told[terms] > 0], float(np.log(share / (1 - share))))
+    best = np.sort(np.argsort(-told, kind="stable")[:TERMS])
+    best = best[told[best] > 0]
+    model = Model(often[best], float(np.log(share / (1 - share))))
     place = model.place()
     rows = [r[r >= 0] for r in (place[t] for t in texts)]
     w, v = model.weights, model.vectors
@@ -166,7 +179,7 @@ def keep_clean(
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that score below ``cut``, with all their columns."""
-    model = fit(labelled_sample(documents(docs, id_column, text_column), labels, label, sample_rows))
+    model = learned(fit, documents(docs, id_column, text_column), labels, label, sample_rows)
     return accepted(docs, text_column, scorer(model), lambda s: s < cut)
 
 
@@ -182,7 +195,7 @@ def score(
     Other columns are ignored; an empty table gives no rows.
     """
     docs = documents(docs, id_column, text_column)
-    model = fit(labelled_sample(docs, labels, label, sample_rows))
+    model = learned(fit, docs, labels, label, sample_rows)
 
     scored = with_scores(docs, "text", "score", scorer(model)).drop("text")
     return scored.select(

@@ -1,12 +1,14 @@
 import gzip
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from tallybook.llm import components, quality, queries, topk_search, toxicity, url_filters, warc
+from tallybook.llm import components, ngram_join, quality, queries, topk_search, toxicity, url_filters, warc
+from tallybook.plans.durable import written_table
 from tests import oracle
 from tests.llm.cases import TEXTS, documents, rows
 
@@ -234,3 +236,42 @@ def test_pipeline(spark, tmp_path):
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
     assert packed.select("doc_id").distinct().count() == kept.count()
     assert corpus_pipeline.run(spark, SF).columns == packed.columns
+
+
+def test_components_joined_by_further_links(spark):
+    links = [(0, 1), (1, 2), (5, 6), (9, 8), (20, 21)]
+    further = [(2, 6), (30, 31), (31, 20), (8, 40), (1, 0), (7, 7), (41, 42), (42, 43), (None, 3)]
+    frame = lambda rows: written_table(spark.createDataFrame(rows, "a long, b long"), "links")
+    named = components.components(frame(links))
+    found = sorted(map(tuple, components.joined(named, frame(further)).collect()))
+    assert found == sorted(map(tuple, components.components(frame(links + further)).collect()))
+    assert components.joined(named, frame([(7, 7)])) is named
+    assert sorted(map(tuple, components.joined(components.components(frame([])), frame(links)).collect())) == sorted(
+        map(tuple, named.collect())
+    )
+
+
+def test_near_duplicates_look_at_each_link_once(spark, monkeypatch):
+    """Links of families are not gone through again when links across them are found."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(900)}" for _ in range(60)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(0, 60, 2)]
+    seen, real = [], components.components
+    monkeypatch.setattr(components, "components", lambda links: seen.append(links.count()) or real(links))
+    monkeypatch.setattr(ngram_join, "components", components.components)
+    found = ngram_join.ngram_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2, 80)
+    assert [r["component_id"] for r in found.collect()] == [0] * len(texts)
+    assert seen[0] > sum(seen[1:])
+
+
+def test_toxicity_learns_in_little_memory():
+    """The driver keeps no array for every pair of text and term."""
+    rng = np.random.default_rng(0)
+    names = np.array([f"word{i}" for i in range(3000)])
+    sample = [(" ".join(rng.choice(names, 200)).encode(), int(i % 2)) for i in range(1500)]
+    tracemalloc.start()
+    try:
+        toxicity.fit(sample)
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
